@@ -7,10 +7,10 @@ what ``__spark_entry__`` exposes.
 
 from __future__ import annotations
 
-from quarry.plans import relational
+from quarry.plans import relational, stats
 
 QUERIES = {}
 ORACLE = {}
-for _module in (relational,):
+for _module in (relational, stats):
     QUERIES.update(_module.QUERIES)
     ORACLE.update(_module.ORACLE)
