@@ -7,10 +7,10 @@ what ``__spark_entry__`` exposes.
 
 from __future__ import annotations
 
-from quarry.plans import relational, stats
+from quarry.plans import relational, stats, text
 
 QUERIES = {}
 ORACLE = {}
-for _module in (relational, stats):
+for _module in (relational, stats, text):
     QUERIES.update(_module.QUERIES)
     ORACLE.update(_module.ORACLE)
