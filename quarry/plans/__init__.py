@@ -7,10 +7,10 @@ what ``__spark_entry__`` exposes.
 
 from __future__ import annotations
 
-from quarry.plans import relational, stats, text
+from quarry.plans import neighbors, relational, sources, stats, text
 
 QUERIES = {}
 ORACLE = {}
-for _module in (relational, stats, text):
+for _module in (relational, stats, text, neighbors, sources):
     QUERIES.update(_module.QUERIES)
     ORACLE.update(_module.ORACLE)
