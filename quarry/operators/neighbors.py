@@ -50,6 +50,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.common import materialize, spread
+
 DISTANCE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("paired", T.LongType()),
@@ -124,14 +126,15 @@ def _pairwise(q: np.ndarray, x: np.ndarray, chunk_bytes: int = 1 << 25) -> np.nd
 
 def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vector",
                     n_pivots: int | None = None, max_pivots: int = 1024,
-                    block_rows: int = 2048) -> DataFrame:
+                    cell_rows: int = 1024, block_rows: int = 2048) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of every vector among all
     other vectors: ``(id, paired, distance)``, ``k`` rows per id (fewer
     when there are fewer other vectors), ties to the smaller id.
 
     See the module notes for the pivot-cell plan.  ``n_pivots`` defaults to
-    about the square root of the number of vectors, capped at
-    ``max_pivots``.
+    one pivot per ``cell_rows`` vectors, capped at ``max_pivots``: more
+    pivots prune more cell pairs on clustered data, fewer keep each unit
+    of work large enough for the vector kernel.
     """
     spark = df.sparkSession
     pts = df.select(F.col(id_col).cast("long").alias("id"),
@@ -141,7 +144,7 @@ def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "v
     # -- 1. pivots: the P vectors with the smallest id hash (deterministic)
     if n_pivots is None:
         n = pts.count()
-        n_pivots = int(min(max_pivots, max(1, round(math.sqrt(n)))))
+        n_pivots = int(min(max_pivots, max(1, math.ceil(n / cell_rows))))
     n_pivots = max(1, min(n_pivots, max_pivots))
     piv_rows = pts.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("v").collect()
     pivots = np.array([r["v"] for r in piv_rows], dtype=np.float64)
@@ -164,7 +167,8 @@ def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "v
                                 "cell": cell.astype("int32"),
                                 "dp": d[np.arange(len(b)), cell]})
 
-    cells = pts.mapInPandas(assign, assign_schema)
+    # computed once: the statistics and both sides of the block join read it
+    cells = materialize(spread(pts).mapInPandas(assign, assign_schema))
 
     # -- 2. per-cell statistics (P rows)
     w = Window.partitionBy("cell").orderBy("dp")
