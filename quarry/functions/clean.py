@@ -84,7 +84,7 @@ def normalize_key(c: str | Column, suffix: str | None = " County") -> Column:
 def to_date(c: str | Column, pattern: str = DATE_PARSE_PATTERN, strict: bool = False) -> Column:
     """Parse ``3-Oct-2007`` style text (blanks around it ignored)."""
     col = F.trim(_col(c))
-    return F.to_date(col, pattern) if strict else F.try_to_date(col, F.lit(pattern))
+    return F.to_date(col, pattern) if strict else F.try_to_date(col, pattern)
 
 
 def format_date(c: str | Column, pattern: str = DATE_FORMAT_PATTERN) -> Column:

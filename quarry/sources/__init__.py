@@ -78,7 +78,7 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], whole_text:
     ``whole_text=True``: one row per file (``wholetext``), so a document is
     never cut at a split boundary.  ``False``: one row per line.
     """
-    df = spark.read.option("wholetext", whole_text).text(paths)
+    df = spark.read.text(paths, wholetext=whole_text)
     return df.select(
         F.col("_metadata.file_name").alias(doc_column),
         F.col("value").alias(text_column),

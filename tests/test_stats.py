@@ -1,0 +1,103 @@
+"""Grouped statistics on invented rows (FIXTURES.md B)."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.operators import stats as st
+
+
+@pytest.fixture(scope="module")
+def scores(spark):
+    rows = [("female", "group A", "none", 1, 10, 2),
+            ("female", "group A", "none", 2, 20, 4),
+            ("female", "group B", "none", 3, 30, 5),
+            ("male", "male", "completed", 7, 7, 7),
+            ("male", "group B", "completed", 7, 8, 9)]
+    return spark.createDataFrame(rows, "gender string, attr1 string, attr3 string, "
+                                       "math int, reading int, writing int")
+
+
+def test_describe_by_population_std_and_dims_kept_apart(scores):
+    out = st.describe_by(scores, ["gender", "attr1", "attr3"], ["math", "reading", "writing"])
+    rows = {(r.dim, r.value): r for r in out.collect()}
+    f = rows[("gender", "female")]
+    assert f.n == 3 and f.mean_math == pytest.approx(2.0)
+    assert f.std_math == pytest.approx(0.81649658, abs=1e-8)  # divides by n
+    # 'male' appears as a gender and as an attr1 value: two separate groups
+    assert rows[("gender", "male")].n == 2 and rows[("attr1", "male")].n == 1
+    assert rows[("attr1", "male")].std_math == 0.0  # group of one
+
+
+def test_corr_by_guarded(scores):
+    out = st.corr_by(scores, ["gender", "attr3"], "math", "writing")
+    rows = {(r.dim, r.value): r.pearson for r in out.collect()}
+    assert rows[("gender", "female")] == pytest.approx(0.98198051, abs=1e-8)
+    assert rows[("gender", "male")] is None  # constant math -> NULL, not an error
+
+
+def test_describe_equals_separate_groupbys(scores):
+    out = st.describe_by(scores, ["gender", "attr1"], ["reading"])
+    for dim in ("gender", "attr1"):
+        sep = scores.groupBy(dim).agg(F.avg("reading").alias("m"), F.stddev_pop("reading").alias("s"))
+        want = {r[dim]: (r.m, r.s) for r in sep.collect()}
+        got = {r.value: (r.mean_reading, r.std_reading) for r in out.filter(F.col("dim") == dim).collect()}
+        assert got.keys() == want.keys()
+        for key, (m, s) in want.items():
+            assert got[key][0] == pytest.approx(m) and got[key][1] == pytest.approx(s)
+
+
+def test_keyword_counts_substring_spellings(spark):
+    rows = [("Polk", "Spiced Rum", "x"), ("Polk", "rum vodka mix", "y"), ("Polk", "DRUM", "z"),
+            ("Story", "Drum kit", "Vodka"), ("Lee", "gin", "wine")]
+    df = spark.createDataFrame(rows, "county string, t1 string, t2 string")
+    out = st.keyword_counts(df, "county", ["t1", "t2"], {"rum": "rum", "vodka": "vodka"})
+    got = {r.county: (r.n_rum, r.n_vodka) for r in out.collect()}
+    # 'DRUM' does not match (only Rum/rum), 'Drum' does (substring); Lee is absent
+    assert got == {"Polk": (2, 1), "Story": (1, 1)}
+    ci = st.keyword_counts(df, "county", ["t1", "t2"], {"rum": "rum"}, case_insensitive=True)
+    assert {r.county: r.n_rum for r in ci.collect()} == {"Polk": 3, "Story": 1}
+    ww = st.keyword_counts(df, "county", ["t1", "t2"], {"rum": "rum"}, whole_word=True)
+    assert {r.county: r.n_rum for r in ww.collect()} == {"Polk": 2}
+
+
+def test_keyword_correlation(spark):
+    rows = []
+    for county, (r, v) in {"a": (1, 2), "b": (2, 4), "c": (3, 5)}.items():
+        rows += [(county, "rum", "")] * r + [(county, "vodka", "")] * v
+    df = spark.createDataFrame(rows, "county string, t1 string, t2 string")
+    out = st.keyword_correlation(df, "county", ["t1", "t2"], "rum", "vodka").first()
+    assert out.pearson == pytest.approx(0.98198051, abs=1e-8) and out.n_groups == 3
+
+
+def test_correlation_scale_invariant(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.5), (3.0, 5.0), (4.0, 9.0)], "x double, y double")
+    r1 = st.correlation(df, "x", "y").first().pearson
+    r2 = st.correlation(df.select((F.col("x") * 1000).alias("x"), (F.col("y") * 0.01 + 7).alias("y")),
+                        "x", "y").first().pearson
+    assert r1 == pytest.approx(r2)
+
+
+def test_per_capita_full_outer(spark):
+    invoices = spark.createDataFrame([("OBRIEN", 10.0), ("OBRIEN", 5.5), ("SALESONLY", 3.0)],
+                                     "county string, sales double")
+    pops = spark.createDataFrame([("OBRIEN", 3), ("POPONLY", 7)], "county string, population int")
+    out = {r.key: r for r in st.per_capita(invoices, "county", "sales", pops, "county", "population")
+           .collect()}
+    assert out["OBRIEN"].total == 15.5 and out["OBRIEN"].per_head == pytest.approx(15.5 / 3)
+    assert out["SALESONLY"].population is None and out["SALESONLY"].per_head is None
+    assert out["POPONLY"].total == 0.0 and out["POPONLY"].per_head == 0.0
+    inf = {r.key: r.per_head for r in st.per_capita(invoices, "county", "sales", pops, "county",
+                                                     "population", on_zero="infinity").collect()}
+    assert math.isinf(inf["SALESONLY"])
+
+
+def test_per_capita_duplicate_population_fails(spark):
+    invoices = spark.createDataFrame([("A", 1.0)], "county string, sales double")
+    pops = spark.createDataFrame([("A", 3), ("A", 4)], "county string, population int")
+    with pytest.raises(Exception):
+        st.per_capita(invoices, "county", "sales", pops, "county", "population").collect()
+    out = st.per_capita(invoices, "county", "sales", pops, "county", "population",
+                        unique_population=False).first()
+    assert out.population == 4
