@@ -87,11 +87,17 @@ def _items_of_flavor(spark: SparkSession, sf: str, flavor: str) -> DataFrame:
 
 
 def revenue_in_month(spark: SparkSession, sf: str) -> DataFrame:
-    """Total goods price of one flavour's items sold in October 1997."""
+    """Total goods price of one flavour's items sold in October 1997.
+
+    Items are joined to the month's orders (the selective side, one month of
+    several years) before the goods lookup, so the price join sees only
+    that month's items."""
     orders = table(spark, sf, "orders").filter(rel.day_between("o_orderdate", MONTH_FROM, MONTH_TO)) \
         .select(F.col("o_orderkey").alias("l_orderkey"))
-    items = _items_of_flavor(spark, sf, MONTH_FLAVOR).join(orders, on="l_orderkey")
-    return rel.total(items, "p_retailprice", "revenue")
+    month_items = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(orders, on="l_orderkey")
+    goods = table(spark, sf, "part").filter(F.col("p_type") == MONTH_FLAVOR) \
+        .select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    return rel.total(month_items.join(goods, on="l_partkey"), "p_retailprice", "revenue")
 
 
 def busy_days(spark: SparkSession, sf: str) -> DataFrame:

@@ -32,6 +32,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

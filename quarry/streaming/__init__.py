@@ -1,0 +1,9 @@
+"""Streaming.
+
+The jobs this library rebuilds are all bounded batch jobs: none reads a
+stream, keeps state across batches, uses watermarks or handles late data.
+So there is no streaming operator here.  Every operator takes a DataFrame
+and returns a lazy DataFrame, so a caller that does have a stream can apply
+one to each micro-batch with Structured Streaming's own
+``writeStream.foreachBatch`` and a sink from ``quarry.sources``.
+"""
