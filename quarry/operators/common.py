@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from quarry.session import ensure_checkpoint_dir
@@ -22,11 +24,18 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the session's checkpoint folder and read it
-    from there: an intermediate used by several branches of a plan is
-    computed once, and its lineage is cut, so a lost executor costs a
-    re-read, not a recomputation.  The folder is ``spark.checkpoint.dir``
+    """Write ``df`` once as a Parquet table under the session's checkpoint
+    folder and read it back.
+
+    An intermediate read by several branches of a plan is computed once;
+    its lineage is cut, so a lost executor costs a re-read of shared
+    storage, not a recomputation; and, unlike an RDD checkpoint, the
+    written table carries its real size, so the planner and AQE can pick
+    join strategies from it.  The folder is ``spark.checkpoint.dir``
     (shared storage on a cluster); only a local session without one gets
     a scratch folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/quarry-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
