@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _with_corrupt(schema: StructType | str, column: str) -> StructType | str:
+    """``schema`` plus a string column for unparsable records."""
+    if isinstance(schema, StructType):
+        return schema if column in schema.names else StructType(schema.fields).add(column, "string")
+    names = [part.strip().split()[0].strip("`") for part in schema.split(",") if part.strip()]
+    return schema if column in names else f"{schema}, `{column}` string"
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None,
              header: bool = True, sep: str = ",", quote: str = '"',
              mode: str = "PERMISSIVE", corrupt_column: str | None = None,
@@ -41,8 +49,8 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     """
     reader = spark.read.options(header=header, sep=sep, quote=quote, mode=mode, **options)
     if schema is not None:
-        if corrupt_column and isinstance(schema, StructType) and corrupt_column not in schema.names:
-            schema = StructType(schema.fields).add(corrupt_column, "string")
+        if corrupt_column:
+            schema = _with_corrupt(schema, corrupt_column)
         reader = reader.schema(schema)
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
@@ -62,8 +70,7 @@ def read_json_records(spark: SparkSession, path: str | Sequence[str], schema: St
     """
     reader = spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE")
     if corrupt_column:
-        if isinstance(schema, StructType) and corrupt_column not in schema.names:
-            schema = StructType(schema.fields).add(corrupt_column, "string")
+        schema = _with_corrupt(schema, corrupt_column)
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     df = reader.schema(schema).json(path)
     if member:

@@ -85,3 +85,32 @@ def test_default_pivots_and_float_input(spark):
                                "id long, vector array<float>")
     out = nb.nearest_vectors(df, 2)
     assert out.groupBy("id").count().filter(F.col("count") != 2).count() == 0
+
+
+def test_end_to_end_from_distance_records(spark, tmp_path):
+    """The original input path: a labelled CSV with a numeric schema, a row
+    id per row, and a text file of [id,paired,distance] records that refer
+    to those ids (looked up by id, never by position)."""
+    from quarry.sources import read_csv, read_distance_records
+
+    (tmp_path / "wine.csv").write_text("alcohol,quality\n9.4,5\n9.8,5\n10.0,6\n11.2,6\n")
+    wine = read_csv(spark, str(tmp_path / "wine.csv"), schema="alcohol double, quality double")
+    labels = nb.with_row_id(wine).select("id", "alcohol", F.col("quality").alias("label"))
+    ids = [r.id for r in labels.orderBy("alcohol").collect()]
+    recs = [f"({ids[i]}, [{ids[i]},{ids[j]},{abs(i - j) + 0.1 * j}])"
+            for i in range(4) for j in range(4) if i != j]
+    (tmp_path / "dist.txt").write_text("\n".join(recs) + "\n")
+    near = nb.k_nearest(read_distance_records(spark, str(tmp_path / "dist.txt")), 1)
+    pred = nb.knn_classify(near, labels.select("id", "label"))
+    got = {r.id: (r.predicted, r.actual) for r in pred.collect()}
+    # nearest of row0 is row1 (5), row1 -> row0 (5), row2 -> row1 (5), row3 -> row2 (6)
+    assert got == {ids[0]: (5.0, 5.0), ids[1]: (5.0, 5.0), ids[2]: (5.0, 6.0), ids[3]: (6.0, 6.0)}
+    assert nb.accuracy(pred).first().accuracy == 0.75
+    cm = {(r.predicted, r.actual): r.n for r in nb.confusion_matrix(pred).collect()}
+    assert cm == {(5.0, 5.0): 2, (5.0, 6.0): 1, (6.0, 6.0): 1}
+
+
+def test_row_ids_unique(spark):
+    df = spark.range(1000).repartition(7)
+    ids = nb.with_row_id(df, "rid").select("rid")
+    assert ids.distinct().count() == 1000

@@ -149,3 +149,24 @@ def test_lenient_date(spark):
     df = spark.createDataFrame([("3-Oct-2007",), ("garbage",)], "s string")
     assert [r[0] for r in df.select(clean.to_date("s")).collect()] == [dt.date(2007, 10, 3), None]
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_json_bad_record_skipped_or_kept(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "lines.json"),
+              '{"id": "1", "county": "A County", "population": "5"}\n{"id": 2, broken\n'
+              '{"county": "NoId", "population": "7"}\n')
+    schema = "id string, county string, population string"
+    good = read_json_records(spark, p, schema, member="id", multi_line=False)
+    assert [r.county for r in good.collect()] == ["A County"]
+    raw = read_json_records(spark, p, schema, multi_line=False, corrupt_column="_bad")
+    bad = [r._bad for r in raw.collect() if r._bad is not None]
+    assert bad == ['{"id": 2, broken']
+
+
+def test_csv_corrupt_rows(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "s.csv"), "gender,math\nfemale,72\nmale,abc\n")
+    df = read_csv(spark, p, schema="gender string, math int", corrupt_column="_bad")
+    rows = {r.gender: (r.math, r._bad) for r in df.collect()}
+    assert rows == {"female": (72, None), "male": (None, "male,abc")}
+    with pytest.raises(Exception):
+        read_csv(spark, p, schema="gender string, math int", mode="FAILFAST").collect()
