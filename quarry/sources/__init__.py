@@ -57,6 +57,25 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     return reader.csv(path)
 
 
+def read_fields(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
+                column: str = "fields") -> DataFrame:
+    """Header-less delimited lines as one array column of raw fields, for
+    files whose rows do not share one layout and are addressed by position
+    (see :func:`field`).  The split is literal: a quoted separator still
+    splits -- prefer :func:`read_csv` with a schema wherever the layout is
+    fixed."""
+    pattern = "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
+    return spark.read.text(path).select(F.split(F.col("value"), pattern).alias(column))
+
+
+def field(fields: str, position: int):
+    """Column: the field at ``position`` of an array of fields, 0-based from
+    the start, or counted from the end when negative (-1 is the last);
+    NULL when the row is shorter."""
+    idx = position + 1 if position >= 0 else position
+    return F.try_element_at(F.col(fields), F.lit(idx))
+
+
 def read_json_records(spark: SparkSession, path: str | Sequence[str], schema: StructType | str,
                       member: str | None = None, multi_line: bool = True,
                       corrupt_column: str | None = None) -> DataFrame:
