@@ -141,12 +141,17 @@ def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "v
                     F.col(vec_col).cast("array<double>").alias("v"))
     pts = pts.filter(F.col("v").isNotNull())
 
-    # -- 1. pivots: the P vectors with the smallest id hash (deterministic)
+    # -- 1. pivots: the P vectors with the smallest id hash (deterministic).
+    # A hash threshold first keeps about 4P rows, so the final ordered take
+    # merges a few thousand rows, not P rows from every input partition.
+    n = pts.count()
     if n_pivots is None:
-        n = pts.count()
         n_pivots = int(min(max_pivots, max(1, math.ceil(n / cell_rows))))
     n_pivots = max(1, min(n_pivots, max_pivots))
-    piv_rows = pts.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("v").collect()
+    modulus = 1_000_000_007
+    keep = min(modulus, math.ceil(modulus * min(1.0, 4.0 * n_pivots / max(n, 1))))
+    sample = pts.filter(F.pmod(F.xxhash64("id"), F.lit(modulus)) < F.lit(keep))
+    piv_rows = sample.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("v").collect()
     pivots = np.array([r["v"] for r in piv_rows], dtype=np.float64)
     if len(pivots) == 0:
         return spark.createDataFrame([], DISTANCE_SCHEMA)
