@@ -180,3 +180,10 @@ def test_fields_by_position_from_either_end(spark, tmp_dir):
     out = df.select(field("fields", 2).alias("county"), field("fields", -3).alias("t"),
                     field("fields", -1).cast("double").alias("sales"), field("fields", 40).alias("none"))
     assert [tuple(r) for r in out.collect()] == [("Polk", "Spiced Rum", 12.5, None), ("Story", "Vodka", 3.0, None)]
+
+
+def test_to_double_strict_and_lenient(spark):
+    df = spark.createDataFrame([(" 4.99",), ("n/a",)], "s string")
+    assert [r[0] for r in df.select(clean.to_double("s")).collect()] == [4.99, None]
+    with pytest.raises(PySparkException):
+        df.select(clean.to_double("s", strict=True)).collect()
