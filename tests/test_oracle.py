@@ -31,3 +31,14 @@ def test_entry_smoke(spark):
     first = df.schema
     assert df.count() > 0 and entry.entry(spark).schema == first
     assert SF001 in entry.SMOKE_DIR
+
+
+def test_column_types_match_oracle(spark, con):
+    names = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+             "StringType()": "VARCHAR", "DateType()": "DATE", "BooleanType()": "BOOLEAN"}
+    for name, query in entry.queries().items():
+        df = query(spark, SF01)
+        spark_types = {f.name: names.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+        rel = con.sql(entry.oracle_sql()[name])
+        duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        assert spark_types == duck_types, name
