@@ -233,11 +233,13 @@ def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "v
     live = size > 0
     keep = (lower <= upper[:, None] * (1 + 1e-9) + 1e-12) & live[:, None] & live[None, :]
     subs = np.maximum(1, np.ceil(size / block_rows)).astype(int)
-    pairs = [(int(i), int(j)) for i, j in zip(*np.nonzero(keep))]
-    if not pairs:
+    qi, rj = np.nonzero(keep)
+    if len(qi) == 0:
         return spark.createDataFrame([], DISTANCE_SCHEMA)
-    pair_df = spark.createDataFrame(pairs, "qcell int, rcell int")
-    nsub = spark.createDataFrame([(int(c), int(s)) for c, s in enumerate(subs)], "cell int, nsub int")
+    pair_df = spark.createDataFrame(pd.DataFrame({"qcell": qi.astype("int32"), "rcell": rj.astype("int32")}),
+                                    "qcell int, rcell int")
+    nsub = spark.createDataFrame(pd.DataFrame({"cell": np.arange(P, dtype="int32"), "nsub": subs.astype("int32")}),
+                                 "cell int, nsub int")
 
     # -- 4. blocks: sub-block by id hash; replicate rows to the units that need them
     blocks = cells.join(F.broadcast(nsub), on="cell") \
