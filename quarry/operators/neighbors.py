@@ -158,6 +158,22 @@ def _block_k_best(qv: np.ndarray, rv: np.ndarray, qid: np.ndarray, rid: np.ndarr
     return np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_d)
 
 
+def _surviving_cell_pairs(pivots: np.ndarray, size: np.ndarray, radius: np.ndarray,
+                          kth: np.ndarray) -> np.ndarray:
+    """Boolean P x P matrix: may a vector of cell j be among the k nearest
+    of a vector of cell i?  ``kth[j]`` is the (k+1)-th smallest pivot
+    distance in cell j (inf when the cell has fewer members).  Every vector
+    of cell i has k neighbours within ``U_i = min_j (R_i + D_ij + kth_j)``;
+    no vector of cell j is closer to one of cell i than
+    ``D_ij - R_i - R_j``; pairs whose lower bound exceeds ``U_i`` (with
+    a relative slack for rounding) are dropped."""
+    D = _pairwise(pivots, pivots)
+    upper = np.min(radius[:, None] + D + kth[None, :], axis=1)
+    lower = D - radius[:, None] - radius[None, :]
+    live = size > 0
+    return (lower <= upper[:, None] * (1 + 1e-9) + 1e-12) & live[:, None] & live[None, :]
+
+
 def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vector",
                     n_pivots: int | None = None, max_pivots: int = 1024,
                     cell_rows: int = 1024, block_rows: int = 2048) -> DataFrame:
@@ -227,11 +243,7 @@ def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "v
             t[r["cell"]] = r["t"]
 
     # -- 3. surviving cell pairs
-    D = _pairwise(pivots, pivots)
-    upper = np.min(radius[:, None] + D + t[None, :], axis=1)       # U_i
-    lower = D - radius[:, None] - radius[None, :]                   # LB_ij
-    live = size > 0
-    keep = (lower <= upper[:, None] * (1 + 1e-9) + 1e-12) & live[:, None] & live[None, :]
+    keep = _surviving_cell_pairs(pivots, size, radius, t)
     subs = np.maximum(1, np.ceil(size / block_rows)).astype(int)
     qi, rj = np.nonzero(keep)
     if len(qi) == 0:

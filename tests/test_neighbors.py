@@ -114,3 +114,22 @@ def test_row_ids_unique(spark):
     df = spark.range(1000).repartition(7)
     ids = nb.with_row_id(df, "rid").select("rid")
     assert ids.distinct().count() == 1000
+
+
+def test_cell_pairs_pruned_on_separated_clusters(spark):
+    """Pruning does happen on clustered data, and the search stays exact."""
+    rng = np.random.default_rng(11)
+    centers = rng.normal(scale=100, size=(8, 6))
+    vecs = np.concatenate([c + rng.normal(size=(40, 6)) for c in centers])
+    # pivots: one per cluster, as the hash sample would typically give with more data
+    pivots = centers.copy()
+    d = np.sqrt(((vecs[:, None, :] - pivots[None, :, :]) ** 2).sum(-1))
+    cell = d.argmin(1)
+    dp = d[np.arange(len(vecs)), cell]
+    size = np.bincount(cell, minlength=8)
+    radius = np.array([dp[cell == c].max() for c in range(8)])
+    kth = np.array([np.sort(dp[cell == c])[5] for c in range(8)])  # k=5 -> 6th smallest
+    keep = nb._surviving_cell_pairs(pivots, size, radius, kth)
+    assert keep.diagonal().all()
+    assert keep.sum() == 8  # only each cell with itself survives
+    _check(spark, list(range(len(vecs))), vecs, 5, n_pivots=16, block_rows=30)
