@@ -68,10 +68,13 @@ def with_row_id(df: DataFrame, name: str = "id") -> DataFrame:
 def k_nearest(distances: DataFrame, k: int, id_col: str = "id", paired_col: str = "paired",
               distance_col: str = "distance") -> DataFrame:
     """The ``k`` smallest distances of every id (fewer when it has fewer
-    partners); ties go to the smaller partner id.  Planned with a partial
-    ``WindowGroupLimit`` before the shuffle."""
-    w = Window.partitionBy(id_col).orderBy(F.col(distance_col).asc(), F.col(paired_col).asc())
-    return distances.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+    partners); ties go to the smaller partner id; records without a
+    distance are ignored.  Planned with a partial ``WindowGroupLimit``
+    before the shuffle."""
+    w = Window.partitionBy(id_col).orderBy(F.col(distance_col).asc_nulls_last(),
+                                           F.col(paired_col).asc_nulls_last())
+    return distances.filter(F.col(distance_col).isNotNull()) \
+        .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
 
 
 def knn_classify(neighbors: DataFrame, labels: DataFrame, id_col: str = "id", paired_col: str = "paired",
@@ -86,7 +89,7 @@ def knn_classify(neighbors: DataFrame, labels: DataFrame, id_col: str = "id", pa
     votes = neighbors.select(id_col, paired_col) \
         .join(lab, F.col(paired_col) == F.col("_pid")) \
         .groupBy(id_col, "_plabel").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(id_col).orderBy(F.col("_n").desc(), F.col("_plabel").asc())
+    w = Window.partitionBy(id_col).orderBy(F.col("_n").desc(), F.col("_plabel").asc_nulls_last())
     pred = votes.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1) \
         .select(id_col, F.col("_plabel").alias("predicted"))
     actual = labels.select(id_col, F.col(label_col).alias("actual"))

@@ -100,24 +100,42 @@ def long_by_dims(df: DataFrame, dims: Cols, keep: Cols, dim_name: str = "dim",
                         valueColumnName=value_name)
 
 
-def describe_by(df: DataFrame, dims: Cols, measures: Cols) -> DataFrame:
+def _grouped(long: DataFrame, measures: Cols, aggs: list, bad_groups: str) -> DataFrame:
+    if bad_groups not in ("keep", "drop"):
+        raise ValueError("bad_groups must be 'keep' or 'drop'")
+    if bad_groups == "keep":
+        return long.groupBy("dim", "value").agg(*aggs)
+    complete = F.lit(True)
+    for m in measures:
+        complete = complete & F.col(m).isNotNull()
+    out = long.groupBy("dim", "value").agg(*aggs, F.bool_and(complete).alias("_complete"))
+    return out.filter(F.col("_complete")).drop("_complete")
+
+
+def describe_by(df: DataFrame, dims: Cols, measures: Cols, bad_groups: str = "keep") -> DataFrame:
     """For each value of each dimension, mean and population standard
     deviation (divides by n) of every measure.
 
+    A NULL measure (e.g. a score that did not parse in lenient cleaning)
+    is skipped by the statistics (``bad_groups='keep'``), or removes its
+    whole group (``'drop'``, as the original jobs did).
+
     Output: ``dim, value, n, mean_<m>, std_<m>...``."""
     long = long_by_dims(df, dims, measures)
     aggs = [F.count(F.lit(1)).alias("n")]
     for m in measures:
         aggs += [F.avg(m).alias(f"mean_{m}"), F.stddev_pop(m).alias(f"std_{m}")]
-    return long.groupBy("dim", "value").agg(*aggs)
+    return _grouped(long, measures, aggs, bad_groups)
 
 
-def corr_by(df: DataFrame, dims: Cols, x: str, y: str, name: str = "pearson") -> DataFrame:
+def corr_by(df: DataFrame, dims: Cols, x: str, y: str, name: str = "pearson",
+            bad_groups: str = "keep") -> DataFrame:
     """C14: Pearson r of ``x`` and ``y`` for each value of each dimension
-    (NULL for a group with a constant side or a single row)."""
+    (NULL for a group with a constant side or a single row).
+    ``bad_groups`` as in :func:`describe_by`."""
     long = long_by_dims(df, dims, [x, y])
-    return long.groupBy("dim", "value").agg(pearson(x, y).alias(name),
-                                             F.count(F.lit(1)).alias("n"))
+    aggs = [pearson(x, y).alias(name), F.count(F.lit(1)).alias("n")]
+    return _grouped(long, [x, y], aggs, bad_groups)
 
 
 def per_capita(facts: DataFrame, fact_key: str, amount: str, population: DataFrame,

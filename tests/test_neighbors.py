@@ -133,3 +133,8 @@ def test_cell_pairs_pruned_on_separated_clusters(spark):
     assert keep.diagonal().all()
     assert keep.sum() == 8  # only each cell with itself survives
     _check(spark, list(range(len(vecs))), vecs, 5, n_pivots=16, block_rows=30)
+
+
+def test_k_nearest_ignores_missing_distances(spark):
+    d = spark.createDataFrame([(0, 1, None), (0, 2, 5.0), (0, 3, 7.0)], "id long, paired long, distance double")
+    assert [r.paired for r in nb.k_nearest(d, 1).collect()] == [2]

@@ -101,3 +101,18 @@ def test_per_capita_duplicate_population_fails(spark):
     out = st.per_capita(invoices, "county", "sales", pops, "county", "population",
                         unique_population=False).first()
     assert out.population == 4
+
+
+def test_bad_score_keeps_or_drops_group(spark):
+    from quarry.functions.clean import to_int
+
+    raw = spark.createDataFrame([("female", "72"), ("female", "x"), ("male", "60"), ("male", "70")],
+                                "gender string, math string")
+    df = raw.select("gender", to_int("math").alias("math"))
+    keep = {r.value: (r.n, r.mean_math) for r in st.describe_by(df, ["gender"], ["math"]).collect()}
+    assert keep == {"female": (2, 72.0), "male": (2, 65.0)}
+    drop = {r.value for r in st.describe_by(df, ["gender"], ["math"], bad_groups="drop").collect()}
+    assert drop == {"male"}
+    corr = {r.value for r in st.corr_by(df.withColumn("w", F.col("math")), ["gender"], "math", "w",
+                                         bad_groups="drop").collect()}
+    assert corr == {"male"}
