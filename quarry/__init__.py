@@ -14,7 +14,7 @@ Sub-packages:
 * ``quarry.operators`` -- relational, statistical, text-similarity and
                            nearest-neighbour operators
 * ``quarry.plans``     -- the operators bound to the driver's test tables
-* ``quarry.streaming`` -- running the batch operators on micro-batches
+* ``quarry.streaming`` -- no operators: the rebuilt jobs are bounded batch jobs
 """
 
 __version__ = "0.1.0"
