@@ -32,7 +32,7 @@ COUNTIES = [
 
 @pytest.fixture()
 def files(tmp_path):
-    inv = tmp_path / "iowa.csv"
+    inv = tmp_path / "invoices.csv"
     inv.write_text("\n".join(INVOICES) + "\n")
     cty = tmp_path / "counties.json"
     cty.write_text(json.dumps(COUNTIES, indent=2))
@@ -77,7 +77,7 @@ SCORES = '''"gender","race/ethnicity","parental level of education","lunch","tes
 
 
 def test_score_statistics_from_quoted_csv(spark, tmp_path):
-    p = tmp_path / "StudentsPerformance.csv"
+    p = tmp_path / "scores.csv"
     p.write_text(SCORES)
     schema = ("gender string, race string, parent string, lunch string, prep string, "
               "math string, reading string, writing string")
