@@ -175,7 +175,7 @@ def test_csv_corrupt_rows(spark, tmp_dir):
 def test_fields_by_position_from_either_end(spark, tmp_dir):
     from quarry.sources import field, read_fields
 
-    p = write(os.path.join(tmp_dir, "iowa.txt"), "1,x,Polk,a,Spiced Rum,750ml,12.5\n2,y,Story,Vodka,1L,3\n")
+    p = write(os.path.join(tmp_dir, "invoices.txt"), "1,x,Polk,a,Spiced Rum,750ml,12.5\n2,y,Story,Vodka,1L,3\n")
     df = read_fields(spark, p)
     out = df.select(field("fields", 2).alias("county"), field("fields", -3).alias("t"),
                     field("fields", -1).cast("double").alias("sales"), field("fields", 40).alias("none"))
