@@ -195,8 +195,10 @@ def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "v
     pts = pts.filter(F.col("v").isNotNull())
 
     # -- 1. pivots: the P vectors with the smallest id hash (deterministic).
-    # A hash threshold first keeps about 4P rows, so the final ordered take
-    # merges a few thousand rows, not P rows from every input partition.
+    # The hash threshold only chooses which vectors serve as pivots (about
+    # 4P candidates, so the ordered take merges a few thousand rows, not P
+    # rows from every input partition); every vector is still assigned to a
+    # cell and searched below.
     n = pts.count()
     if n_pivots is None:
         n_pivots = int(min(max_pivots, max(1, math.ceil(n / cell_rows))))
