@@ -61,6 +61,18 @@ def filter_sort_project(df: DataFrame, condition: Column, columns: Sequence[str
     return df.filter(condition).select(*columns).orderBy(*order_by)
 
 
+def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str]]],
+              how: str = "inner") -> DataFrame:
+    """``fact`` joined to each ``(dimension, key)`` in order, on
+    same-named key columns.  Put the most selective dimension first: the
+    joins run in the given order.  No hints -- the planner and AQE pick
+    broadcast or sort-merge for each join from the sizes."""
+    out = fact
+    for dim, key in dims:
+        out = out.join(dim, on=key, how=how)
+    return out
+
+
 def semi_join_on_day(entities: DataFrame, events: DataFrame, entity_key: str, event_key: str,
                      event_day: str, day: str | _dt.date, columns: Sequence[str],
                      order_by: Sequence[str | Column]) -> DataFrame:

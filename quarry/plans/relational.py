@@ -95,10 +95,11 @@ def revenue_in_month(spark: SparkSession, sf: str) -> DataFrame:
     that month's items."""
     orders = table(spark, sf, "orders").filter(rel.day_between("o_orderdate", MONTH_FROM, MONTH_TO)) \
         .select(F.col("o_orderkey").alias("l_orderkey"))
-    month_items = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(orders, on="l_orderkey")
     goods = table(spark, sf, "part").filter(F.col("p_type") == MONTH_FLAVOR) \
         .select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    return rel.total(month_items.join(goods, on="l_partkey"), "p_retailprice", "revenue")
+    items = rel.star_join(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey"),
+                          [(orders, "l_orderkey"), (goods, "l_partkey")])
+    return rel.total(items, "p_retailprice", "revenue")
 
 
 def busy_days(spark: SparkSession, sf: str) -> DataFrame:

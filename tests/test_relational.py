@@ -103,3 +103,10 @@ def test_day_between_on_timestamps(spark):
     df = spark.createDataFrame([(dt.datetime(2007, 10, 31, 23, 59),), (dt.datetime(2007, 11, 1, 0, 0),)],
                                "t timestamp_ntz")
     assert df.filter(rel.day_between("t", "2007-10-01", "2007-10-31")).count() == 1
+
+
+def test_star_join_chain(bakery):
+    customers, goods, receipts, items = bakery
+    joined = rel.star_join(receipts, [(items, "Reciept"), (goods, "GId"), (customers, "CId")])
+    assert joined.count() == items.join(receipts, "Reciept").count()
+    assert {"Reciept", "GId", "CId", "Price", "LastName"} <= set(joined.columns)
