@@ -140,6 +140,7 @@ def total(df: DataFrame, value: str | Column, name: str, scale: int | None = 2)
 def top_n(df: DataFrame, order_by: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows in ``order_by``; give a total order (add the
     keys as tie-breakers) for a deterministic answer.  Planned as
-    ``TakeOrderedAndProject``: each task keeps its own n best, the driver
-    merges n per task, never the whole input."""
+    ``TakeOrderedAndProject``: each task keeps its own n best, and one
+    final task (the driver, when collected) merges n rows per input
+    partition -- never the whole input."""
     return df.orderBy(*order_by).limit(n)
