@@ -65,6 +65,26 @@ def with_row_id(df: DataFrame, name: str = "id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def with_row_index(df: DataFrame, name: str = "id") -> DataFrame:
+    """Consecutive 0-based row positions in scan order (what a positional
+    id in a companion file refers to), without a single-partition window
+    over the data: rows are counted per input partition (one small row per
+    partition), the running offsets are broadcast, and each row adds its
+    position inside its partition.  The input must have a stable
+    partitioning, e.g. a file scan, so a recomputed partition gets the same
+    positions."""
+    tagged = df.withColumn("_pid", F.spark_partition_id()) \
+        .withColumn("_mid", F.monotonically_increasing_id())
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.withColumn(
+        "_off", F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
+        - F.col("_cnt")).select("_pid", "_off")
+    first_id = F.col("_pid").cast("long") * F.lit(1 << 33)   # where each partition's ids start
+    return tagged.join(F.broadcast(offsets), on="_pid") \
+        .withColumn(name, F.col("_off") + F.col("_mid") - first_id) \
+        .drop("_pid", "_mid", "_off")
+
+
 def k_nearest(distances: DataFrame, k: int, id_col: str = "id", paired_col: str = "paired",
               distance_col: str = "distance") -> DataFrame:
     """The ``k`` smallest distances of every id (fewer when it has fewer
