@@ -1,4 +1,8 @@
-"""The library's operators bound to the driver's test tables.
+"""The library's operators bound to data.
+
+``relational``, ``stats``, ``text``, ``neighbors`` and ``sources`` bind them
+to the driver's test tables (the registered queries); ``bakery`` and
+``jobs`` run the original jobs on their own file layouts.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name]`` (the
 same question in DuckDB SQL over views of the same parquet tables) are
