@@ -1,6 +1,7 @@
-"""Results do not depend on the physical plan Spark picks: every registered
-query is compared with its oracle again with broadcasts disabled (all
-sort-merge joins), AQE off and an odd number of shuffle partitions."""
+"""Results do not depend on the physical plan Spark picks or on ANSI mode:
+every registered query is compared with its oracle again with broadcasts
+disabled (all sort-merge joins), AQE off, an odd number of shuffle
+partitions and ANSI mode off (the default suite runs with it on)."""
 
 import pytest
 
@@ -12,6 +13,7 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.enabled": "false",
     "spark.sql.shuffle.partitions": "13",
+    "spark.sql.ansi.enabled": "false",
 }
 
 
