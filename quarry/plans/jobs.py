@@ -20,6 +20,7 @@ small jobs they need to pick positions first).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,21 +70,28 @@ def keyword_correlation(spark: SparkSession, invoices: str, x_keyword: str = KEY
                                   x_keyword, y_keyword, **match_opts)
 
 
+def _safe(name: str) -> str:
+    return re.sub(r"\W+", "_", name).strip("_") or "col"
+
+
 def _scores(spark: SparkSession, path: str) -> tuple[DataFrame, list[str], list[str]]:
+    """Typed scores: the attribute columns keep their header names (made
+    identifier-safe), the scores become ints with quotes removed."""
     df = read_csv(spark, path, header=True)
     cols = df.columns
     dims = [cols[i] for i in SCORE_ATTRIBUTES]
     measures = [cols[i] for i in SCORE_FIELDS]
-    typed = df.select(*[F.col(f"`{d}`").alias(f"d{i}") for i, d in enumerate(dims)],
-                      *[to_int(strip_chars(F.col(f"`{m}`"))).alias(f"m{i}") for i, m in enumerate(measures)])
-    return typed, [f"d{i}" for i in range(len(dims))], [f"m{i}" for i in range(len(measures))]
+    typed = df.select(*[F.col(f"`{d}`").alias(_safe(d)) for d in dims],
+                      *[to_int(strip_chars(F.col(f"`{m}`"))).alias(_safe(m)) for m in measures])
+    return typed, [_safe(d) for d in dims], [_safe(m) for m in measures]
 
 
 def score_statistics(spark: SparkSession, path: str, bad_groups: str = "drop") -> DataFrame:
     """Mean and population std dev of the three scores for each value of
-    the three attributes (``dim`` is the attribute's position name ``d0``,
-    ``d1``, ``d2``; measures ``m0``..``m2`` follow the file's order).  By
-    default a group with an unparsable score is dropped, as originally."""
+    the three attributes.  ``dim`` names the attribute by its header (made
+    identifier-safe, e.g. ``race_ethnicity``); the columns are
+    ``mean_<score>`` / ``std_<score>``.  By default a group with an
+    unparsable score is dropped, as originally."""
     typed, dims, measures = _scores(spark, path)
     return st.describe_by(typed, dims, measures, bad_groups=bad_groups)
 

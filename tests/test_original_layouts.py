@@ -128,12 +128,12 @@ SCORES = '''"gender","race","parent","lunch","prep","math score","reading score"
 def test_score_jobs_drop_group_with_bad_score(spark, tmp_path):
     (tmp_path / "s.csv").write_text(SCORES)
     stats = {(r.dim, r.value): r for r in jobs.score_statistics(spark, str(tmp_path / "s.csv")).collect()}
-    assert ("d0", "female") not in stats and ("d1", "group B") not in stats   # bad score drops them
-    assert stats[("d0", "male")].mean_m0 == pytest.approx(68.5)
-    assert stats[("d0", "male")].std_m0 == pytest.approx(21.5)
+    assert ("gender", "female") not in stats and ("race", "group B") not in stats   # bad score drops them
+    assert stats[("gender", "male")].mean_math_score == pytest.approx(68.5)
+    assert stats[("gender", "male")].std_math_score == pytest.approx(21.5)
     corr = {(r.dim, r.value): r.pearson for r in jobs.score_correlation(spark, str(tmp_path / "s.csv")).collect()}
-    assert corr[("d0", "male")] == pytest.approx(1.0)
-    assert ("d0", "female") not in corr
+    assert corr[("gender", "male")] == pytest.approx(1.0)
+    assert ("gender", "female") not in corr and ("prep", "none") not in corr
 
 
 def test_document_similarity_and_knn_files(spark, tmp_path):
