@@ -31,11 +31,15 @@ def materialize(df: DataFrame) -> DataFrame:
     its lineage is cut, so a lost executor costs a re-read of shared
     storage, not a recomputation; and, unlike an RDD checkpoint, the
     written table carries its real size, so the planner and AQE can pick
-    join strategies from it.  The folder is ``spark.checkpoint.dir``
+    join strategies from it.  A table read back in fewer splits than the
+    cluster runs at once (AQE writes a small table as few files) is
+    spread over the cluster; a large one is returned as read.  The folder is ``spark.checkpoint.dir``
     (shared storage on a cluster); only a local session without one gets
     a scratch folder."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/quarry-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # AQE may have written a small table as one file; spread it so the
+    # branches that read it do not run as one task
+    return spread(spark.read.parquet(path))
