@@ -138,3 +138,13 @@ def test_cell_pairs_pruned_on_separated_clusters(spark):
 def test_k_nearest_ignores_missing_distances(spark):
     d = spark.createDataFrame([(0, 1, None), (0, 2, 5.0), (0, 3, 7.0)], "id long, paired long, distance double")
     assert [r.paired for r in nb.k_nearest(d, 1).collect()] == [2]
+
+
+def test_fewer_vectors_than_k_and_empty_input(spark):
+    df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [5.0, 0.0])], "id long, vector array<double>")
+    got = {}
+    for r in nb.nearest_vectors(df, 5).collect():
+        got.setdefault(r.id, []).append(r.paired)
+    assert {i: sorted(v) for i, v in got.items()} == {1: [2, 3], 2: [1, 3], 3: [1, 2]}
+    empty = spark.createDataFrame([], "id long, vector array<double>")
+    assert nb.nearest_vectors(empty, 3).count() == 0
