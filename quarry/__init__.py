@@ -18,3 +18,23 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_code_with_tasks() -> None:
+    """Have Spark serialise this package's functions by value.
+
+    The few Arrow-batched stages (kNN cell assignment and block kernel) run
+    functions of this package inside the Python workers.  Pickled by value,
+    they reach every executor with the task itself, so the package does not
+    have to be installed there or be on the workers' path.
+    """
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pyspark without its bundled cloudpickle: install the package instead
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_code_with_tasks()
