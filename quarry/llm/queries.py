@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import lines, shards, topk
+from quarry.llm import lines, packing, shards, tokenfiles, topk
+from quarry.llm.common import WorkFolder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +19,12 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.filter(F.col("vec_id") % 50 == 0), vectors, 5, "vec_id", "embedding")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into sequences of 2048 token ids, planned as a cutting-stock problem."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, WorkFolder(spark), capacity=2048, end_id=1)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand on over 8 % of their site's pages."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -36,7 +43,14 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op6_line_dedup, op7_ring_shards)}
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token-id files with 64-bit offsets, written and read back."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest, folder = tokenfiles.save_tokens(docs, WorkFolder(spark), end_id=2, width=2)
+    return tokenfiles.read_tokens(manifest, folder)
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op3_packing, op6_line_dedup, op7_ring_shards, op8_token_files)}
 
 ORACLE = {
     "op1_topk": """
