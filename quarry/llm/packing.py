@@ -63,62 +63,101 @@ def price(dual: np.ndarray, width: int) -> tuple[float, np.ndarray]:
         best[w], take[w] = value[i], i + 1
     pattern = np.zeros(len(dual), np.int64)
     w = width
-    while w > 0 and take[w] and best[w] > 0:
-        if worth[take[w] - 1] <= 0:
-            break
-        pattern[take[w] - 1] += 1
+    while w > 0 and best[w] > 0:
+        pattern[take[w] - 1] += worth[take[w] - 1] > 0
         w -= int(take[w])
     return float(best[width]), pattern
 
 
-def cutting_stock(demand: np.ndarray, width: int, max_steps: int = 20_000) -> list[tuple[int, dict[int, int]]]:
+def greedy_patterns(need: np.ndarray, widths: np.ndarray, width: int) -> list[np.ndarray]:
+    """Patterns that first-fit decreasing would cut, each as often as it can be."""
+    left = need.astype(np.int64).copy()
+    out = []
+    while left.any():
+        pattern, room = np.zeros(len(left), np.int64), width
+        for i in range(len(left) - 1, -1, -1):
+            if left[i] and widths[i] <= room:
+                pattern[i] = min(room // widths[i], left[i])
+                room -= pattern[i] * widths[i]
+        used = pattern > 0
+        left[used] -= pattern[used] * int((left[used] // pattern[used]).min())
+        out.append(pattern)
+    return out
+
+
+def cutting_stock(demand: np.ndarray, width: int, gap: float = 1e-3,
+                  max_steps: int = 4_000) -> list[tuple[int, dict[int, int]]]:
     """Patterns and how often each is cut, covering ``demand[c - 1]`` pieces of
     every class ``c``: ``[(count, {class: pieces})]``.
 
     Column generation on the covering program (fewest sequences) by revised
-    simplex, started from one pattern a class; ``max_steps`` only bounds the
-    effort (any basis on the way is a cover).  Counts are rounded down and the
-    pieces left, at most a pattern's worth for each class, placed first-fit
-    from the widest.
+    simplex, started from one pattern a class and the greedy ones, and ended
+    within ``gap`` of the program's optimum; ``max_steps`` only bounds the
+    effort (any basis on the way is a cover).  Duals are smoothed towards the
+    best bound's (Wentges 1997).  Counts are rounded down and the pieces left,
+    at most a pattern's worth for each class, placed first-fit from the widest.
     """
     classes = np.flatnonzero(demand > 0)
     if not len(classes):
         return []
     m = len(classes)
     need = demand[classes].astype(float)
-    base = np.zeros((m, m))
-    base[np.arange(m), np.arange(m)] = width // (classes + 1)
-    inverse = np.linalg.inv(base)
+    base = np.diag((width // (classes + 1)).astype(float))
+    inverse = np.diag(1.0 / base.diagonal())
     cost = np.ones(m)
     x = inverse @ need
-    for step in range(max_steps):
-        dual = cost @ inverse
-        low = int(np.argmin(dual))
-        if dual[low] < -1e-9:  # a surplus column pays
-            column, c = np.zeros(m), 0.0
-            column[low] = -1.0
-        else:
-            full = np.zeros(int(classes[-1]) + 1)
-            full[classes] = dual
-            value, pattern = price(full, width)
-            if value <= 1 + 1e-9:
-                break
-            column, c = pattern[classes].astype(float), 1.0
+    bound, inner = 0.0, None
+
+    def enter(column: np.ndarray, c: float) -> bool:
+        nonlocal inverse, x
         way = inverse @ column
-        rises = way > 1e-11
+        rises = way > 1e-9
         if not rises.any():
-            break
+            return False
         ratio = np.full(m, np.inf)
         ratio[rises] = np.maximum(x[rises], 0) / way[rises]
         out = int(np.argmin(ratio))
         base[:, out], cost[out] = column, c
-        if step % 100 == 99:  # fresh inverse against rounding
-            inverse = np.linalg.inv(base)
-        else:
-            row = inverse[out] / way[out]
-            inverse = inverse - np.outer(way, row)
-            inverse[out] = row
+        row = inverse[out] / way[out]
+        inverse = inverse - np.outer(way, row)
+        inverse[out] = row
         x = inverse @ need
+        return True
+
+    def priced(duals: np.ndarray) -> tuple[float, np.ndarray]:
+        full = np.zeros(int(classes[-1]) + 1)
+        full[classes] = duals
+        value, pattern = price(full, width)
+        return value, pattern[classes].astype(float)
+
+    for pattern in greedy_patterns(need, classes + 1, width):
+        if (cost @ inverse) @ pattern > 1 + 1e-7:
+            enter(pattern.astype(float), 1.0)
+    for step in range(max_steps):
+        if step % 400 == 399:  # fresh inverse against rounding
+            inverse = np.linalg.inv(base)
+            x = inverse @ need
+        dual = cost @ inverse
+        tried = dual if inner is None else 0.8 * inner + 0.2 * dual
+        value, column = priced(tried)
+        # scaled by the best pattern's value, duals bound every plan from below (Farley)
+        here = need @ np.maximum(tried, 0) / max(value, 1e-12)
+        if here > bound:
+            bound, inner = here, np.maximum(tried, 0) / max(value, 1e-12)
+        if dual @ column <= 1 + 1e-7:  # smoothed too far: price the true duals
+            value, column = priced(dual)
+            here = need @ np.maximum(dual, 0) / max(value, 1e-12)
+            if here > bound:
+                bound, inner = here, np.maximum(dual, 0) / max(value, 1e-12)
+        if cost @ x <= bound * (1 + gap):
+            break
+        if dual @ column > 1 + 1e-7:
+            done = not enter(column, 1.0)
+        else:  # no pattern pays: a surplus column
+            low = int(np.argmin(dual))
+            done = dual[low] >= -1e-9 or not enter(-np.eye(m)[low], 0.0)
+        if done:
+            break
     plan: list[tuple[int, dict[int, int]]] = []
     left = demand.astype(np.int64).copy()
     for k in range(m):
