@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import lines, packing, shards, tokenfiles, topk
+from quarry.llm import bpe, lines, packing, shards, tokenfiles, topk
 from quarry.llm.common import WorkFolder
 
 
@@ -50,7 +50,13 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_tokens(manifest, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op3_packing, op6_line_dedup, op7_ring_shards, op8_token_files)}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by a byte-level BPE vocabulary, and decoded again."""
+    return bpe.bpe_digests(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op3_packing, op6_line_dedup, op7_ring_shards, op8_token_files,
+                                  op10_byte_bpe)}
 
 ORACLE = {
     "op1_topk": """

@@ -133,5 +133,6 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
                         pa.array(r["base"] + offsets[lo:hi]), pa.array(np.diff(offsets[lo:hi + 1])),
                         pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = manifest.repartition(F.col("part"))  # a part's files are one task's work
+    parts = max(1, manifest.count())  # one row a partition; a part's files are one task's work
+    spread = manifest.repartition(parts, F.col("part"))
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
