@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, lines, packing, shards, tokenfiles, topk
+from quarry.llm import bpe, lines, packing, pii, shards, tokenfiles, topk, toxicity
 from quarry.llm.common import WorkFolder
 
 
@@ -19,6 +19,19 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.filter(F.col("vec_id") % 50 == 0), vectors, 5, "vec_id", "embedding")
 
 
+def held_out(doc_id: Column) -> Column:
+    """The third of the ids that labels are never learned from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents; labels learned from rows not held out."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.toxicity(docs, _read(spark, sf_dir, "labels"), WorkFolder(spark),
+                            train=lambda i: ~held_out(i), rows=4000, threshold=0.7)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut into sequences of 2048 token ids, planned as a cutting-stock problem."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,13 +63,18 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_tokens(manifest, folder)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents, disguised or not, by source positions."""
+    return pii.pii_spans(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by a byte-level BPE vocabulary, and decoded again."""
     return bpe.bpe_digests(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op3_packing, op6_line_dedup, op7_ring_shards, op8_token_files,
-                                  op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_toxicity, op3_packing, op6_line_dedup, op7_ring_shards, op8_token_files,
+                                  op9_pii, op10_byte_bpe)}
 
 ORACLE = {
     "op1_topk": """
