@@ -7,8 +7,10 @@ denied, one that is only reported.  A text's score comes from how many clauses
 of each kind it has, never from isolated words.
 
 The insult transducer's lexicon has a fixed part and a learned part: word
-stems that labelled toxic texts use in many different contexts and clean ones
-do not.  The weights start from fixed values and are fitted to labelled rows.
+stems that labelled toxic texts repeat in different contexts and clean ones
+seldom hold.  Clauses with a learned stem are a kind of their own (what is
+learned from counts says nothing of syntax), weighed by the number and
+density of its matches.  The weights start from fixed values and are fitted to labelled rows.
 """
 
 from __future__ import annotations
@@ -39,8 +41,9 @@ INTENT = "will gonna shall i'll we'll going want werde werden vais voy".split()
 
 #: Kinds of clauses, and the weights they have before any fit (log odds for
 #: each unit of log(1 + clauses)); the first is the weight of no clause at all.
-KINDS = ("bare insult", "aimed insult", "bare threat", "aimed threat", "denied", "reported")
-PRIOR = np.array([-3.0, 4.0, 5.0, 0.5, 5.0, 0.3, 0.8])
+KINDS = ("bare insult", "aimed insult", "bare threat", "aimed threat", "denied", "reported", "learned")
+#: ... the last is for learned matches per 10,000 characters.
+PRIOR = np.array([-3.0, 4.0, 5.0, 0.5, 5.0, 0.3, 0.8, 1.0, 0.3])
 
 _SYMBOL = {w: s for s, ws in (("T", THREAT), ("G", TARGET), ("N", NEGATION), ("R", REPORT), ("W", INTENT))
            for w in ws}
@@ -54,7 +57,7 @@ class Grammar:
     """The five transducers run as one: states are made when first reached and
     every step is a table lookup from then on."""
 
-    START = (0, 0, 0, 0, 0, 0)  # target, negation's reach left, reported, intent, insult, threat
+    START = (0, 0, 0, 0, 0, 0, 0)  # target, negation's reach left, reported, intent, insult, threat, learned
 
     def __init__(self):
         self.steps: dict[tuple, tuple] = {}
@@ -67,7 +70,7 @@ class Grammar:
 
     @staticmethod
     def _step(state: tuple, symbol: str) -> tuple:
-        target, reach, report, intent, insult, threat = state
+        target, reach, report, intent, insult, threat, learned = state
         reach = max(0, reach - 1)
         if symbol == "G":
             target = 1
@@ -77,24 +80,28 @@ class Grammar:
             report = 1
         elif symbol == "W":
             intent = 1
+        elif symbol == "L":
+            learned = 1
         elif symbol in "IT":
             level = 1 if reach else 2 if report else 3  # denied, reported, meant
             if symbol == "I":
                 insult = max(insult, level)
             else:
                 threat = max(threat, level)
-        return target, reach, report, intent, insult, threat
+        return target, reach, report, intent, insult, threat, learned
 
     @staticmethod
     def kind(state: tuple) -> int | None:
         """Number of the clause's kind in ``KINDS``."""
-        target, _, _, intent, insult, threat = state
+        target, _, _, intent, insult, threat, learned = state
         if threat == 3 and target and intent:
             return 3
         if insult == 3:
             return 1 if target else 0
         if threat == 3:
             return 2
+        if learned:
+            return 6
         level = max(insult, threat)
         return None if not level else 4 if level == 1 else 5
 
@@ -118,9 +125,15 @@ class Scorer:
         if word in self.whole:
             return "T" if word in _SYMBOL else "I"
         if self.stems and word.startswith(self.stems):
-            return "I"
+            return "L"
         return _SYMBOL.get(word, "-")
 
+    def features(self, text: str | None) -> list[float]:
+        """Clauses of each kind in a text (of the learned kind: matches in them),
+        and learned matches per 10,000 characters."""
+        out = self.counts(text)
+        return [*out, out[-1] * 1e4 / max(100, len(text or ""))]
+
     def counts(self, text: str | None) -> list[int]:
         """Clauses of each kind in a text."""
         out = [0] * len(KINDS)
@@ -135,7 +148,7 @@ class Scorer:
             begin = max(done, *(low.rfind(c, done, start) + 1 for c in ".!?;\n"))
             m = _STOP.search(low, last + 1)
             end = m.start() if m else len(low)
-            state = Grammar.START
+            state, learned = Grammar.START, 0
             for w in _WORD.finditer(low, begin, end):
                 word = w[0].replace("’", "'")
                 symbol = self._symbol(word)
@@ -143,17 +156,18 @@ class Scorer:
                     symbol = "N"
                 elif symbol == "-" and "'" in word:
                     symbol = _SYMBOL.get(word.split("'")[0], "-")
+                learned += symbol == "L"
                 state = self.grammar.step(state, symbol)
             kind = self.grammar.kind(state)
             if kind is not None:
-                out[kind] += 1
+                out[kind] += learned or 1 if kind == 6 else 1
             done = end
         return out
 
 
 def score(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Probability of the toxic label from clause counts."""
-    z = weights[0] + np.log1p(np.asarray(counts, float)) @ weights[1:]
+    """Probability of the toxic label from a text's features."""
+    z = weights[0] + np.log1p(np.asarray(counts, float).reshape(-1, len(weights) - 1)) @ weights[1:]
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
@@ -195,40 +209,44 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         .select("text", "y")
 
 
-def candidate_stems(sample: DataFrame, sizes: tuple[int, ...] = tuple(range(4, 13)), min_contexts: int = 3,
-                    purity: float = 0.03, max_stems: int = 2000) -> list[str]:
-    """Word beginnings that the sample's toxic texts use and its clean ones
-    don't, most used first.
+def candidate_stems(sample: DataFrame, sizes: tuple[int, ...] = tuple(range(4, 11)), min_contexts: int = 3,
+                    lift: float = 4.0, max_stems: int = 2000) -> list[str]:
+    """Word beginnings ``lift`` times as common in the sample's toxic texts as
+    in its clean ones, best first (by support times log lift).
 
     A stem's support is the number of different (word, word before) pairs in
-    toxic texts, so copies of one text count once; at most ``purity`` of its
-    uses may be in clean texts.  Of beginnings with equal support the longest
-    stands for all.  At most ``max_stems`` rows come to the driver.
+    the texts, so copies of one text count once.  At most ``max_stems`` rows
+    come to the driver.
     """
     tokens = sample.select("y", F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)).alias("w"))
     both = F.arrays_zip(F.col("w").alias("word"), F.concat(F.array(F.lit("")), F.col("w")).alias("prior"))
     pairs = tokens.select("y", F.explode(both).alias("p")).select("y", "p.word", "p.prior") \
-        .filter(F.length("word") >= min(sizes))
-    seen = pairs.groupBy("word", "prior").agg(F.max("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean")) \
-        .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .filter(F.length("word") >= min(sizes)).distinct()
+    words = pairs.groupBy("word").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
+    all_ = words.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
+    if not all_["t"]:
+        return []
     ends = F.array_distinct(F.array(*[F.substring("word", 1, n) for n in sizes]))
-    stems = seen.select(F.explode(ends).alias("stem"), "toxic", "clean").groupBy("stem") \
+    rate = (F.col("toxic") / F.lit(float(all_["t"]))) / ((F.col("clean") + 0.5) / F.lit(float((all_["c"] or 0) + 1)))
+    stems = words.select(F.explode(ends).alias("stem"), "toxic", "clean").groupBy("stem") \
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")) \
-        .filter((F.col("toxic") >= min_contexts) & (F.col("clean") <= purity * F.col("toxic"))) \
-        .orderBy(F.col("toxic").desc(), F.length("stem").desc(), "stem").limit(max_stems)
-    rows = [(r["stem"], r["toxic"]) for r in stems.collect()]
-    return [s for s, n in rows if not any(t != s and m == n and t.startswith(s) for t, m in rows)]
-
-
-def learned_stems(sample: DataFrame, min_share: float = 0.002, min_texts: int = 2, purity: float = 0.03) -> list[str]:
-    """Stems that explain toxic texts the lexicon so far does not reach.
-
-    Greedy cover over the candidates: the stem found in most toxic texts not
-    yet reached is taken while these are ``min_texts`` and ``min_share`` of
-    the toxic texts at least, and clean texts with it at most ``purity`` of
-    the toxic ones.  Words that come with a copied text explain no more than
-    the stem already taken for it.  The sample, and so the rows that come to
-    the driver, are bounded.
+        .filter((F.col("toxic") >= min_contexts) & (rate >= lift)) \
+        .orderBy((F.col("toxic") * F.log(rate)).desc(), F.length("stem").desc(), "stem").limit(max_stems)
+    return [r["stem"] for r in stems.select("stem").collect()]
+
+
+def learned_stems(sample: DataFrame, min_share: float = 0.002, min_texts: int = 2, repeats: int = 2,
+                  clean_share: float = 0.1) -> list[str]:
+    """Stems that explain toxic texts the fixed lexicon does not reach.
+
+    A text counts for a stem when the stem begins ``repeats`` of its words:
+    one alone may be chance.  Greedy cover: the stem of most toxic texts not
+    yet reached is taken (the longest of equals) while these are
+    ``min_texts`` and ``min_share`` of the toxic texts at least, and clean
+    texts count for it at most ``clean_share`` times as often as toxic ones.
+    Words that come with a copied text explain no more than the stem already
+    taken for it.  The sample, and so the rows that come to the driver, are
+    bounded.
     """
     stems = candidate_stems(sample)
     if not stems:
@@ -238,18 +256,19 @@ def learned_stems(sample: DataFrame, min_share: float = 0.002, min_texts: int =
         fixed, own = Scorer([]), Scorer(stems)
         number = {s: i for i, s in enumerate(stems)}
         for b in batches:
-            rows = []
+            reached, found = [], []
             for t in b.column(1).to_pylist():
-                low, found = t.lower(), set()
+                low, times = t.lower(), {}
                 for last, size in own.match.iter(low):
                     start = last - size + 1
-                    if not (start and low[start - 1].isalpha()) and low[start:last + 1] in number:
-                        found.add(number[low[start:last + 1]])
-                # of a word's stems the automaton gives each that ends in it
-                rows.append({"reached": any(fixed.counts(t)), "stems": sorted(found)})
+                    n = number.get(low[start:last + 1])
+                    if n is not None and not (start and low[start - 1].isalpha()):
+                        times[n] = times.get(n, 0) + 1
+                reached.append(any(fixed.counts(t)))
+                found.append(sorted(n for n, k in times.items() if k >= repeats))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([r["reached"] for r in rows], pa.bool_()),
-                 pa.array([r["stems"] for r in rows], pa.list_(pa.int32()))], ["y", "reached", "stems"])
+                [b.column(0), pa.array(reached, pa.bool_()), pa.array(found, pa.list_(pa.int32()))],
+                ["y", "reached", "stems"])
 
     texts = sample.select("y", "text").mapInArrow(scan, "y int, reached boolean, stems array<int>").collect()
     with_stem: list[set[int]] = [set() for _ in stems]
@@ -260,10 +279,11 @@ def learned_stems(sample: DataFrame, min_share: float = 0.002, min_texts: int =
                 with_stem[s].add(i)
             else:
                 clean[s] += 1
-    toxic = sum(r["y"] for r in texts)
+    n_toxic = sum(r["y"] for r in texts)
+    n_clean = max(1, len(texts) - n_toxic)
     open_ = {i for i, r in enumerate(texts) if r["y"] and not r["reached"]}
-    least = max(min_texts, math.ceil(min_share * toxic))
-    left = [s for s in range(len(stems)) if clean[s] <= purity * len(with_stem[s])]
+    least = max(min_texts, math.ceil(min_share * n_toxic))
+    left = [s for s in range(len(stems)) if clean[s] / n_clean <= clean_share * len(with_stem[s]) / max(1, n_toxic)]
     out: list[str] = []
     while left and open_:
         best = max(left, key=lambda s: (len(with_stem[s] & open_), len(stems[s]), -s))
@@ -277,8 +297,8 @@ def learned_stems(sample: DataFrame, min_share: float = 0.002, min_texts: int =
 
 def clause_counts(docs: DataFrame, text_col: str, stems: list[str], weights: np.ndarray | None = None,
                   column: str = "score") -> DataFrame:
-    """``docs`` with a score column (or, without weights, the clause counts as
-    an array) in place of ``text_col``; rows are independent."""
+    """``docs`` with a score column (or, without weights, the features as an
+    array) in place of ``text_col``; rows are independent."""
     at = docs.columns.index(text_col)
     keep = [i for i in range(len(docs.columns)) if i != at and docs.columns[i] != column]
     key = f"toxicity:{hash(tuple(stems))}"
@@ -286,14 +306,14 @@ def clause_counts(docs: DataFrame, text_col: str, stems: list[str], weights: np.
     def scan(batches):
         scorer = worker_state(key, lambda: Scorer(stems))
         for b in batches:
-            counts = np.array([scorer.counts(t.as_py()) for t in b.column(at)], dtype=np.int64).reshape(-1, len(KINDS))
-            new = pa.array(counts.tolist(), pa.list_(pa.int64())) if weights is None else pa.array(score(counts, weights))
+            counts = [scorer.features(t.as_py()) for t in b.column(at)]
+            new = pa.array(counts, pa.list_(pa.float64())) if weights is None else pa.array(score(counts, weights))
             yield pa.RecordBatch.from_arrays([b.column(i) for i in keep] + [new],
                                              [b.schema.names[i] for i in keep] + [column])
 
     from pyspark.sql import types as T
 
-    kind = T.ArrayType(T.LongType()) if weights is None else T.DoubleType()
+    kind = T.ArrayType(T.DoubleType()) if weights is None else T.DoubleType()
     schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField(column, kind)])
     return docs.mapInArrow(scan, schema)
 
@@ -305,7 +325,8 @@ def learn(docs: DataFrame, labels: DataFrame, work: WorkFolder, id_col: str = "d
     stems = learned_stems(sample)
     got = clause_counts(sample.select("y", "text"), "text", stems, column="counts").collect()  # bounded by the sample
     work.drop(sample)
-    return stems, fit(np.array([r["counts"] for r in got]).reshape(-1, len(KINDS)), np.array([r["y"] for r in got], float))
+    counts = np.array([r["counts"] for r in got], float).reshape(-1, len(PRIOR) - 1)
+    return stems, fit(counts, np.array([r["y"] for r in got], float))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col: str = "text",
@@ -335,7 +356,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, work: WorkFolder, id_col: s
     def keep(batches):
         scorer = worker_state(key, lambda: Scorer(stems))
         for b in batches:
-            counts = np.array([scorer.counts(t.as_py()) for t in b.column(at)], dtype=np.int64).reshape(-1, len(KINDS))
+            counts = [scorer.features(t.as_py()) for t in b.column(at)]
             yield b.filter(pa.array(score(counts, weights) < threshold))
 
     return docs.mapInArrow(keep, docs.schema)
