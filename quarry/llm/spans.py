@@ -164,6 +164,33 @@ def distinct(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], code
 
 
+def whole_rows(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(rows, values, counts)`` slices in which a long text's row comes in
+    several, joined so that every row comes once and whole."""
+    row, held = -1, []
+
+    def joined():
+        values = np.concatenate(held)
+        return np.array([row]), values, np.array([len(values)])
+
+    for rows, values, counts in parts:
+        if held and rows[0] == row:
+            held.append(values[:counts[0]])
+            if len(rows) == 1:
+                continue  # may go on
+            values, rows, counts = values[counts[0]:], rows[1:], counts[1:]
+        if held:
+            yield joined()
+            held = []
+        if len(rows) > 1:
+            whole = int(counts[:-1].sum())
+            yield rows[:-1], values[:whole], counts[:-1]
+            values = values[whole:]
+        row, held = int(rows[-1]), [values]  # the last may go on in the next slice
+    if held:
+        yield joined()
+
+
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions ``starts[i] .. starts[i] + lengths[i] - 1`` of all spans, in order."""
     total = int(lengths.sum())

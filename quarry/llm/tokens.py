@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from quarry.llm.spans import Pool, slices, text_bytes, words, worker_state
+from quarry.llm.spans import Pool, slices, text_bytes, whole_rows, words, worker_state
 
 
 _UPPER, _LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
@@ -107,30 +107,12 @@ def documents(batches: Iterator[pa.RecordBatch], text: str, path: str | None, en
     for batch in batches:
         if not batch.num_rows:
             continue
-        held_row, held = -1, []
-        for rows, ids, per in coder.batches(batch.column(batch.schema.get_field_index(text))):
-            bounds = np.concatenate([[0], np.cumsum(per)])
-            if held and rows[0] == held_row and len(rows) == 1:
-                held.append(ids)  # may go on
-                continue
-            if held and rows[0] != held_row:
-                yield _close(batch, [held_row], np.concatenate(held), np.array([sum(map(len, held))]), end_id)
-                held = []
-            if held:  # the long text ends at this slice's head
-                held.append(ids[:bounds[1]])
-                yield _close(batch, [held_row], np.concatenate(held), np.array([sum(map(len, held))]), end_id)
-                rows, per, ids, held = rows[1:], per[1:], ids[bounds[1]:], []
-                bounds = np.concatenate([[0], np.cumsum(per)])
-            if len(rows):  # the last row may go on in the next slice
-                if len(rows) > 1:
-                    yield _close(batch, rows[:-1], ids[:bounds[-2]], per[:-1], end_id)
-                held_row, held = int(rows[-1]), [ids[bounds[-2]:]]
-        if held:
-            yield _close(batch, [held_row], np.concatenate(held), np.array([sum(map(len, held))]), end_id)
+        for rows, ids, per in whole_rows(coder.batches(batch.column(batch.schema.get_field_index(text)))):
+            yield _close(batch, rows, ids, per, end_id)
 
 
 def _close(batch, rows, ids, per, end_id):
-    per = np.asarray(per, np.int64)
+    ids, per = np.asarray(ids), np.asarray(per, np.int64)
     if end_id is not None:
         ids = np.insert(ids, np.cumsum(per), end_id)
         per = per + 1
