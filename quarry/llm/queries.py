@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, jaccard, lines, packing, pii, shards, tokenfiles, topk, toxicity
+from quarry.llm import bpe, jaccard, lines, neardup, packing, pii, shards, tokenfiles, topk, toxicity
 from quarry.llm.common import WorkFolder
 
 
@@ -38,6 +38,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, WorkFolder(spark), capacity=2048, end_id=1)
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings of one label linked from a cosine of 0.98 on."""
+    return neardup.near_vectors(_read(spark, sf_dir, "embeddings"), WorkFolder(spark), threshold=0.98)
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in classes of 5-word shingle sets with a Jaccard similarity of 0.8 or more."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -79,8 +84,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_toxicity, op3_packing, op5_jaccard_join, op6_line_dedup,
-                                  op7_ring_shards, op8_token_files, op9_pii, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_toxicity, op3_packing, op4_near_vectors, op5_jaccard_join,
+                                  op6_line_dedup, op7_ring_shards, op8_token_files, op9_pii,
+                                  op10_byte_bpe)}
 
 ORACLE = {
     "op1_topk": """
