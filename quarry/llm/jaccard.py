@@ -233,7 +233,7 @@ def _verify(k: int, percent: int):
 
 def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     percent: int = 80, sketch_bits: int = 18, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for every row.
+    """``(doc_id, n_shingles, component_id, text_hash, component)`` for every row.
 
     Words are what stands between ASCII white space, A-Z lower-cased; a set
     holds the distinct ``k``-word shingles (all words as one if there are
@@ -242,7 +242,8 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
     without words have no shingles and link with nothing.  Repeated rows are
     copies of each other; rows with a null id link like others, and a
     component of such rows only has a null ``component_id``.  Extra columns
-    are ignored; an empty table gives no rows.
+    are ignored; an empty table gives no rows.  ``text_hash`` tells rows of
+    one id apart; ``component`` is a key of the component (null without words).
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -316,7 +317,37 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
         .select("cls", "rep", F.coalesce("component", "cls").alias("c"))
     ids = work.save(ids, "ids")
     least = ids.groupBy("c").agg(F.min("rep").alias("component_id"))
-    named = work.save(ids.join(least, "c").select("cls", "component_id"), "named")
+    named = work.save(ids.join(least, "c").select("cls", "component_id", F.col("c").alias("component")), "named")
     return listed.join(named, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.col("th").alias("text_hash"), "component")
+
+
+def drop_near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col: str = "text",
+                         broadcast_rows: int = 2_000_000, **options) -> DataFrame:
+    """``docs`` with one row of every component: that of the smallest id (and
+    text hash).  Rows without words are in no component and stay; all columns
+    stay as they are.
+
+    What goes is listed by id and text hash.  The list is broadcast while it
+    has at most ``broadcast_rows`` rows, and joined by a shuffle beyond that.
+    """
+    found = work.save(near_duplicates(docs, work, id_col, text_col, broadcast_rows=broadcast_rows, **options)
+                      .filter(F.col("component").isNotNull()).select("doc_id", "text_hash", "component"), "found")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    kept = found.groupBy("component").agg(F.min(first).alias("x"), F.count(F.lit(1)).alias("m")).filter(F.col("m") > 1)
+    keys = found.join(kept, "component") \
+        .groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.first("x").alias("x"))
+    stays = F.col("x").eqNullSafe(first)
+    # rows to remove, and those kept rows that are there more than once
+    out = work.save(keys.filter(~stays | (F.col("rows") > 1)).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), stays.alias("_twice")), "out")
+    work.drop(found)
+    listed = F.broadcast(out) if out.count() <= broadcast_rows else out
+    th = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    marked = docs.withColumn("_key", th).join(
+        listed, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")), "left")
+    single = marked.filter(F.col("_th").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    twice = marked.filter(F.col("_twice")).dropDuplicates(["_id", "_th"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return single.unionAll(twice)

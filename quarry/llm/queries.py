@@ -46,7 +46,8 @@ def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in classes of 5-word shingle sets with a Jaccard similarity of 0.8 or more."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard.near_duplicates(docs, WorkFolder(spark), k=5, percent=80)
+    return jaccard.near_duplicates(docs, WorkFolder(spark), k=5, percent=80) \
+        .select("doc_id", "n_shingles", "component_id")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
