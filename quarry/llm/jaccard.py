@@ -346,8 +346,10 @@ def drop_near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_i
     work.drop(found)
     listed = F.broadcast(out) if out.count() <= broadcast_rows else out
     th = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    marked = docs.withColumn("_key", th).join(
-        listed, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")), "left")
-    single = marked.filter(F.col("_th").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
-    twice = marked.filter(F.col("_twice")).dropDuplicates(["_id", "_th"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row as one value: no column of the input can meet one of the plan
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{id_col}`").cast("long").alias("id"), th.alias("th"))
+    marked = rows.join(listed, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
+    single = marked.filter(F.col("_th").isNull()).select("row.*")
+    twice = marked.filter(F.col("_twice")).dropDuplicates(["_id", "_th"]).select("row.*")
     return single.unionAll(twice)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import WorkFolder
+
 #: What is trimmed from a line's ends before it is compared: ASCII white space.
 _EDGES = " \t\x0b\x0c\r"
 
@@ -33,7 +35,8 @@ def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = 0.1
     has at most (mean lines a page) / ``ratio`` such lines, so the list is
     bounded however many pages the host has.
     """
-    spans = pages.select(F.col(host).alias("_host"), F.array_distinct(line_keys(F.col(text))).alias("_keys"))
+    spans = pages.select(F.col(f"`{host}`").alias("_host"),
+                         F.array_distinct(line_keys(F.col(f"`{text}`"))).alias("_keys"))
     totals = spans.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     counts = spans.select("_host", F.explode("_keys").alias("_key")).filter(F.col("_key").isNotNull()) \
         .groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_pages)
@@ -42,8 +45,9 @@ def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = 0.1
         .groupBy(counts["_host"].alias("_host")).agg(F.collect_list("_key").alias("_drop"))
 
 
-def drop_boilerplate(pages: DataFrame, host: str, text: str, ratio: float = 0.1, min_pages: int = 3,
-                     dropped: str | None = None) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, host: str, text: str, work: WorkFolder, ratio: float = 0.1,
+                     min_pages: int = 3, dropped: str | None = None, broadcast_keys: int = 2_000_000,
+                     salts: int = 32) -> DataFrame:
     """``pages`` with boilerplate lines cut out of ``text``; every row stays.
 
     Lines are what stands between newline characters, compared without the
@@ -53,18 +57,30 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str, ratio: float = 0.1,
     lines; empty texts stay empty; a text of boilerplate only becomes empty.
     A null host is a host of its own.  Repeated rows are pages of their own.
     ``dropped`` names an optional column with the number of lines cut.
+
+    The lists are written once and their keys counted: up to
+    ``broadcast_keys`` (16 MB) every task gets them and the texts stay where
+    they are.  Beyond that texts and lists are joined by host and a salt, so a
+    host with a third of all pages is still ``salts`` parts.
     """
-    drop = boilerplate_lines(pages, host, text, ratio, min_pages)
+    drop = work.save(boilerplate_lines(pages, host, text, ratio, min_pages), "boilerplate")
+    keys = drop.agg(F.sum(F.size("_drop"))).first()[0] or 0
     names = pages.columns
-    p = pages.alias("p").join(drop.alias("d"), F.col(f"p.`{host}`").eqNullSafe(F.col("d._host")), "left")
+    if keys <= broadcast_keys:
+        same = F.col(f"p.`{host}`").eqNullSafe(F.col("d._host"))
+        p = pages.alias("p").join(F.broadcast(drop).alias("d"), same, "left")
+    else:
+        part = drop.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.pmod(F.xxhash64(F.col(f"p.`{text}`")), F.lit(salts)).cast("int")
+        p = pages.alias("p").join(part.alias("d"), F.col(f"p.`{host}`").eqNullSafe(F.col("d._host"))
+                                  & (salt == F.col("d._salt")), "left")
     lines = F.split(F.col(f"p.`{text}`"), "\n")
     keyed = F.arrays_zip(lines.alias("line"), line_keys(F.col(f"p.`{text}`")).alias("key"))
     kept = F.filter(keyed, lambda x: x["key"].isNull() | ~F.array_contains(F.col("d._drop"), x["key"]))
     cleaned = F.when(F.col("d._drop").isNull(), F.col(f"p.`{text}`")) \
         .otherwise(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"))
-    out = [cleaned.alias(c) if c == text else F.col(f"p.`{c}`") for c in names]
+    out = [cleaned.alias(c) if c == text else F.col(f"p.`{c}`") for c in names if c != dropped]
     if dropped:
-        out = [c for c, n in zip(out, names, strict=True) if n != dropped]
         out.append(F.when(F.col("d._drop").isNull() | F.col(f"p.`{text}`").isNull(), F.lit(0))
                    .otherwise(F.size(lines) - F.size(kept)).cast("long").alias(dropped))
     return p.select(*out)

@@ -53,7 +53,8 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand on over 8 % of their site's pages."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    out = lines.drop_boilerplate(docs, "source", "text", ratio=0.08, min_pages=3, dropped="lines_dropped")
+    out = lines.drop_boilerplate(docs, "source", "text", WorkFolder(spark), ratio=0.08, min_pages=3,
+                                 dropped="lines_dropped")
     return out.select("doc_id", "source", "text", "lines_dropped")
 
 

@@ -31,7 +31,7 @@ def ring_points(shards: int, virtual_nodes: int) -> list[tuple[int, int]]:
                   for s in range(shards) for v in range(virtual_nodes))
 
 
-def key_position(*cols: str) -> Column:
+def key_position(*cols: str | Column) -> Column:
     """A key's place on the ring."""
     return F.pmod(F.xxhash64(*cols), F.lit(RING))
 
@@ -105,11 +105,14 @@ def ring_shards(df: DataFrame, keys: list[str], shards: int = 40, virtual_nodes:
     spark = df.sparkSession
     points = ring_points(shards, virtual_nodes)
     owner = [s for _, s in points]
-    rows = df.drop(shard, slot).withColumn("_pos", key_position(*keys)) \
-        .withColumn("_arc", arc_of(F.col("_pos"), points))
+    kept = df.drop(shard, slot)
+    # the row as one value: no column of the input can meet one of the plan
+    rows = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"),
+                       key_position(*[F.col(f"`{k}`") for k in keys]).alias("pos")) \
+        .withColumn("arc", arc_of(F.col("pos"), points))
     counts = [0] * len(points)
-    for r in rows.groupBy("_arc").count().collect():  # at most shards * virtual_nodes rows
-        counts[r["_arc"]] = r["count"]
+    for r in rows.groupBy("arc").count().collect():  # at most shards * virtual_nodes rows
+        counts[r["arc"]] = r["count"]
     total = sum(counts)
     if slack:
         capacity = [-(-int(total * (1 + slack) + shards) // shards)] * shards
@@ -120,12 +123,12 @@ def ring_shards(df: DataFrame, keys: list[str], shards: int = 40, virtual_nodes:
     for arc, lo, hi, s in bounded_walk(counts, owner, capacity):
         spans.append((arc, lo, hi, s, used[s]))
         used[s] += hi - lo
-    table = spark.createDataFrame(spans, "_iarc int, _lo long, _hi long, _shard int, _base long")
-    # an arc holds about 1/2560 of the rows; a part of it by position keeps repeated keys the only large ones
-    ranked = spread_rank(rows, ["_arc"], [F.col("_pos"), *[F.col(k) for k in keys]],
-                         F.pmod(F.col("_pos"), F.lit(16)).cast("int"), 16, "_rank")
-    inside = (F.col("_arc") == F.col("_iarc")) & (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi"))
+    table = spark.createDataFrame(spans, "arc int, lo long, hi long, shard int, base long")
+    # an arc holds a small share of the keys; its parts by position leave repeated keys the only large ones
+    ranked = spread_rank(rows, ["arc"], [F.col("pos"), *[F.col(f"row.`{k}`") for k in keys]],
+                         F.pmod(F.col("pos"), F.lit(16)).cast("int"), 16, "rank")
     # the interval table has at most shards * (virtual_nodes + shards) rows, whatever the input
-    return ranked.join(F.broadcast(table), inside).select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in (shard, slot)],
-        F.col("_shard").alias(shard), (F.col("_base") + F.col("_rank") - F.col("_lo")).alias(slot))
+    both = ranked.alias("r").join(F.broadcast(table).alias("t"), (F.col("r.arc") == F.col("t.arc"))
+                                  & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
+    return both.select("row.*", F.col("t.shard").alias(shard),
+                       (F.col("t.base") + F.col("rank") - F.col("lo")).alias(slot))
