@@ -45,6 +45,18 @@ class WorkFolder:
         self._tables[id(out)] = path
         return out
 
+    def scope(self) -> WorkFolder:
+        """A folder inside this one, for an operator's own tables."""
+        return WorkFolder(self.spark, self.path)
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Remove every table of this folder that is not named."""
+        held = {self._tables.get(id(t)) for t in tables}
+        for key, path in list(self._tables.items()):
+            if path not in held:
+                del self._tables[key]
+                self._delete(path)
+
     def drop(self, df: DataFrame) -> None:
         path = self._tables.pop(id(df), None)
         if path:

@@ -42,6 +42,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
 
 
+def _by_length(b: pa.RecordBatch):
+    """The batch's rows by vector length (``dim``)."""
+    dims = b.column(b.schema.get_field_index("dim")).to_numpy()
+    for d in np.unique(dims):
+        yield b.filter(pa.array(dims == d))
+
+
 def unit_vectors(rows: DataFrame) -> DataFrame:
     """``v`` (array) replaced by its direction as bytes of doubles; other columns stay."""
     at = rows.columns.index("v")
@@ -109,9 +116,7 @@ def forest_edges(nodes: DataFrame, trees: range, leaf: int, k: int, floor: float
     bits = max(1, min(24, math.ceil(math.log2(max(2, n / leaf)))))
 
     def code(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (part for whole in batches for part in _by_length(whole)):
             x = _matrix(b.column(b.schema.get_field_index("v")))
             for t in trees:
                 planes = np.random.default_rng([seed, t, x.shape[1]]).standard_normal((x.shape[1], bits + 1))
@@ -264,6 +269,7 @@ def near_vectors(df: DataFrame, work: WorkFolder, id_col: str = "vec_id", vec_co
     The graph search is approximate: ``audit`` measures it on ``sample`` nodes
     and up to ``attempts`` times more trees are grown until ``recall`` is met.
     """
+    work = work.scope()
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{label_col}`").cast("string").alias("key"),
                      F.col(f"`{vec_col}`").cast("array<double>").alias("v"))
     some = usable(F.col("v")) & F.col("key").isNotNull() & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
@@ -308,8 +314,7 @@ def near_vectors(df: DataFrame, work: WorkFolder, id_col: str = "vec_id", vec_co
     least = ids.groupBy("c").agg(F.min("rep").alias("component_id"))
     named = work.save(ids.join(least, "c").join(counts, "nid", "left").select(
         "nid", "component_id", (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "named")
-    for t in (edges, part, counts):
-        work.drop(t)
+    work.keep(vectors, named)
     known = vectors.select("vec_id", "nid").join(named, "nid").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~some).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return known.unionAll(alone).select(
