@@ -43,7 +43,7 @@ INTENT = "will gonna shall i'll we'll going want werde werden vais voy".split()
 #: each unit of log(1 + clauses)); the first is the weight of no clause at all.
 KINDS = ("bare insult", "aimed insult", "bare threat", "aimed threat", "denied", "reported", "learned")
 #: ... the last is for learned matches per 10,000 characters.
-PRIOR = np.array([-3.0, 4.0, 5.0, 0.5, 5.0, 0.3, 0.8, 1.0, 0.3])
+PRIOR = np.array([-3.0, 5.8, 6.5, 0.5, 6.5, 0.3, 0.8, 1.0, 0.3])
 
 _SYMBOL = {w: s for s, ws in (("T", THREAT), ("G", TARGET), ("N", NEGATION), ("R", REPORT), ("W", INTENT))
            for w in ws}
