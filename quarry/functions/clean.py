@@ -6,9 +6,9 @@ have a leading blank and whose dates look like ``3-Oct-2007``.  Each helper
 below returns a ``Column`` so the cleaning stays inside whole-stage codegen
 and Catalyst can still push filters past it.
 
-Strict vs lenient: ``strict=True`` uses ANSI casts, so a bad value fails the
-job (the original behaviour); ``strict=False`` uses ``try_cast`` and the bad
-value becomes NULL, which :func:`split_bad_rows` can route to a reject frame.
+Strict vs lenient: with ``strict=True`` a bad value fails the job (the original
+behaviour), whatever the session's ANSI mode; with ``strict=False`` it becomes
+NULL, which :func:`split_bad_rows` can route to a reject frame.
 """
 
 from __future__ import annotations
@@ -28,6 +28,12 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def or_raise(value: Column, raw: Column, what: str) -> Column:
+    """``value``, failing the job where ``raw`` has a value that gave none."""
+    return F.when(raw.isNotNull() & value.isNull(), F.raise_error(F.concat(F.lit(f"not {what}: "), raw.cast("string")))) \
+        .otherwise(value)
+
+
 def column_names(df: DataFrame, drop_chars: str = "'") -> DataFrame:
     """Trim every column name and remove ``drop_chars`` from it."""
     table = str.maketrans("", "", drop_chars)
@@ -58,12 +64,13 @@ def to_int(c: str | Column, strip: str = "", strict: bool = False,
     col = F.trim(_col(c))
     if strip:
         col = F.regexp_replace(col, "[" + "".join("\\" + ch for ch in strip) + "]", "")
-    return col.cast(dtype) if strict else col.try_cast(dtype)
+    value = col.try_cast(dtype)
+    return or_raise(value, _col(c), "an integer") if strict else value
 
 
 def to_double(c: str | Column, strict: bool = False) -> Column:
-    col = F.trim(_col(c))
-    return col.cast("double") if strict else col.try_cast("double")
+    value = F.trim(_col(c)).try_cast("double")
+    return or_raise(value, _col(c), "a number") if strict else value
 
 
 def strip_chars(c: str | Column, chars: str = '"') -> Column:
@@ -83,8 +90,8 @@ def normalize_key(c: str | Column, suffix: str | None = " County") -> Column:
 
 def to_date(c: str | Column, pattern: str = DATE_PARSE_PATTERN, strict: bool = False) -> Column:
     """Parse ``3-Oct-2007`` style text (blanks around it ignored)."""
-    col = F.trim(_col(c))
-    return F.to_date(col, pattern) if strict else F.try_to_date(col, pattern)
+    value = F.try_to_date(F.trim(_col(c)), pattern)
+    return or_raise(value, _col(c), f"a date like {pattern}") if strict else value
 
 
 def format_date(c: str | Column, pattern: str = DATE_FORMAT_PATTERN) -> Column:

@@ -1,45 +1,54 @@
-"""Small plan helpers shared by the operators."""
+"""Intermediate tables shared by the operators."""
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import ensure_checkpoint_dir
 
-
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Spread ``df`` over the cluster when it arrives in fewer splits than
-    the cluster can run at once, before CPU-heavy per-row work (tokenising,
-    vector kernels).  With ``keys`` the rows are hash-partitioned on them,
-    so a later aggregate or window keyed by them (or by more columns)
-    needs no shuffle of its own; without, round-robin.  A large input
-    already read in many splits is returned untouched, so this never adds
-    a shuffle at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, *keys) if keys else df.repartition(target)
-    return df
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a Parquet table under the session's checkpoint
-    folder and read it back.
-
-    An intermediate read by several branches of a plan is computed once;
-    its lineage is cut, so a lost executor costs a re-read of shared
-    storage, not a recomputation; and, unlike an RDD checkpoint, the
-    written table carries its real size, so the planner and AQE can pick
-    join strategies from it.  A table read back in fewer splits than the
-    cluster runs at once (AQE writes a small table as few files) is
-    spread over the cluster; a large one is returned as read.  The folder is ``spark.checkpoint.dir``
-    (shared storage on a cluster); only a local session without one gets
-    a scratch folder."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/quarry-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    # AQE may have written a small table as one file; spread it so the
-    # branches that read it do not run as one task
-    return spread(spark.read.parquet(path))
+_OPEN: list[Scratch] = []
+
+
+class Scratch:
+    """Intermediate Parquet tables of one operator, in a folder of their own.
+
+    The folder lies below ``base``, or below ``spark.checkpoint.dir`` (shared
+    storage on a cluster).  A table read by several branches of a plan is
+    computed once; its lineage is cut, so a lost executor costs a re-read of
+    shared storage, not a recomputation; and, unlike an RDD checkpoint, it
+    carries its real size for the planner.
+
+    Writing runs a job.  A result still reads its tables, so whoever uses the
+    result calls :meth:`release` afterwards; what is not released goes when
+    the driver exits.
+    """
+
+    def __init__(self, spark: SparkSession, base: str | None = None):
+        self.spark = spark
+        self.path = f"{(base or ensure_checkpoint_dir(spark)).rstrip('/')}/quarry-{uuid.uuid4().hex}"
+        _OPEN.append(self)
+
+    def save(self, df: DataFrame) -> DataFrame:
+        path = f"{self.path}/{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Delete every table of this folder."""
+        jvm = self.spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(self.path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        if self in _OPEN:
+            _OPEN.remove(self)
+
+
+@atexit.register
+def _release_all() -> None:
+    for scratch in list(_OPEN):
+        try:
+            scratch.release()
+        except Exception:  # the session ended first
+            _OPEN.remove(scratch)

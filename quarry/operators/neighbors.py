@@ -21,22 +21,18 @@ goes to the cell of its closest pivot; Lu, Shen, Chen, Ooi, "Efficient
 processing of k nearest neighbor joins using MapReduce", VLDB 2012):
 
 1. one pass assigns cells and records each vector's distance to its pivot;
-2. per cell: size, radius ``R`` (largest pivot distance) and the
-   (k+1)-th smallest pivot distance ``T`` -- P small rows;
-3. with the P x P pivot distances ``D``, every vector of cell i has its k
-   nearest within ``U_i = min_j (R_i + D_ij + T_j)`` (over cells with at
-   least k+1 members), and no vector of cell j can be closer to a vector
-   of cell i than ``D_ij - R_i - R_j``.  Cell pairs with
-   ``D_ij - R_i - R_j > U_i`` are skipped; the rest are exact work;
-4. cells are split by a hash of the id into sub-blocks of about
-   ``block_rows`` vectors, so a cell holding a large share of the data
-   becomes many bounded tasks; each surviving (query block, reference
-   block) pair is cogrouped and a numpy kernel keeps only the k best
-   candidates per query vector;
-5. a final window top-k merges the candidates of each vector.
-
-Only P pivots, P cell statistics and the list of surviving cell pairs
-(at most P x P rows, P is bounded by ``max_pivots``) reach the driver.
+   a cell is cut into blocks of about ``block_rows`` vectors by a hash of
+   the id, so a cell holding a large share of the data is many tasks;
+2. every vector looks among the vectors of its own block first: the k-th
+   distance found there is *its* bound;
+3. no vector of cell j is closer than ``|q - p_j| - R_j`` (``R_j`` = the
+   cell's radius), so q is sent to the other blocks of cell j only if that
+   is within its bound; a numpy kernel keeps the k best of each (query
+   block, reference block) unit;
+4. a final window top-k merges the candidates of each vector.
+
+Only the pivots, one radius and two counts per cell (``P`` rows, about the
+square root of the number of vectors) reach the driver.
 """
 
 from __future__ import annotations
@@ -46,11 +42,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.common import materialize, spread
+from quarry.operators.common import Scratch
 
 DISTANCE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
@@ -66,23 +63,26 @@ def with_row_id(df: DataFrame, name: str = "id") -> DataFrame:
 
 
 def with_row_index(df: DataFrame, name: str = "id") -> DataFrame:
-    """Consecutive 0-based row positions in scan order (what a positional
-    id in a companion file refers to), without a single-partition window
-    over the data: rows are counted per input partition (one small row per
-    partition), the running offsets are broadcast, and each row adds its
-    position inside its partition.  The input must have a stable
-    partitioning, e.g. a file scan, so a recomputed partition gets the same
-    positions."""
-    tagged = df.withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_mid", F.monotonically_increasing_id())
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.withColumn(
-        "_off", F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
-        - F.col("_cnt")).select("_pid", "_off")
-    first_id = F.col("_pid").cast("long") * F.lit(1 << 33)   # where each partition's ids start
-    return tagged.join(F.broadcast(offsets), on="_pid") \
-        .withColumn(name, F.col("_off") + F.col("_mid") - first_id) \
-        .drop("_pid", "_mid", "_off")
+    """Consecutive 0-based row positions (what a positional id in a companion
+    file refers to), without a single-partition window over the data.
+
+    Rows read from files are numbered in file order: by file path, then by
+    position in the file, however Spark packs splits into tasks.  Rows of a
+    split are counted (one small row per split), the running offsets are
+    joined back, and each row adds its place inside its split.  Other inputs
+    are numbered in partition order; their partitioning must be stable."""
+    try:
+        split = [F.col("_metadata.file_path").alias("_s1"), F.col("_metadata.file_block_start").alias("_s2")]
+        tagged = df.select("*", *split, F.monotonically_increasing_id().alias("_mid"))
+    except AnalysisException:  # not read from files
+        tagged = df.select("*", F.lit("").alias("_s1"), F.spark_partition_id().cast("long").alias("_s2"),
+                           F.monotonically_increasing_id().alias("_mid"))
+    counts = tagged.groupBy("_s1", "_s2").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    before = Window.orderBy("_s1", "_s2").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    offsets = counts.select("_s1", "_s2", "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    return tagged.join(offsets, on=["_s1", "_s2"]) \
+        .withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first")) \
+        .drop("_s1", "_s2", "_mid", "_first", "_off")
 
 
 def k_nearest(distances: DataFrame, k: int, id_col: str = "id", paired_col: str = "paired",
@@ -151,157 +151,160 @@ def _block_k_best(qv: np.ndarray, rv: np.ndarray, qid: np.ndarray, rid: np.ndarr
     """The k nearest reference rows of every query row (no self pairs),
     ties to the smaller reference id: (query ids, partner ids, distances).
 
-    Squared distances come from one matrix product (BLAS); every column
-    within a safety margin of the row's k-th value is kept -- the margin
-    is far above the rounding error of the product, so the kept set
-    always contains the true k nearest -- and only those candidates get
-    their exact distance from the differences before the final pick."""
+    Squared distances come from one matrix product (BLAS).  Each row keeps
+    its ``k + 8`` smallest, whose exact distances are computed from the
+    differences before the final pick.  The product's rounding error is far
+    below the margin: a row with yet more values within the margin of its
+    k-th keeps all of those instead."""
+    if not len(qid) or not len(rid):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    order = np.argsort(rid, kind="stable")  # positions in id order, so ties fall to the smaller id
+    rv, rid = rv[order], rid[order]
     qn = np.einsum("ij,ij->i", qv, qv)
     rn = np.einsum("ij,ij->i", rv, rv)
     d2 = qn[:, None] + rn[None, :] - 2.0 * (qv @ rv.T)
     d2[qid[:, None] == rid[None, :]] = np.inf
-    kk = min(k, d2.shape[1])
-    kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
-    margin = 1e-9 * (qn[:, None] + rn[None, :]) + 1e-12
-    keep = d2 <= kth[:, None] + margin
-    out_q, out_r, out_d = [], [], []
-    for i in range(len(qid)):
-        cand = np.nonzero(keep[i])[0]
-        cand = cand[rid[cand] != qid[i]]
-        if len(cand) == 0:
-            continue
-        diff = rv[cand] - qv[i]
-        exact = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-        order = np.lexsort((rid[cand], exact))[:kk]
-        out_q.append(np.full(len(order), qid[i], dtype=np.int64))
-        out_r.append(rid[cand][order])
-        out_d.append(exact[order])
-    if not out_q:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_d)
-
-
-def _surviving_cell_pairs(pivots: np.ndarray, size: np.ndarray, radius: np.ndarray,
-                          kth: np.ndarray) -> np.ndarray:
-    """Boolean P x P matrix: may a vector of cell j be among the k nearest
-    of a vector of cell i?  ``kth[j]`` is the (k+1)-th smallest pivot
-    distance in cell j (inf when the cell has fewer members).  Every vector
-    of cell i has k neighbours within ``U_i = min_j (R_i + D_ij + kth_j)``;
-    no vector of cell j is closer to one of cell i than
-    ``D_ij - R_i - R_j``; pairs whose lower bound exceeds ``U_i`` (with
-    a relative slack for rounding) are dropped."""
-    D = _pairwise(pivots, pivots)
-    upper = np.min(radius[:, None] + D + kth[None, :], axis=1)
-    lower = D - radius[:, None] - radius[None, :]
-    live = size > 0
-    return (lower <= upper[:, None] * (1 + 1e-9) + 1e-12) & live[:, None] & live[None, :]
+    n, m = d2.shape
+    kk, wide = min(k, m), min(k + 8, m)
+    cand = np.argpartition(d2, wide - 1, axis=1)[:, :wide] if wide < m else np.broadcast_to(np.arange(m), (n, m))
+    near = np.take_along_axis(d2, cand, axis=1)
+    kth = np.partition(near, kk - 1, axis=1)[:, kk - 1]
+    margin = 1e-9 * (qn + rn.max()) + 1e-12
+    if wide < m:
+        crowded = np.flatnonzero(near.max(axis=1) <= kth + margin)
+    else:
+        crowded = np.zeros(0, np.int64)
+
+    def exact(rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cols = np.sort(cols, axis=1)
+        out = np.empty(cols.shape)
+        step = max(1, (1 << 22) // max(1, cols.shape[1] * qv.shape[1]))
+        for s in range(0, len(rows), step):
+            diff = rv[cols[s:s + step]] - qv[rows[s:s + step], None, :]
+            out[s:s + step] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+        out[rid[cols] == qid[rows][:, None]] = np.inf
+        best = np.argsort(out, axis=1, kind="stable")[:, :kk]
+        return np.take_along_axis(cols, best, axis=1), np.take_along_axis(out, best, axis=1)
+
+    rows = np.arange(n)
+    cols, dist = exact(rows, cand)
+    for i in crowded:  # near-ties beyond the padding: every value within the margin
+        some = np.flatnonzero(d2[i] <= kth[i] + margin[i])[None, :]
+        cols[i], dist[i] = (x[0] for x in exact(np.array([i]), some))
+    real = np.isfinite(dist)
+    return np.repeat(qid, kk).reshape(n, kk)[real], rid[cols][real], dist[real]
+
+
+def _far_bound(dp: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Smallest possible distance of a query to any vector of a cell, from its
+    distance to the pivot and the cell's radius, with a slack for rounding."""
+    return (dp - radius) * (1 - 1e-9) - 1e-12
 
 
 def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vector",
-                    n_pivots: int | None = None, max_pivots: int = 1024,
-                    cell_rows: int = 1024, block_rows: int = 2048) -> DataFrame:
+                    n_pivots: int | None = None, block_rows: int = 2048, invalid: str = "raise",
+                    scratch: Scratch | None = None) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of every vector among all
     other vectors: ``(id, paired, distance)``, ``k`` rows per id (fewer
     when there are fewer other vectors), ties to the smaller id.
 
     See the module notes for the pivot-cell plan.  ``n_pivots`` defaults to
-    one pivot per ``cell_rows`` vectors, capped at ``max_pivots``: more
-    pivots prune more cell pairs on clustered data, fewer keep each unit
-    of work large enough for the vector kernel.
+    the square root of the number of vectors.  Rows without an id or a vector
+    take no part.  A vector with a NULL or non-finite element, or of another
+    length than the rest, fails the job; ``invalid='drop'`` leaves vectors
+    with such elements out instead.  Runs its own jobs while the plan is built
+    (count, pivots, cells, radii); their tables go with ``scratch.release()``,
+    or when the driver exits.
     """
+    if invalid not in ("raise", "drop"):
+        raise ValueError("invalid must be 'raise' or 'drop'")
     spark = df.sparkSession
+    scratch = scratch or Scratch(spark)
     pts = df.select(F.col(id_col).cast("long").alias("id"),
                     F.col(vec_col).cast("array<double>").alias("v"))
-    pts = pts.filter(F.col("v").isNotNull())
-
-    # -- 1. pivots: the P vectors with the smallest id hash (deterministic).
-    # The hash threshold only chooses which vectors serve as pivots (about
-    # 4P candidates, so the ordered take merges a few thousand rows, not P
-    # rows from every input partition); every vector is still assigned to a
-    # cell and searched below.
-    n = pts.count()
-    if n_pivots is None:
-        n_pivots = int(min(max_pivots, max(1, math.ceil(n / cell_rows))))
-    n_pivots = max(1, min(n_pivots, max_pivots))
-    modulus = 1_000_000_007
-    keep = min(modulus, math.ceil(modulus * min(1.0, 4.0 * n_pivots / max(n, 1))))
-    sample = pts.filter(F.pmod(F.xxhash64("id"), F.lit(modulus)) < F.lit(keep))
-    piv_rows = sample.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("v").collect()
-    pivots = np.array([r["v"] for r in piv_rows], dtype=np.float64)
-    if len(pivots) == 0:
+    pts = pts.filter(F.col("id").isNotNull() & F.col("v").isNotNull())
+    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
+
+    # -- 1. pivots: the vectors with the smallest id hash (deterministic)
+    size = pts.agg(F.count_if(~bad).alias("n"), F.count_if(bad).alias("bad"), F.min(F.when(~bad, F.size("v"))).alias("lo"),
+                   F.max(F.when(~bad, F.size("v"))).alias("hi")).first()
+    if size["bad"] and invalid == "raise":
+        raise ValueError(f"{size['bad']} vectors hold NULL or non-finite elements")
+    if not size["n"]:
         return spark.createDataFrame([], DISTANCE_SCHEMA)
+    if size["lo"] != size["hi"]:
+        raise ValueError(f"vectors of different lengths: {size['lo']} to {size['hi']}")
+    pts = pts.filter(~bad)
+    n_pivots = max(1, min(size["n"], n_pivots or math.ceil(math.sqrt(size["n"]))))
+    pivots = np.array([r["v"] for r in pts.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("v").collect()])
     piv_b = spark.sparkContext.broadcast(pivots)
 
-    assign_schema = T.StructType([
-        T.StructField("id", T.LongType()), T.StructField("v", T.ArrayType(T.DoubleType())),
-        T.StructField("cell", T.IntegerType()), T.StructField("dp", T.DoubleType())])
-
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = piv_b.value
         for b in batches:
-            if len(b) == 0:
-                continue
-            d = _pairwise(_as_matrix(b["v"]), p)
-            cell = d.argmin(axis=1)
-            yield pd.DataFrame({"id": b["id"].astype("int64"), "v": b["v"],
-                                "cell": cell.astype("int32"),
-                                "dp": d[np.arange(len(b)), cell]})
-
-    # computed once: the statistics and both sides of the block join read it
-    cells = materialize(spread(pts).mapInPandas(assign, assign_schema))
-
-    # -- 2. per-cell statistics (P rows)
-    w = Window.partitionBy("cell").orderBy("dp")
-    kth = cells.select("cell", "dp").withColumn("_r", F.row_number().over(w)) \
-        .filter(F.col("_r") <= k + 1).groupBy("cell") \
-        .agg(F.max(F.when(F.col("_r") == k + 1, F.col("dp"))).alias("t"))
-    stats = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.max("dp").alias("radius")) \
-        .join(kth, on="cell", how="left").collect()
+            if len(b):
+                d = _pairwise(_as_matrix(b["v"]), p)
+                cell = d.argmin(axis=1)
+                yield b.assign(cell=cell.astype("int32"), dp=d[np.arange(len(b)), cell])
+
+    # vector kernels are CPU-bound: an even deal over all tasks, whatever the input's files
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = scratch.save(pts.repartition(tasks, "id").mapInPandas(assign, "id long, v array<double>, cell int, dp double"))
+    stats = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.max("dp").alias("radius")).collect()
     P = len(pivots)
-    size = np.zeros(P, dtype=np.int64)
-    radius = np.zeros(P)
-    t = np.full(P, np.inf)
+    radius, subs = np.full(P, -np.inf), np.zeros(P, np.int64)
     for r in stats:
-        size[r["cell"]] = r["size"]
         radius[r["cell"]] = r["radius"]
-        if r["t"] is not None:
-            t[r["cell"]] = r["t"]
-
-    # -- 3. surviving cell pairs
-    keep = _surviving_cell_pairs(pivots, size, radius, t)
-    subs = np.maximum(1, np.ceil(size / block_rows)).astype(int)
-    qi, rj = np.nonzero(keep)
-    if len(qi) == 0:
-        return spark.createDataFrame([], DISTANCE_SCHEMA)
-    pair_df = spark.createDataFrame(pd.DataFrame({"qcell": qi.astype("int32"), "rcell": rj.astype("int32")}),
-                                    "qcell int, rcell int")
-    nsub = spark.createDataFrame(pd.DataFrame({"cell": np.arange(P, dtype="int32"), "nsub": subs.astype("int32")}),
-                                 "cell int, nsub int")
-
-    # -- 4. blocks: sub-block by id hash; replicate rows to the units that need them
-    blocks = cells.join(F.broadcast(nsub), on="cell") \
-        .withColumn("sub", F.pmod(F.xxhash64("id"), F.col("nsub")).cast("int"))
-    nsub_r = nsub.select(F.col("cell").alias("rcell"), F.col("nsub").alias("rnsub"))
-    nsub_q = nsub.select(F.col("cell").alias("qcell"), F.col("nsub").alias("qnsub"))
-    queries = blocks.withColumnRenamed("cell", "qcell") \
-        .join(F.broadcast(pair_df), on="qcell").join(F.broadcast(nsub_r), on="rcell") \
-        .select(F.col("id").alias("q_id"), F.col("v").alias("q_v"), "qcell", F.col("sub").alias("qsub"), "rcell",
-                F.explode(F.sequence(F.lit(0), F.col("rnsub") - 1)).alias("rsub"))
-    refs = blocks.withColumnRenamed("cell", "rcell") \
-        .join(F.broadcast(pair_df), on="rcell").join(F.broadcast(nsub_q), on="qcell") \
-        .select(F.col("id").alias("r_id"), F.col("v").alias("r_v"), "qcell",
-                F.explode(F.sequence(F.lit(0), F.col("qnsub") - 1)).alias("qsub"),
-                "rcell", F.col("sub").alias("rsub"))
-    unit = ["qcell", "qsub", "rcell", "rsub"]
+        subs[r["cell"]] = max(1, math.ceil(r["size"] / block_rows))
+    live = np.flatnonzero(subs)
+    blocks = spark.createDataFrame([(int(c), int(subs[c])) for c in live], "cell int, subs int")
+    placed = cells.select("id", "v", "cell").join(blocks, "cell") \
+        .withColumn("sub", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int"))
+
+    # -- 2. own block first: candidates, and a bound for every vector
+    def own(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, v = pdf["id"].to_numpy(np.int64), _as_matrix(pdf["v"])
+        q, r, d = _block_k_best(v, v, ids, ids, k)
+        return pd.DataFrame({"id": q, "paired": r, "distance": d})
+
+    first = scratch.save(placed.groupBy("cell", "sub").applyInPandas(own, DISTANCE_SCHEMA))
+    bound = first.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("bound"))
+
+    # -- 3. every vector to the other blocks that may hold something closer
+    state = spark.sparkContext.broadcast((pivots[live], radius[live], live, subs[live]))
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p, rad, cell_ids, n_sub = state.value
+        for b in batches:
+            for s in range(0, len(b), 4096):
+                part = b.iloc[s:s + 4096].reset_index(drop=True)
+                d = _pairwise(_as_matrix(part["v"]), p)
+                limit = part["bound"].fillna(np.inf).to_numpy(dtype=float)
+                row, to = np.nonzero(_far_bound(d, rad[None, :]) <= limit[:, None])
+                times = n_sub[to]
+                row, to = np.repeat(row, times), np.repeat(to, times)
+                sub = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                keep = (cell_ids[to] != part["cell"].to_numpy()[row]) | (sub != part["sub"].to_numpy()[row])
+                row, to, sub = row[keep], to[keep], sub[keep]
+                for t in range(0, len(row), 16384):
+                    x = slice(t, t + 16384)
+                    yield pd.DataFrame({"id": part["id"].to_numpy()[row[x]], "v": part["v"].to_numpy()[row[x]],
+                                        "cell": cell_ids[to[x]].astype("int32"), "sub": sub[x].astype("int32")})
+
+    routed = scratch.save(placed.join(bound, "id", "left").select("id", "v", "cell", "sub", "bound").repartition(tasks, "id")
+                          .mapInPandas(route, "id long, v array<double>, cell int, sub int"))
+    sent = routed.groupBy("cell", "sub").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("parts"))
+    queries = routed.join(sent, ["cell", "sub"]) \
+        .withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
+    refs = placed.select("id", "v", "cell", "sub").join(sent, ["cell", "sub"]) \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    unit = ["cell", "sub", "part"]
 
     def block_knn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(r) == 0:
-            return pd.DataFrame({"id": pd.Series(dtype="int64"), "paired": pd.Series(dtype="int64"),
-                                 "distance": pd.Series(dtype="float64")})
-        qid = q["q_id"].to_numpy(dtype=np.int64)
-        rid = r["r_id"].to_numpy(dtype=np.int64)
-        ids, partners, dists = _block_k_best(_as_matrix(q["q_v"]), _as_matrix(r["r_v"]), qid, rid, k)
+        ids, partners, dists = _block_k_best(_as_matrix(q["v"]), _as_matrix(r["v"]),
+                                             q["id"].to_numpy(np.int64), r["id"].to_numpy(np.int64), k)
         return pd.DataFrame({"id": ids, "paired": partners, "distance": dists})
 
-    cand = queries.groupBy(*unit).cogroup(refs.groupBy(*unit)).applyInPandas(block_knn, DISTANCE_SCHEMA)
-    return k_nearest(cand, k)
+    found = queries.select("id", "v", *unit).groupBy(*unit).cogroup(refs.select("id", "v", *unit).groupBy(*unit)) \
+        .applyInPandas(block_knn, DISTANCE_SCHEMA)
+    return k_nearest(first.unionAll(found), k)

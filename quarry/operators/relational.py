@@ -96,6 +96,24 @@ def group_count_having(df: DataFrame, keys: Cols, min_exclusive: int | None = No
     return out
 
 
+def aggregate_through(facts: DataFrame, value: str | None, hops: Sequence[tuple[str, DataFrame, Sequence[str]]],
+                      name: str, min_exclusive: int | None = None) -> DataFrame:
+    """A1/A2/A4 + F6 over a chain of lookups, aggregated before every join.
+
+    ``facts`` are counted (``value=None``) or summed per the first hop's key;
+    each hop ``(key, lookup, columns)`` joins one row per key with ``lookup``
+    and aggregates again by ``columns``.  A hot key is combined map-side and
+    never meets a join with more than one row.  Decimal sums are exact in any
+    order.  ``min_exclusive`` keeps groups with more (HAVING).  Facts without
+    a partner in a lookup are dropped, as by the inner joins."""
+    agg = F.count(F.lit(1)) if value is None else F.sum(value)
+    out = facts.groupBy(hops[0][0]).agg(agg.alias(name))
+    for key, lookup, columns in hops:
+        out = out.join(lookup.select(key, *[c for c in columns if c != key]), on=key) \
+            .groupBy(*columns).agg(F.sum(name).alias(name))
+    return out if min_exclusive is None else out.filter(F.col(name) > min_exclusive)
+
+
 def repeat_days(events: DataFrame, people: DataFrame, event_person: str, person_key: str,
                 event_day: str, name_cols: Cols, lo: str | _dt.date, hi: str | _dt.date,
                 min_exclusive: int = 1, day_name: str = "day") -> DataFrame:

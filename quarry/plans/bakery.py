@@ -15,7 +15,7 @@ import datetime as dt
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import clean
@@ -39,33 +39,45 @@ class Bakery:
     goods: DataFrame       # GId, Flavor, Food, Price double
     receipts: DataFrame    # Reciept int, Date date, CId int
     items: DataFrame       # Reciept int, Ordinal int, GId
-
-
-def load(spark: SparkSession, base: str, strict: bool = False) -> Bakery:
-    """Read and clean the four files under ``base``.  ``strict=True`` fails
-    on a value that does not parse; otherwise it becomes NULL."""
-    def raw(name: str, cols: str) -> DataFrame:
-        schema = ", ".join(f"{c} string" for c in cols.split())
-        return read_csv(spark, os.path.join(base, name), schema=schema)
-
-    customers = raw("customers.csv", "id last first").select(
-        clean.to_int("id", strict=strict).alias("CId"),
-        clean.unquote("last", strict=strict).alias("LastName"),
-        clean.unquote("first", strict=strict).alias("FirstName"))
-    goods = raw("goods.csv", "id flavor food price").select(
-        clean.unquote("id", strict=strict).alias("GId"),
-        clean.unquote("flavor", strict=strict).alias("Flavor"),
-        clean.unquote("food", strict=strict).alias("Food"),
-        clean.to_double("price", strict=strict).alias("Price"))
-    receipts = raw("reciepts.csv", "num date cid").select(
-        clean.to_int("num", strict=strict).alias("Reciept"),
-        clean.to_date(clean.unquote("date", strict=strict), strict=strict).alias("Date"),
-        clean.to_int("cid", strict=strict).alias("CId"))
-    items = raw("items.csv", "num ordinal item").select(
-        clean.to_int("num", strict=strict).alias("Reciept"),
-        clean.to_int("ordinal", strict=strict).alias("Ordinal"),
-        clean.unquote("item", strict=strict).alias("GId"))
-    return Bakery(customers, goods, receipts, items)
+    rejects: DataFrame | None = None  # lenient load: (file, line) of the rows left out
+
+
+def load(spark: SparkSession, base: str, strict: bool = True) -> Bakery:
+    """Read and clean the four files under ``base``.  A value that does not
+    parse fails the job; with ``strict=False`` its row is left out of its
+    frame and listed in ``rejects``."""
+    rejected: list[DataFrame] = []
+
+    def cleaned(name: str, cols: str, **typed: Column) -> DataFrame:
+        names = cols.split()
+        raw = read_csv(spark, os.path.join(base, name), schema=", ".join(f"{c} string" for c in names))
+        line = F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("line")
+        out = raw.select(*[c.alias(n) for n, c in typed.items()], line)
+        good, bad = clean.split_bad_rows(out, typed)
+        if strict:  # a missing value is as bad as one that does not parse
+            ok = F.lit(True)
+            for n in typed:
+                ok = ok & F.col(n).isNotNull()
+            fail = F.raise_error(F.concat(F.lit(f"{name}: bad row "), F.col("line")))
+            first = next(iter(typed))
+            kind = out.schema[first].dataType
+            return out.select(F.when(ok, F.col(first)).otherwise(fail.cast(kind)).alias(first),
+                              *[n for n in typed if n != first])
+        rejected.append(bad.select(F.lit(name).alias("file"), "line"))
+        return good.drop("line")
+
+    customers = cleaned("customers.csv", "id last first", CId=clean.to_int("id"),
+                        LastName=clean.unquote("last"), FirstName=clean.unquote("first"))
+    goods = cleaned("goods.csv", "id flavor food price", GId=clean.unquote("id"), Flavor=clean.unquote("flavor"),
+                    Food=clean.unquote("food"), Price=clean.to_double("price"))
+    receipts = cleaned("reciepts.csv", "num date cid", Reciept=clean.to_int("num"),
+                       Date=clean.to_date(clean.unquote("date")), CId=clean.to_int("cid"))
+    items = cleaned("items.csv", "num ordinal item", Reciept=clean.to_int("num"), Ordinal=clean.to_int("ordinal"),
+                    GId=clean.unquote("item"))
+    rejects = None
+    for r in rejected:
+        rejects = r if rejects is None else rejects.unionAll(r)
+    return Bakery(customers, goods, receipts, items, rejects)
 
 
 def _days(df: DataFrame) -> DataFrame:
@@ -111,21 +123,29 @@ def revenue_in_month(b: Bakery) -> DataFrame:
 
 
 def busy_days(b: Bakery) -> DataFrame:
-    """Days with more than ten tarts sold."""
-    joined = rel.star_join(b.items, [(b.receipts, "Reciept"), (b.goods, "GId")])
-    counted = rel.group_count_having(joined.filter(f"Food = '{BUSY_FOOD}'"), ["Date"], BUSY_MIN_EXCLUSIVE)
+    """Days with more than ten tarts sold, counted per receipt before the
+    join with receipts."""
+    tarts = b.goods.filter(f"Food = '{BUSY_FOOD}'").select("GId")
+    sold = b.items.select("Reciept", "GId").join(tarts, on="GId")
+    counted = rel.aggregate_through(sold, None, [("Reciept", b.receipts, ["Date"])], "n_items",
+                                    min_exclusive=BUSY_MIN_EXCLUSIVE)
     return counted.select(F.col("Date").alias("day"), clean.format_date("Date").alias("day_text"),
-                          F.col("n").alias("n_items")).orderBy("day")
+                          "n_items").orderBy("day")
 
 
 def spend_per_customer(b: Bakery) -> DataFrame:
-    """Total spent per customer name, biggest first."""
-    joined = rel.star_join(b.receipts, [(b.items, "Reciept"), (b.goods, "GId"), (b.customers, "CId")])
-    spent = rel.sum_by(joined, ["LastName", "FirstName"], "Price", "TotalSpent")
-    return spent.orderBy(F.col("TotalSpent").desc(), "LastName", "FirstName")
+    """Total spent per customer name, biggest first; prices are summed per
+    good, receipt and customer before each join."""
+    prices = b.goods.select("GId", F.col("Price").cast("decimal(38,2)").alias("_price"))
+    spent = b.items.select("Reciept", "GId").join(prices, on="GId")
+    named = rel.aggregate_through(spent, "_price", [("Reciept", b.receipts, ["CId"]),
+                                                    ("CId", b.customers, ["LastName", "FirstName"])], "TotalSpent")
+    return named.withColumn("TotalSpent", F.col("TotalSpent").cast("double")) \
+        .orderBy(F.col("TotalSpent").desc(), "LastName", "FirstName")
 
 
 def most_popular_product(b: Bakery) -> DataFrame:
-    """The (flavour, food) with the most items sold."""
-    counted = rel.group_count_having(b.items.join(b.goods, on="GId"), ["Flavor", "Food"], count_name="NumSold")
+    """The (flavour, food) with the most items sold, counted per good
+    before the join with goods."""
+    counted = rel.aggregate_through(b.items, None, [("GId", b.goods, ["Flavor", "Food"])], "NumSold")
     return rel.top_n(counted, [F.col("NumSold").desc(), F.col("Flavor"), F.col("Food")], 1)

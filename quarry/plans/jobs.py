@@ -8,7 +8,7 @@ layouts.
   and text ``county`` / ``population`` members;
 * scores: a CSV with a header row; fields 0, 1 and 3 are grouping
   attributes, 5, 6 and 7 are the three scores (possibly quoted);
-* documents: text files, one row per line with the file's base name;
+* documents: text files, one row per line with the file's path and name;
 * labels: a CSV with a header row whose last field is the class; the
   distance file holds ``[id,paired,distance]`` records whose ids are row
   positions in the labels file.
@@ -26,11 +26,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.clean import normalize_key, strip_chars, to_double, to_int
+from quarry.functions.clean import normalize_key, or_raise, split_bad_rows, strip_chars, to_double, to_int
 from quarry.operators import neighbors as nb
 from quarry.operators import stats as st
 from quarry.operators import text as tx
-from quarry.sources import read_csv, read_distance_records, read_documents, read_json_records
+from quarry.sources import (base_name, field, read_csv, read_distance_records, read_documents, read_fields,
+                            read_json_records)
 
 # Positions and keywords of the original jobs.
 COUNTY_FIELD, SALE_FROM_END, TEXT_FROM_END = 2, 1, (4, 3)
@@ -40,32 +41,49 @@ TOP_K = 100
 
 
 def _invoices(spark: SparkSession, path: str) -> DataFrame:
-    """Real CSV parsing (a quoted comma stays inside its field); columns are
-    addressed by position, counted from the end where the layout says so."""
-    df = read_csv(spark, path, header=False)
-    cols = df.columns
-    return df.select(
-        F.col(cols[COUNTY_FIELD]).alias("county"),
-        F.col(cols[-TEXT_FROM_END[0]]).alias("text1"),
-        F.col(cols[-TEXT_FROM_END[1]]).alias("text2"),
-        to_double(cols[-SALE_FROM_END]).alias("sales"))
-
-
-def sales_per_head(spark: SparkSession, invoices: str, counties: str, on_zero: str = "null") -> DataFrame:
+    """Each row's own fields, quote-aware (a quoted comma stays inside its
+    field); positions from the end are that row's.  ``sales`` is NULL where
+    the amount does not parse or the row is too short; ``line`` is the row."""
+    rows = read_fields(spark, path, quote='"')
+    return rows.select(
+        field("fields", COUNTY_FIELD).alias("county"),
+        F.coalesce(field("fields", -TEXT_FROM_END[0]), F.lit("")).alias("text1"),
+        F.coalesce(field("fields", -TEXT_FROM_END[1]), F.lit("")).alias("text2"),
+        to_double(field("fields", -SALE_FROM_END)).alias("sales"), "line")
+
+
+def sales_per_head(spark: SparkSession, invoices: str, counties: str, on_zero: str = "null",
+                   strict: bool = True) -> DataFrame | tuple[DataFrame, DataFrame]:
     """C11: total sales and sales per head of each county, counties found
     in only one of the two sources kept (full outer).  Keys are normalised
-    on both sides (quotes, blanks; the `` County`` suffix on the JSON side)."""
-    inv = _invoices(spark, invoices).select(normalize_key("county", suffix=None).alias("county"), "sales")
-    cty = read_json_records(spark, counties, "id string, county string, population string", member="id") \
-        .select(normalize_key("county").alias("county"), to_int("population", strip=", ").alias("population"))
-    return st.per_capita(inv, "county", "sales", cty, "county", "population", key_name="county",
-                         on_zero=on_zero)
+    on both sides (quotes, blanks; the `` County`` suffix on the JSON side).
+
+    An amount or a population that is not a number fails the job.  With
+    ``strict=False`` the result is ``(result, rejects)``: the rows that have
+    one are left out and returned as ``(source, line)``."""
+    inv = _invoices(spark, invoices)
+    raw = read_json_records(spark, counties, "id string, county string, population string", member="id")
+    heads = raw.select("county", to_int("population", strip=", ").alias("population"),
+                       F.to_json(F.struct("id", "county", "population")).alias("line"))
+    if strict:
+        inv = inv.withColumn("sales", or_raise(F.col("sales"), F.col("line"), "an invoice with an amount"))
+        heads = heads.withColumn("population", or_raise(F.col("population"), F.col("line"), "a county with a population"))
+    inv, bad_inv = split_bad_rows(inv, ["county", "sales"])
+    heads, bad_heads = split_bad_rows(heads, ["county", "population"])
+    out = st.per_capita(inv.select(normalize_key("county", suffix=None).alias("county"), "sales"), "county", "sales",
+                        heads.select(normalize_key("county").alias("county"), "population"), "county", "population",
+                        key_name="county", on_zero=on_zero)
+    if strict:
+        return out
+    rejects = bad_inv.select(F.lit("invoices").alias("source"), "line") \
+        .unionAll(bad_heads.select(F.lit("counties"), "line"))
+    return out, rejects
 
 
 def keyword_correlation(spark: SparkSession, invoices: str, x_keyword: str = KEYWORD_X,
                         y_keyword: str = KEYWORD_Y, **match_opts) -> DataFrame:
     """Rows mentioning each keyword per county, Pearson r over the
-    counties that mention either."""
+    counties that mention either.  Amounts are not read."""
     return st.keyword_correlation(_invoices(spark, invoices), "county", ["text1", "text2"],
                                   x_keyword, y_keyword, **match_opts)
 
@@ -106,24 +124,29 @@ def score_correlation(spark: SparkSession, path: str, bad_groups: str = "drop")
 def document_similarity(spark: SparkSession, paths: str | Sequence[str], threshold: float,
                         k: int = TOP_K, keep_empty: bool = True, denominator: str = "fixed") -> DataFrame:
     """Pairs of files whose Dice coefficient over their ``k`` most
-    frequent words reaches ``threshold`` (denominator ``2k`` by default).
+    frequent words reaches ``threshold`` (denominator ``2k`` by default):
+    ``doc_a, doc_b, overlap, dice, path_a, path_b``, the first two being the
+    base names.  Files are told apart by their full path.
     ``keep_empty=True`` counts the empty tokens a line-wise split yields, as
     originally.  Pairs with no common word are never produced."""
     docs = read_documents(spark, paths, whole_text=False)
-    counts = tx.word_counts(docs, "doc", "text", keep_empty=keep_empty)
-    return tx.dice_join(tx.top_words(counts, "doc", k=k), "doc", threshold=threshold, k=k,
-                        denominator=denominator)
+    counts = tx.word_counts(docs, "path", "text", keep_empty=keep_empty)
+    pairs = tx.dice_join(tx.top_words(counts, "path", k=k), "path", threshold=threshold, k=k,
+                         denominator=denominator, doc_a="path_a", doc_b="path_b")
+    return pairs.select(base_name("path_a").alias("doc_a"), base_name("path_b").alias("doc_b"), "overlap", "dice",
+                        "path_a", "path_b")
 
 
 def knn_predictions(spark: SparkSession, labels_csv: str, distances: str, k: int) -> DataFrame:
     """C17: predicted and actual class of every labelled row from the k
     nearest rows in the distance file (ids = row positions in the labels
-    file); vote ties go to the smallest class."""
+    file), by id; vote ties go to the smallest class.  A class that is not a
+    number and a line without a distance record fail the job."""
     labels = read_csv(spark, labels_csv, header=True)
     label_col = labels.columns[-1]
-    indexed = nb.with_row_index(labels.select(to_double(F.col(f"`{label_col}`")).alias("label")))
+    indexed = nb.with_row_index(labels.select(to_double(F.col(f"`{label_col}`"), strict=True).alias("label")))
     near = nb.k_nearest(read_distance_records(spark, distances), k)
-    return nb.knn_classify(near, indexed)
+    return nb.knn_classify(near, indexed).orderBy("id")
 
 
 def knn_evaluation(spark: SparkSession, labels_csv: str, distances: str, k: int) -> tuple[DataFrame, DataFrame]:

@@ -17,6 +17,12 @@ from quarry.sources import table
 K = 5
 
 
+def knn_neighbors(spark: SparkSession, sf: str) -> DataFrame:
+    """The 5 nearest other vectors of every vector, with their distances."""
+    near = nb.nearest_vectors(table(spark, sf, "embeddings"), K, id_col="vec_id", vec_col="embedding")
+    return near.select("id", "paired", F.round("distance", 9).alias("distance"))
+
+
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
     emb = table(spark, sf, "embeddings")
     near = nb.nearest_vectors(emb, K, id_col="vec_id", vec_col="embedding")
@@ -34,7 +40,7 @@ def knn_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return nb.accuracy(_predictions(spark, sf))
 
 
-QUERIES = {"knn_confusion": knn_confusion, "knn_accuracy": knn_accuracy}
+QUERIES = {"knn_neighbors": knn_neighbors, "knn_confusion": knn_confusion, "knn_accuracy": knn_accuracy}
 
 _PRED = f"""
     WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings),
@@ -50,6 +56,12 @@ _PRED = f"""
          p AS (SELECT pred.id, predicted, e.label AS actual FROM pred JOIN e ON e.vec_id = pred.id)"""
 
 ORACLE = {
+    "knn_neighbors": f"""
+        WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+             d AS (SELECT a.vec_id AS id, b.vec_id AS paired, list_distance(a.v, b.v) AS dist
+                   FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+        SELECT id, paired, round(dist, 9) AS distance FROM (
+          SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, paired) AS r FROM d) x WHERE r <= {K}""",
     "knn_confusion": _PRED + " SELECT predicted, actual, COUNT(*) AS n FROM p GROUP BY 1, 2",
     "knn_accuracy": _PRED + """ SELECT AVG(CASE WHEN predicted = actual THEN 1.0 ELSE 0.0 END)::DOUBLE AS accuracy,
                                        COUNT(*) AS n FROM p""",

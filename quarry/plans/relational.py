@@ -107,12 +107,10 @@ def busy_days(spark: SparkSession, sf: str) -> DataFrame:
 
     Items are counted per order before the join with orders, so the join
     sees one row per order."""
-    per_order = _items_of_flavor(spark, sf, BUSY_FLAVOR).groupBy("l_orderkey") \
-        .agg(F.count(F.lit(1)).alias("_n"))
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("day"))
-    counted = per_order.join(orders, on="l_orderkey").groupBy("day") \
-        .agg(F.sum("_n").alias("n_items")).filter(F.col("n_items") > BUSY_MIN_EXCLUSIVE)
+    counted = rel.aggregate_through(_items_of_flavor(spark, sf, BUSY_FLAVOR), None,
+                                    [("l_orderkey", orders, ["day"])], "n_items", min_exclusive=BUSY_MIN_EXCLUSIVE)
     return counted.select("day", format_date("day").alias("day_text"), "n_items").orderBy("day")
 
 
@@ -125,28 +123,22 @@ def spend_per_customer(spark: SparkSession, sf: str) -> DataFrame:
     """
     goods = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"),
                                            F.col("p_retailprice").cast(PRICE).alias("price"))
-    per_order = (table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-                 .join(goods, on="l_partkey")
-                 .groupBy("l_orderkey").agg(F.sum("price").alias("spent")))
+    sold = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(goods, on="l_partkey")
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                               F.col("o_custkey").alias("c_custkey"))
-    per_customer = per_order.join(orders, on="l_orderkey").groupBy("c_custkey") \
-        .agg(F.sum("spent").alias("spent"))
-    names = table(spark, sf, "customer").select("c_custkey", "c_name")
-    per_name = per_customer.join(names, on="c_custkey").groupBy("c_name") \
-        .agg(F.sum("spent").cast("double").alias("total_spent"))
-    return per_name.orderBy(F.col("total_spent").desc(), "c_name")
+    per_name = rel.aggregate_through(sold, "price", [("l_orderkey", orders, ["c_custkey"]),
+                                                     ("c_custkey", table(spark, sf, "customer"), ["c_name"])], "total_spent")
+    return per_name.withColumn("total_spent", F.col("total_spent").cast("double")) \
+        .orderBy(F.col("total_spent").desc(), "c_name")
 
 
 def most_popular_product(spark: SparkSession, sf: str) -> DataFrame:
     """The (food, flavour) with the most items sold; ties by name.
 
     Items are counted per part key before the join with part."""
-    per_part = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")) \
-        .agg(F.count(F.lit(1)).alias("_n"))
-    counted = per_part.join(table(spark, sf, "part").select("p_partkey", "p_name", "p_type"),
-                            on="p_partkey") \
-        .groupBy("p_name", "p_type").agg(F.sum("_n").alias("num_sold"))
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type")
+    counted = rel.aggregate_through(table(spark, sf, "lineitem"), None,
+                                    [("l_partkey", parts, ["p_name", "p_type"])], "num_sold")
     return rel.top_n(counted, [F.col("num_sold").desc(), F.col("p_name"), F.col("p_type")], 1)
 
 

@@ -1,9 +1,17 @@
-"""Source-level operators on the driver's tables."""
+"""Source-level and cleaning operators on the driver's tables.
+
+The cleaning queries make text in the original files' layouts from table
+columns (quoted names, ``3-Oct-2007`` dates, amounts with blanks and commas)
+and read it back with the library's expressions.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarry.functions import clean
+from quarry.operators import stats as st
 from quarry.sources import json_field as _json_field
 from quarry.sources import table
 
@@ -13,8 +21,69 @@ def json_field(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", _json_field("props", "$.k", "int").alias("k"))
 
 
-QUERIES = {"json_field": json_field}
+def clean_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Quoted day-month-year texts back to dates, and formatted."""
+    text = F.concat(F.lit(" '"), F.date_format("o_orderdate", "d-MMM-yyyy"), F.lit("'"))
+    rows = table(spark, sf, "orders").select("o_orderkey", text.alias("quoted"))
+    day = clean.to_date(clean.unquote("quoted"))
+    return rows.select("o_orderkey", day.alias("day"), clean.format_date(day).alias("day_text"))
+
+
+def clean_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers from padded, comma-grouped and double-quoted texts."""
+    rows = table(spark, sf, "part").select(
+        "p_partkey", F.concat(F.lit(" "), F.format_number(F.col("p_partkey") * 1000, 0), F.lit(" ")).alias("grouped"),
+        F.concat(F.lit('"'), F.col("p_size").cast("string"), F.lit('"')).alias("quoted"),
+        F.concat(F.col("p_retailprice").cast("decimal(18,2)").cast("string"), F.lit(" ")).alias("price"))
+    return rows.select("p_partkey", clean.to_int("grouped", strip=", ", dtype="long").alias("grouped"),
+                       clean.to_int(clean.strip_chars("quoted")).alias("size"), clean.to_double("price").alias("price"))
+
+
+def bad_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """events whose ``props`` member ``k`` is an even number, and the
+    rejected rest, split by one condition; how many of each a type."""
+    k = clean.to_int(_json_field("props", "$.k"))
+    rows = table(spark, sf, "events").select("event_type", F.when(k % 2 == 0, k).alias("k"))
+    good, bad = clean.split_bad_rows(rows, ["k"])
+    both = good.select("event_type", F.lit(1).alias("g")).unionAll(bad.select("event_type", F.lit(0).alias("g")))
+    return both.groupBy("event_type").agg(F.sum("g").alias("n_good"), F.sum(1 - F.col("g")).alias("n_bad"))
+
+
+def one_sided_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """Characters of each document per quality label, full outer over
+    keys that really are one-sided (documents without a label, and labels
+    keyed by another name); keys normalised."""
+    docs = table(spark, sf, "documents").select(
+        clean.normalize_key(F.concat(F.lit("doc "), F.col("doc_id").cast("string"), F.lit(" County"))).alias("key"), "n_chars")
+    labels = table(spark, sf, "labels").select(
+        clean.normalize_key(F.concat(F.when(F.col("quality") == 1, F.lit("'doc' ")).otherwise(F.lit("low ")),
+                                     F.col("doc_id").cast("string")), suffix=None).alias("key"),
+        (F.col("quality") + 1).alias("weight"))
+    return st.per_capita(docs, "key", "n_chars", labels, "key", "weight", key_name="key", scale=0)
+
+
+QUERIES = {"json_field": json_field, "clean_dates": clean_dates, "clean_numbers": clean_numbers, "bad_rows": bad_rows,
+           "one_sided_ratio": one_sided_ratio}
 
 ORACLE = {
     "json_field": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
+    "clean_dates": """
+        SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, strftime(CAST(o_orderdate AS DATE), '%d-%b-%Y') AS day_text
+        FROM orders""",
+    "clean_numbers": """
+        SELECT p_partkey, CAST(p_partkey * 1000 AS BIGINT) AS grouped, CAST(p_size AS INTEGER) AS size,
+               CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS price FROM part""",
+    "bad_rows": """
+        SELECT event_type, COUNT(*) FILTER (WHERE k % 2 = 0) AS n_good,
+               COUNT(*) FILTER (WHERE k IS NULL OR k % 2 <> 0) AS n_bad
+        FROM (SELECT event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) t
+        GROUP BY event_type""",
+    "one_sided_ratio": """
+        WITH s AS (SELECT 'doc' || doc_id AS key, SUM(n_chars) AS total FROM documents GROUP BY 1),
+             p AS (SELECT CASE WHEN quality = 1 THEN 'doc' ELSE 'low' END || doc_id AS key, quality + 1 AS population
+                   FROM labels)
+        SELECT COALESCE(s.key, p.key) AS key, CAST(COALESCE(s.total, 0) AS DOUBLE) AS total,
+               CAST(p.population AS BIGINT) AS population,
+               CAST(COALESCE(s.total, 0) AS DOUBLE) / NULLIF(p.population, 0) AS per_head
+        FROM s FULL OUTER JOIN p ON s.key = p.key""",
 }

@@ -1,8 +1,8 @@
 """Readers.
 
-All readers return lazy DataFrames with a declared schema; none infers a
-schema (inference is an extra pass over the data) and none goes through an
-RDD.  Parquet tables get column pruning and filter pushdown from Catalyst.
+All readers return lazy DataFrames; none infers types (an extra pass over the
+data): without a declared schema a CSV's columns are strings named by its
+header.  None goes through an RDD.  Parquet tables get column pruning and filter pushdown from Catalyst.
 """
 
 from __future__ import annotations
@@ -10,10 +10,11 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quarry.functions.clean import split_bad_rows
 from quarry.sources.sinks import write_table  # noqa: F401
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -58,14 +59,25 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
 
 
 def read_fields(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
-                column: str = "fields") -> DataFrame:
+                column: str = "fields", quote: str | None = None) -> DataFrame:
     """Header-less delimited lines as one array column of raw fields, for
     files whose rows do not share one layout and are addressed by position
-    (see :func:`field`).  The split is literal: a quoted separator still
-    splits -- prefer :func:`read_csv` with a schema wherever the layout is
-    fixed."""
+    (see :func:`field`), with the line itself as ``line``.
+
+    Without ``quote`` the split is literal.  With it, a separator between
+    quotes stays inside its field, the quotes go, and a doubled quote is one.
+    """
     pattern = "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
-    return spark.read.text(path).select(F.split(F.col("value"), pattern).alias(column))
+    if quote is None:
+        fields = F.split(F.col("value"), pattern)
+    else:
+        q = "\\" + quote if not quote.isalnum() else quote
+        one = rf"(?:^|{pattern})({q}(?:[^{q}]|{q}{q})*{q}(?=$|{pattern})|(?:(?!{pattern}).)*)"
+        raw = F.regexp_extract_all(F.col("value"), F.lit(one), F.lit(1))
+        fields = F.transform(raw, lambda x: F.when(
+            x.startswith(quote) & x.endswith(quote) & (F.length(x) > 1),
+            F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit(quote * 2), F.lit(quote))).otherwise(x))
+    return spark.read.text(path).select(fields.alias(column), F.col("value").alias("line"))
 
 
 def field(fields: str, position: int):
@@ -97,36 +109,48 @@ def read_json_records(spark: SparkSession, path: str | Sequence[str], schema: St
     return df
 
 
+def base_name(path: str) -> Column:
+    """The decoded file name at the end of a path column (``my%20file.txt`` is
+    ``my file.txt``); a plus sign is itself."""
+    last = F.element_at(F.split(F.col(path), "/"), -1)
+    return F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B")))
+
+
 def read_documents(spark: SparkSession, paths: str | Sequence[str], whole_text: bool = True,
-                   doc_column: str = "doc", text_column: str = "text") -> DataFrame:
-    """Text files with the file's base name per row.
+                   doc_column: str = "doc", text_column: str = "text", path_column: str = "path") -> DataFrame:
+    """Text files: their full path (what identifies a document: two folders
+    may hold files of one name), base name and text.
 
     ``whole_text=True``: one row per file (``wholetext``), so a document is
-    never cut at a split boundary.  ``False``: one row per line.
+    never cut at a split boundary -- and one task holds a whole file.
+    ``False``: one row per line, for files of any size.
     """
     df = spark.read.text(paths, wholetext=whole_text)
-    return df.select(
-        F.col("_metadata.file_name").alias(doc_column),
-        F.col("value").alias(text_column),
-    )
+    return df.select(F.col("_metadata.file_path").alias(path_column), F.col("value").alias(text_column)) \
+        .select(path_column, base_name(path_column).alias(doc_column), text_column)
 
 
-def read_distance_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_distance_records(spark: SparkSession, path: str | Sequence[str],
+                          strict: bool = True) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Lines holding ``[id,paired,distance]`` (anything around the brackets
-    is ignored) as ``(id long, paired long, distance double)``.  Lines
-    without a bracketed record are dropped."""
+    is ignored) as ``(id long, paired long, distance double)``.
+
+    A line without such a record fails the job; with ``strict=False`` the
+    result is ``(records, rejects)``, the rejects being the other lines.
+    """
     raw = spark.read.text(path)
-    inner = F.regexp_extract("value", r"\[([^\]]*)\]", 1)
-    parts = F.split(inner, ",")
-    return (
-        raw.select(inner.alias("inner"), parts.alias("p"))
-        .filter(F.col("inner") != "")
-        .select(
-            F.trim(F.col("p")[0]).cast("long").alias("id"),
-            F.trim(F.col("p")[1]).cast("long").alias("paired"),
-            F.trim(F.col("p")[2]).cast("double").alias("distance"),
-        )
-    )
+    parts = F.split(F.regexp_extract("value", r"\[([^\]]*)\]", 1), ",")
+    typed = raw.select(
+        F.col("value").alias("line"),
+        F.trim(F.try_element_at(parts, F.lit(1))).try_cast("long").alias("id"),
+        F.trim(F.try_element_at(parts, F.lit(2))).try_cast("long").alias("paired"),
+        F.trim(F.try_element_at(parts, F.lit(3))).try_cast("double").alias("distance"))
+    if strict:
+        whole = F.col("id").isNotNull() & F.col("paired").isNotNull() & F.col("distance").isNotNull()
+        fail = F.raise_error(F.concat(F.lit("not a distance record: "), F.col("line"))).cast("long")
+        return typed.select(F.when(whole, F.col("id")).otherwise(fail).alias("id"), "paired", "distance")
+    good, bad = split_bad_rows(typed, ["id", "paired", "distance"])
+    return good.select("id", "paired", "distance"), bad.select("line")
 
 
 def json_field(json_text: str, path: str, dtype: str = "string"):

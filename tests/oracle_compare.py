@@ -39,7 +39,7 @@ def _norm(v, digits: int):
         return None
     if isinstance(v, float):
         if math.isnan(v):
-            return None  # NaN and NULL are both "no value"
+            return "NaN"  # not the same as NULL
         if v == 0 or math.isinf(v):
             return v
         return float(f"{v:.{digits}g}")

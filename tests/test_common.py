@@ -1,28 +1,28 @@
-"""Plan helpers: spreading thin inputs, materialising intermediates."""
+"""Intermediate tables: where they lie and that they go."""
 
-from quarry.operators.common import materialize, spread
+import os
 
+from quarry.operators.common import Scratch
 
-def _exchanges(df):
-    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
 
+def _local(path):
+    return path.split(":", 1)[-1]
 
-def test_spread_adds_a_shuffle_only_for_thin_input(spark):
-    parallelism = spark.sparkContext.defaultParallelism
-    thin = spark.range(0, 1000, numPartitions=1)
-    wide = spark.range(0, 1000, numPartitions=parallelism * 2)
-    assert _exchanges(spread(thin, "id")) == 1
-    assert spread(thin, "id").rdd.getNumPartitions() == parallelism
-    assert _exchanges(spread(wide, "id")) == 0          # at scale: untouched
-    assert spread(wide) is wide
 
+def test_scratch_writes_under_the_checkpoint_folder_and_releases(spark):
+    folder = _local(spark.sparkContext.getCheckpointDir())
+    scratch = Scratch(spark)
+    out = scratch.save(spark.range(0, 50).selectExpr("id", "id * 2 as x"))
+    assert out.inputFiles() and all(folder in f for f in out.inputFiles())
+    assert out.count() == 50
+    assert os.path.isdir(_local(scratch.path))
+    scratch.release()
+    assert not os.path.exists(_local(scratch.path))
 
-def test_materialize_writes_under_the_checkpoint_folder(spark):
-    folder = spark.sparkContext.getCheckpointDir()
-    df = spark.range(0, 50).selectExpr("id", "id * 2 as x")
-    out = materialize(df)
-    path = folder.split(":", 1)[-1]            # the folder without its scheme
-    assert out.inputFiles() and all(path in f for f in out.inputFiles())
-    assert sorted(tuple(r) for r in out.collect()) == [(i, 2 * i) for i in range(50)]
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Range" not in plan and "FileScan parquet" in plan       # lineage cut: a scan of the table
+
+def test_scratch_in_a_folder_of_the_caller(spark, tmp_path):
+    scratch = Scratch(spark, f"file://{tmp_path}/work")
+    assert scratch.save(spark.range(3)).count() == 3
+    assert os.listdir(tmp_path / "work")
+    scratch.release()
+    assert not os.listdir(tmp_path / "work")

@@ -116,25 +116,67 @@ def test_row_ids_unique(spark):
     assert ids.distinct().count() == 1000
 
 
-def test_cell_pairs_pruned_on_separated_clusters(spark):
-    """Pruning does happen on clustered data, and the search stays exact."""
+def test_far_bound_prunes_separated_clusters_and_stays_safe(spark):
+    """Clustered vectors are sent to no other cluster's cell; the bound never
+    exceeds the true distance."""
     rng = np.random.default_rng(11)
     centers = rng.normal(scale=100, size=(8, 6))
     vecs = np.concatenate([c + rng.normal(size=(40, 6)) for c in centers])
-    # pivots: one per cluster, as the hash sample would typically give with more data
-    pivots = centers.copy()
-    d = np.sqrt(((vecs[:, None, :] - pivots[None, :, :]) ** 2).sum(-1))
+    d = np.sqrt(((vecs[:, None, :] - centers[None, :, :]) ** 2).sum(-1))
     cell = d.argmin(1)
-    dp = d[np.arange(len(vecs)), cell]
-    size = np.bincount(cell, minlength=8)
-    radius = np.array([dp[cell == c].max() for c in range(8)])
-    kth = np.array([np.sort(dp[cell == c])[5] for c in range(8)])  # k=5 -> 6th smallest
-    keep = nb._surviving_cell_pairs(pivots, size, radius, kth)
-    assert keep.diagonal().all()
-    assert keep.sum() == 8  # only each cell with itself survives
+    radius = np.array([d[cell == c, c].max() for c in range(8)])
+    near = np.sqrt(((vecs[:, None, :] - vecs[None, :, :]) ** 2).sum(-1))
+    far = nb._far_bound(d, radius[None, :])
+    for c in range(8):
+        assert (far[:, c] <= near[:, cell == c].min(axis=1)).all()
+    bound = np.sort(near, axis=1)[:, 5]
+    assert (far <= bound[:, None]).sum() == len(vecs)  # only its own cell
     _check(spark, list(range(len(vecs))), vecs, 5, n_pivots=16, block_rows=30)
 
 
+def test_ids_whose_hashes_are_all_large_still_have_pivots(spark):
+    rng = np.random.default_rng(5)
+    ids = list(range(20500, 21000))
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in ids], "id long, vector array<double>")
+    assert nb.nearest_vectors(df, 3).count() == 1500
+    assert nb.nearest_vectors(df, 3, n_pivots=1).count() == 1500
+
+
+def test_invalid_vectors_raise_or_are_left_out(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(40)]
+    rows[3] = (3, [float("nan"), 0.0, 0.0])
+    rows[4] = (4, [1.0, None, 0.0])
+    rows[5] = (5, [float("inf"), 0.0, 0.0])
+    rows += [(90, None), (None, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    with pytest.raises(ValueError, match="3 vectors"):
+        nb.nearest_vectors(df, 3)
+    out = nb.nearest_vectors(df, 3, n_pivots=37, invalid="drop").groupBy("id").count().collect()
+    assert {r["id"]: r["count"] for r in out} == {i: 3 for i in range(40) if i not in (3, 4, 5)}
+    with pytest.raises(ValueError, match="lengths"):
+        nb.nearest_vectors(spark.createDataFrame([(1, [0.0]), (2, [0.0, 1.0])], df.schema), 1)
+
+
+def test_many_equal_distances_go_to_the_smallest_ids():
+    q = np.zeros((2, 3))
+    ref = np.concatenate([np.ones((60, 3)), np.full((5, 3), 2.0)])
+    ids = np.arange(100, 165)[::-1]
+    a, b, d = nb._block_k_best(q, ref, np.array([1, 2]), ids, 4)
+    want = sorted(ids[:60])[:4]
+    assert a.tolist() == [1] * 4 + [2] * 4 and b.tolist() == [*want, *want] and np.allclose(d, 3 ** 0.5)
+
+
+def test_row_index_follows_file_order_whatever_the_split_packing(spark, tmp_path):
+    (tmp_path / "part-0.csv").write_text("a\nb\n")
+    (tmp_path / "part-1.csv").write_text("".join(f"{i:06d}\n" for i in range(5000)))
+    df = spark.read.schema("v string").csv(str(tmp_path))
+    got = [r.v for r in nb.with_row_index(df).orderBy("id").collect()]
+    assert got == ["a", "b"] + [f"{i:06d}" for i in range(5000)]
+    ids = [r.id for r in nb.with_row_index(spark.range(100, numPartitions=5).toDF("v")).collect()]
+    assert sorted(ids) == list(range(100))
+
+
 def test_k_nearest_ignores_missing_distances(spark):
     d = spark.createDataFrame([(0, 1, None), (0, 2, 5.0), (0, 3, 7.0)], "id long, paired long, distance double")
     assert [r.paired for r in nb.k_nearest(d, 1).collect()] == [2]

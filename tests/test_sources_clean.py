@@ -119,10 +119,23 @@ def test_documents_with_file_name(spark, tmp_dir):
     assert got == {"a.txt": "one two\nthree\n", "b.txt": "four\n"}
 
 
+def test_documents_are_told_apart_by_path(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "same.txt").write_text("one two three")
+    (tmp_path / "my file+1.txt").write_text("four")
+    df = read_documents(spark, [str(tmp_path / "x"), str(tmp_path / "y"), str(tmp_path / "my file+1.txt")])
+    got = df.collect()
+    assert sorted(r.doc for r in got) == ["my file+1.txt", "same.txt", "same.txt"] and len({r.path for r in got}) == 3
+
+
 def test_distance_records(spark, tmp_dir):
-    p = write(os.path.join(tmp_dir, "d.txt"), "(0, [0,1,0.5])\n[1, 7, 2.25]\nnoise\n")
-    rows = sorted(tuple(r) for r in read_distance_records(spark, p).collect())
-    assert rows == [(0, 1, 0.5), (1, 7, 2.25)]
+    p = write(os.path.join(tmp_dir, "d.txt"), "(0, [0,1,0.5])\n[1, 7, 2.25]\nnoise\n[1,2]\n")
+    records, rejects = read_distance_records(spark, p, strict=False)
+    assert sorted(tuple(r) for r in records.collect()) == [(0, 1, 0.5), (1, 7, 2.25)]
+    assert sorted(r.line for r in rejects.collect()) == ["[1,2]", "noise"]
+    with pytest.raises(Exception, match="not a distance record"):
+        read_distance_records(spark, p).collect()
 
 
 def test_json_field(spark):
