@@ -3,7 +3,10 @@
 Every operator takes DataFrames plus column names and returns a lazy
 DataFrame.  The work is expressed with the DataFrame API so Catalyst can
 push filters and projections into the scans, pick join strategies, and plan
-partial aggregation; nothing is collected to the driver.
+partial aggregation.  Two operators run jobs while they build their plan and
+write intermediate tables (see ``quarry.operators.common.Scratch``):
+``nearest_vectors`` (pivots, cells, radii) and ``dice_join`` (word sets and
+their listings).  Only bounded parameters reach the driver.
 
 Sub-packages:
 
@@ -14,7 +17,6 @@ Sub-packages:
 * ``quarry.operators`` -- relational, statistical, text-similarity and
                            nearest-neighbour operators
 * ``quarry.plans``     -- the operators bound to the driver's test tables
-* ``quarry.streaming`` -- no operators: the rebuilt jobs are bounded batch jobs
 """
 
 __version__ = "0.1.0"
