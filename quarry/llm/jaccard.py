@@ -8,10 +8,10 @@ Pairs from a shared prefix shingle pass length, positional (Xiao et al., WWW
 2008) and suffix filters and are verified on the texts, once a pair.
 
 Only reachability is asked for, so not every pair of a dense group is made:
-first each listed class meets the smallest one of its size range under the
-same shingle; then every pair that the filters allow and that is not yet
-connected is verified.  Pairs left out are connected already, so no
-component changes -- a group of m near copies costs about m verifications.
+first the classes listed under a shingle meet a few leaders of the list; then
+every pair that the filters allow and that is not yet connected is verified.
+Pairs left out are connected already, so no component changes -- a group of m
+near copies costs some m verifications.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from quarry.llm.spans import hashes, slices, text_bytes, whole_rows, words
 _FACTOR = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB,
                                   0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
                                   0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
+_SLICES = 16  # parts of the sketch, added up by different tasks
 #: ASCII upper case to lower case, every other byte to itself.
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -93,6 +94,15 @@ def summary(s: np.ndarray) -> bytes:
                       65535).astype("<u2").tobytes()
 
 
+def coarse(s: np.ndarray) -> list[int] | None:
+    """64 range counts small enough for a join condition; None for large sets,
+    which they wouldn't tell apart."""
+    if not 0 < len(s) <= 4000:
+        return None
+    counts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=64)
+    return None if counts.max() > 127 else counts.tolist()
+
+
 def shared_at_most(a: bytes, b: bytes) -> int:
     """Upper bound of two sets' overlap from their summaries."""
     x, y = np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(b, "<u2").astype(np.int64)
@@ -110,38 +120,43 @@ def _describe(k: int, bits: int):
     def scan(batches):
         from pyspark import TaskContext
 
-        total = np.zeros(1 << bits, np.int64)
-        schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("sig", pa.binary()),
-                            ("slice", pa.int32()), ("task", pa.int32())])
+        total = np.zeros(1 << bits, np.int32)
+        schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
+                            ("sig", pa.binary()), ("q", pa.list_(pa.int8())), ("slice", pa.int32()), ("task", pa.int32())])
         for b in batches:
-            n, cls, sig, held = [], [], [], []
+            n, cls, sig, q, held = [], [], [], [], []
             for _, s in shingle_sets(b.column(2), k):
                 n.append(len(s))
                 cls.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
                            if len(s) else None)
                 sig.append(summary(s))
+                q.append(coarse(s))
                 held.append(s >> np.uint64(64 - bits))
             if held:
-                total += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << bits)
+                slot, times = np.unique(np.concatenate(held).astype(np.int64), return_counts=True)
+                total[slot] += times.astype(np.int32)
             size = len(n)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary()),
-                 pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32())], schema=schema)
-        parts = np.split(total, 16)
+                 pa.array(q, pa.list_(pa.int8())), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32())], schema=schema)
+        cut = np.split(total, _SLICES)
         yield pa.RecordBatch.from_arrays(
-            [*[pa.nulls(16, pa.int64())] * 4,
-             pa.array([zlib.compress(p.astype("<i8").tobytes(), 1) for p in parts], pa.binary()),
-             pa.array(range(16), pa.int32()), pa.array([TaskContext.get().partitionId()] * 16, pa.int32())],
+            [*[pa.nulls(_SLICES, pa.int64())] * 4, pa.array([_packed(p) for p in cut], pa.binary()),
+             pa.nulls(_SLICES, pa.list_(pa.int8())), pa.array(range(_SLICES), pa.int32()),
+             pa.array([TaskContext.get().partitionId()] * _SLICES, pa.int32())],
             schema=schema)
     return scan
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<i8").tobytes(), 1)
+
+
 def _added(pdf: pd.DataFrame) -> pd.DataFrame:
     total = 0
     for s in pdf["sig"]:
         total = total + np.frombuffer(zlib.decompress(s), "<i8")
-    return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "task": pdf["task"].iloc[:1],
-                         "sig": [zlib.compress(total.tobytes(), 1)]})
+    return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "task": pdf["task"].iloc[:1], "sig": [_packed(total)]})
 
 
 def frequency_sketch(described: DataFrame) -> np.ndarray:
@@ -152,7 +167,10 @@ def frequency_sketch(described: DataFrame) -> np.ndarray:
         .applyInPandas(_added, "slice int, task int, sig binary")
     rows = few.groupBy("slice").applyInPandas(_added, "slice int, task int, sig binary").collect()
     got = {r["slice"]: np.frombuffer(zlib.decompress(r["sig"]), "<i8") for r in rows}
-    return np.concatenate([got[i] for i in sorted(got)]) if got else np.zeros(16, np.int64)
+    if not got:  # no partition at all
+        return np.zeros(1, np.int32)
+    total = np.concatenate([got[i] for i in sorted(got)])
+    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _prefixes(k: int, percent: int, bits: int, sketch):
@@ -192,6 +210,23 @@ def _allowed(percent: int):
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (left * (100 + percent) >= (na + nb) * percent)
 
 
+def _coarse_allow(percent: int):
+    """The suffix filter's cheap form inside a join: 64 range counts."""
+    both = F.aggregate(F.zip_with("a.q", "b.q", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x.cast("int"))
+    enough = both * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+    return F.col("a.q").isNull() | F.col("b.q").isNull() | enough
+
+
+def _leaders(rows: DataFrame, by: list[str], leaders: int) -> DataFrame:
+    """Up to ``leaders`` classes of every group, by orders that all groups
+    share, so that groups with common members lead to common leaders."""
+    first = [F.min(F.struct(F.xxhash64("cls", F.lit(i)), "cls", "n", "pos")) for i in range(leaders)]
+    heads = rows.groupBy(*by).agg(F.array(*first).alias("x"))
+    some = F.array_distinct(F.transform("x", lambda v: F.struct(
+        v["cls"].alias("cls"), v["n"].alias("n"), v["pos"].alias("pos"))))
+    return heads.select(*by, F.explode(some).alias("e")).select(*by, "e.cls", "e.n", "e.pos")
+
+
 def _summaries_allow(percent: int):
     def scan(batches):
         for b in batches:
@@ -232,7 +267,8 @@ def _verify(k: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                    percent: int = 80, sketch_bits: int = 18, broadcast_rows: int = 2_000_000) -> DataFrame:
+                    percent: int = 80, sketch_bits: int = 22, leaders: int = 8,
+                    broadcast_rows: int = 2_000_000) -> DataFrame:
     """``(doc_id, n_shingles, component_id, text_hash, component)`` for every row.
 
     Words are what stands between ASCII white space, A-Z lower-cased; a set
@@ -245,17 +281,19 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
     are ignored; an empty table gives no rows.  ``text_hash`` tells rows of
     one id apart; ``component`` is a key of the component (null without words).
     """
-    spark = docs.sparkSession
+    spark, work = docs.sparkSession, work.scope()
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")) \
         .select("doc_id", F.xxhash64("text").alias("th"), "text")
     described = work.save(rows.mapInArrow(
-        _describe(k, sketch_bits), "doc_id long, th long, n long, cls long, sig binary, slice int, task int"), "described")
+        _describe(k, sketch_bits), "doc_id long, th long, n long, cls long, sig binary, q array<tinyint>, "
+        "slice int, task int"), "described")
     sketch = spark.sparkContext.broadcast(frequency_sketch(described))
-    listed = described.filter(F.col("slice").isNull()).select("doc_id", "th", "n", "cls", "sig")
+    listed = described.filter(F.col("slice").isNull()).select("doc_id", "th", "n", "cls", "sig", "q")
     # one row a class: a row that has it (the smallest id), size and summary
     classes = work.save(listed.filter(F.col("cls").isNotNull()).groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("at"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
+        F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("at"),
+        F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("q").alias("q")), "classes")
 
     postings = work.save(rows.select("text").mapInArrow(
         _prefixes(k, percent, sketch_bits, sketch), "h long, cls long, n int, pos int"), "postings")
@@ -285,32 +323,36 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
         work.drop(some)
         return out
 
-    # 1. every listed class against the smallest of its size range under the shingle
+    def pairs_of(joined: DataFrame, done: DataFrame | None) -> DataFrame:
+        new = joined.filter(_allowed(percent)).select(
+            F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()
+        return work.save(new if done is None else new.join(done, ["a", "b"], "left_anti"), "pairs")
+
+    def mixed_lists(part: DataFrame) -> DataFrame:
+        """Listings under shingles that still hold several components; ``big``
+        tells members of the list's largest one."""
+        known = shared.join(part.withColumnRenamed("node", "cls"), "cls", "left") \
+            .select("h", "cls", "n", "pos", F.coalesce("component", "cls").alias("c"))
+        sizes = known.groupBy("h", "c").agg(F.count(F.lit(1)).alias("m"))
+        mixed = sizes.groupBy("h").agg(F.count(F.lit(1)).alias("cs"), F.max(F.struct("m", "c")).alias("x")) \
+            .filter(F.col("cs") > 1).select("h", F.col("x.c").alias("major"))
+        return work.save(known.join(mixed, "h").withColumn("big", F.col("c") == F.col("major")), "mixed")
+
+    # 1. every listed class against leaders of its list and size range
     ranged = shared.withColumn("r", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)))
-    heads = ranged.groupBy("h", "r").agg(F.min(F.struct("n", "cls", "pos")).alias("x")) \
-        .select("h", "r", "x.n", "x.cls", "x.pos")
-    met = ranged.alias("b").join(heads.alias("a"), ["h", "r"]).filter(F.col("a.cls") != F.col("b.cls")) \
-        .filter(_allowed(percent)).select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
-    met = work.save(met.distinct(), "met")
-    links = verified(met)
+    heads = _leaders(ranged, ["h", "r"], leaders)
+    done = pairs_of(ranged.alias("b").join(heads.alias("a"), ["h", "r"]).filter(F.col("a.cls") != F.col("b.cls")), None)
+    links = verified(done)
     part = work.save(components(links, work), "part")
 
     # 2. every pair not connected yet, but none within one component
-    known = shared.join(part.withColumnRenamed("node", "cls"), "cls", "left") \
-        .select("h", "cls", "n", "pos", F.coalesce("component", "cls").alias("c"))
-    known = work.save(known, "known")
-    sizes = known.groupBy("h", "c").agg(F.count(F.lit(1)).alias("m"))
-    mixed = sizes.groupBy("h").agg(F.count(F.lit(1)).alias("cs"), F.max(F.struct("m", "c")).alias("x")) \
-        .filter(F.col("cs") > 1).select("h", F.col("x.c").alias("major"))
-    apart = work.save(known.join(mixed, "h").withColumn("big", F.col("c") == F.col("major")), "apart")
-    small = apart.filter(~F.col("big"))
-    cross = small.alias("a").join(apart.alias("b"), "h").filter(
-        (F.col("a.c") != F.col("b.c")) & (F.col("b.big") | (F.col("a.cls") < F.col("b.cls")))) \
-        .filter(_allowed(percent)).select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
-    cross = cross.distinct().join(met, ["a", "b"], "left_anti")
-    links = work.save(links.unionAll(verified(cross)), "links")
-    for t in (shared, known, apart, met, part):
-        work.drop(t)
+    apart = mixed_lists(part)
+    full = work.save(apart.join(classes.select("cls", "q"), "cls"), "full")
+    cross = full.filter("not big").alias("a").join(full.alias("b"), (F.col("a.h") == F.col("b.h"))
+        & (F.col("a.c") != F.col("b.c")) & (F.col("b.big") | (F.col("a.cls") < F.col("b.cls")))
+        & _allowed(percent) & _coarse_allow(percent))
+    found = verified(pairs_of(cross, done))
+    links = work.save(links.unionAll(found), "links")
     part = components(links, work)
 
     ids = classes.join(part.withColumnRenamed("node", "cls"), "cls", "left") \
@@ -318,6 +360,7 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
     ids = work.save(ids, "ids")
     least = ids.groupBy("c").agg(F.min("rep").alias("component_id"))
     named = work.save(ids.join(least, "c").select("cls", "component_id", F.col("c").alias("component")), "named")
+    work.keep(described, named)
     return listed.join(named, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -333,8 +376,10 @@ def drop_near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_i
     What goes is listed by id and text hash.  The list is broadcast while it
     has at most ``broadcast_rows`` rows, and joined by a shuffle beyond that.
     """
-    found = work.save(near_duplicates(docs, work, id_col, text_col, broadcast_rows=broadcast_rows, **options)
+    inner = work.scope()
+    found = work.save(near_duplicates(docs, inner, id_col, text_col, broadcast_rows=broadcast_rows, **options)
                       .filter(F.col("component").isNotNull()).select("doc_id", "text_hash", "component"), "found")
+    inner.release()
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     kept = found.groupBy("component").agg(F.min(first).alias("x"), F.count(F.lit(1)).alias("m")).filter(F.col("m") > 1)
     keys = found.join(kept, "component") \

@@ -38,7 +38,11 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw, offsets
 
 
-def slices(raw: np.ndarray, offsets: np.ndarray, target: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+#: Three arrays that go together; what the generators here yield.
+Parts = Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def slices(raw: np.ndarray, offsets: np.ndarray, target: int = 1 << 21) -> Parts:
     """Consecutive texts (or parts of one) of about ``target`` bytes:
     ``(rows, starts, ends)``, byte positions in ``raw``.
 
@@ -164,7 +168,7 @@ def distinct(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], code
 
 
-def whole_rows(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def whole_rows(parts: Parts) -> Parts:
     """``(rows, values, counts)`` slices in which a long text's row comes in
     several, joined so that every row comes once and whole."""
     row, held = -1, []

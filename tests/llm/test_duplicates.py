@@ -52,7 +52,7 @@ def texts(seed=1, groups=12):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 0, "sketch_bits": 4}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 0, "sketch_bits": 4, "leaders": 1}])
 def test_jaccard_join_equals_brute_force(spark, work, options):
     rows = list(enumerate(texts()))
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"cls": F.lit(1), "n": F.lit("x"), "a": F.lit(2)})
