@@ -5,10 +5,11 @@ order-insensitive values)."""
 import pytest
 
 import __spark_entry__ as entry
+from quarry.plans import ORACLE, QUERIES
 from tests.conftest import SF001, SF01
 from tests.oracle_compare import compare, duck
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +18,12 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], SF01, con)
+    res = compare(spark, name, QUERIES[name], ORACLE[name], SF01, con)
     assert res["status"] == "ok", res
 
 
@@ -36,9 +37,9 @@ def test_entry_smoke(spark):
 def test_column_types_match_oracle(spark, con):
     names = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
              "StringType()": "VARCHAR", "DateType()": "DATE", "BooleanType()": "BOOLEAN"}
-    for name, query in entry.queries().items():
+    for name, query in QUERIES.items():
         df = query(spark, SF01)
         spark_types = {f.name: names.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
-        rel = con.sql(entry.oracle_sql()[name])
+        rel = con.sql(ORACLE[name])
         duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
         assert spark_types == duck_types, name

@@ -5,7 +5,7 @@ partitions and ANSI mode off (the default suite runs with it on)."""
 
 import pytest
 
-import __spark_entry__ as entry
+from quarry.plans import ORACLE, QUERIES
 from tests.conftest import SF01
 from tests.oracle_compare import compare, duck
 
@@ -32,7 +32,7 @@ def con():
     return duck(SF01)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result_with_sort_merge_joins_and_no_aqe(cluster_like, con, name):
-    res = compare(cluster_like, name, entry.queries()[name], entry.oracle_sql()[name], SF01, con)
+    res = compare(cluster_like, name, QUERIES[name], ORACLE[name], SF01, con)
     assert res["status"] == "ok", res
