@@ -124,17 +124,14 @@ def _describe(k: int, bits: int):
         schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
                             ("sig", pa.binary()), ("q", pa.list_(pa.int8())), ("slice", pa.int32()), ("task", pa.int32())])
         for b in batches:
-            n, cls, sig, q, held = [], [], [], [], []
+            n, cls, sig, q = [], [], [], []
             for _, s in shingle_sets(b.column(2), k):
                 n.append(len(s))
                 cls.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
                            if len(s) else None)
                 sig.append(summary(s))
                 q.append(coarse(s))
-                held.append(s >> np.uint64(64 - bits))
-            if held:
-                slot, times = np.unique(np.concatenate(held).astype(np.int64), return_counts=True)
-                total[slot] += times.astype(np.int32)
+                np.add.at(total, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
             size = len(n)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary()),
@@ -241,7 +238,7 @@ def _verify(k: int, percent: int):
     """Pairs ``(a, b, text_a, text_b)`` whose sets reach the threshold."""
     def scan(batches):
         known: dict[int, np.ndarray] = {}  # sets of the batch's classes, each made once
-        for b in batches:
+        for b in (x.slice(i, 256) for x in batches for i in range(0, x.num_rows, 256)):  # few sets at a time
             ids = [b.column(0).to_pylist(), b.column(1).to_pylist()]
             first: dict[int, tuple[int, int]] = {}
             for side in (0, 1):

@@ -211,7 +211,7 @@ class Pool:
     time and changes no result.
     """
 
-    def __init__(self, limit: int = 1_500_000):
+    def __init__(self, limit: int = 600_000):
         self.limit = limit
         self.clear()
 
