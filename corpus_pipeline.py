@@ -27,8 +27,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on over 8 % of their source's documents go; every document stays."""
-    return _measured(lines.drop_boilerplate(docs, "source", "text", WorkFolder(spark), ratio=0.08, min_pages=3))
+    """Lines on over 8 % of their source's different texts go; every document
+    stays, and copies keep their text for the stage that leaves one of them."""
+    return _measured(lines.drop_boilerplate(docs, "source", "text", WorkFolder(spark), ratio=0.08, min_pages=3,
+                                            copies=False))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

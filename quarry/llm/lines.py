@@ -26,9 +26,10 @@ def line_keys(text: Column) -> Column:
 
 
 def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = 0.1,
-                      min_pages: int = 3) -> DataFrame:
+                      min_pages: int = 3, copies: bool = True) -> DataFrame:
     """``(_host, keys)``: each host's lines that stand on more than ``ratio`` of
-    its pages, and on ``min_pages`` at least.
+    its pages, and on ``min_pages`` at least.  Without ``copies`` all rows of a
+    host with the same text are one page, for lines and for page totals.
 
     A page counts a line once (repeats inside it are removed before the
     shuffle) and only fixed-width keys travel, counted per task first.  A host
@@ -37,6 +38,10 @@ def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = 0.1
     """
     spans = pages.select(F.col(f"`{host}`").alias("_host"),
                          F.array_distinct(line_keys(F.col(f"`{text}`"))).alias("_keys"))
+    if not copies:  # one row a host and text; tasks fold their own copies before the shuffle
+        spans = pages.select(F.col(f"`{host}`").alias("_host"), F.xxhash64(F.col(f"`{text}`")).alias("_text"),
+                             F.array_distinct(line_keys(F.col(f"`{text}`"))).alias("_keys")) \
+            .groupBy("_host", "_text").agg(F.first("_keys").alias("_keys"))
     totals = spans.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     counts = spans.select("_host", F.explode("_keys").alias("_key")).filter(F.col("_key").isNotNull()) \
         .groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_pages)
@@ -47,7 +52,7 @@ def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = 0.1
 
 def drop_boilerplate(pages: DataFrame, host: str, text: str, work: WorkFolder, ratio: float = 0.1,
                      min_pages: int = 3, dropped: str | None = None, broadcast_keys: int = 2_000_000,
-                     salts: int = 32) -> DataFrame:
+                     salts: int = 32, copies: bool = True) -> DataFrame:
     """``pages`` with boilerplate lines cut out of ``text``; every row stays.
 
     Lines are what stands between newline characters, compared without the
@@ -55,7 +60,9 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str, work: WorkFolder, r
     of the host's pages (and on ``min_pages`` at least).  Blank lines are kept
     and never counted.  Null texts stay null and count as pages without
     lines; empty texts stay empty; a text of boilerplate only becomes empty.
-    A null host is a host of its own.  Repeated rows are pages of their own.
+    A null host is a host of its own.  Repeated rows are pages of their own;
+    with ``copies=False`` a host's rows of equal text are one page, so that a
+    text does not become boilerplate of its host by being copied.
     ``dropped`` names an optional column with the number of lines cut.
 
     The lists are written once and their keys counted: up to
@@ -63,7 +70,7 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str, work: WorkFolder, r
     they are.  Beyond that texts and lists are joined by host and a salt, so a
     host with a third of all pages is still ``salts`` parts.
     """
-    drop = work.save(boilerplate_lines(pages, host, text, ratio, min_pages), "boilerplate")
+    drop = work.save(boilerplate_lines(pages, host, text, ratio, min_pages, copies), "boilerplate")
     keys = drop.agg(F.sum(F.size("_drop"))).first()[0] or 0
     names = pages.columns
     if keys <= broadcast_keys:

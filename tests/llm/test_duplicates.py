@@ -186,3 +186,16 @@ def test_pipeline_stages_chain_and_keep_their_promises(spark):
         else:
             assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == ids
         cur = out
+
+
+def test_pipeline_keeps_one_copy_of_a_text_with_a_third_of_its_source(spark):
+    pipeline = importlib.import_module("corpus_pipeline")
+    sf = "/root/testdata/sf0.001"
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    body = "\n".join(" ".join(f"w{i}x{j}" for j in range(12)) for i in range(4))
+    rows = [(i, "menu of the site\n" + body, "en", "s", 1) for i in range(15)]
+    rows += [(100 + i, "menu of the site\n" + " ".join(f"own{i}x{j}" for j in range(20)), "en", "s", 1) for i in range(30)]
+    docs = spark.createDataFrame(rows, schema)
+    stages = dict(pipeline.STAGES)
+    out = stages["near_duplicates"](spark, stages["line_dedup"](spark, docs, sf), sf).collect()
+    assert [r["doc_id"] for r in out if r["text"] == body] == [0] and len(out) == 31

@@ -131,6 +131,17 @@ def test_line_dedup_equals_brute_force(spark, work, limit):
     assert lines.drop_boilerplate(df.limit(0), "host", "text", work, broadcast_keys=limit).count() == 0
 
 
+def test_line_dedup_without_copies_counts_a_hosts_texts_once(spark, work):
+    copied = "menu\nclean one\nclean two"
+    rows = [("h", copied)] * 12 + [("h", f"menu\nown {i}") for i in range(24)]
+    rows += [("g", "copied without a menu")] * 40 + [("g", f"menu\nown {i}") for i in range(3)]
+    rows += [("g", f"other {i}") for i in range(10)] + [("g", None)] * 20 + [(None, "x"), (None, "x"), (None, "x")]
+    df = spark.createDataFrame(rows, "host string, text string")
+    out = lines.drop_boilerplate(df, "host", "text", work, ratio=0.08, min_pages=3, copies=False)
+    want = [(h, t and t.removeprefix("menu\n")) for h, t in rows]
+    assert sorted(((r["host"], r["text"]) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_line_dedup_plan_has_no_python_and_leaves_texts_in_place(spark, work):
     df = spark.createDataFrame([("h", "a\nb")] * 9, "host string, text string")
     out = lines.drop_boilerplate(df, "host", "text", work)
