@@ -5,8 +5,12 @@ the nodes by random hyperplane signs and takes nearest neighbours inside short
 runs.  Then neighbours of neighbours meet (Dong, Moses, Li, WWW 2011): a node's
 list and those that list it come together, every pair of them is measured, and
 lists keep the best.  A list full of threshold neighbours is saturated and
-grows.  Recall is audited against brute force for a sample; below the target,
-more trees and rounds follow.
+grows, to a bound.  Connectivity does not depend on lists: wherever nodes meet,
+a spanning forest of their threshold pairs is kept apart.  After saturated
+lists the search goes on between components only, with lists of their own for
+neighbours in other components, until that joins nothing more.  Recall is
+audited against brute force for a sample; below the target, more trees and
+rounds follow, and at last an exact pass over tiles of all pairs.
 
 Links found by the graph give the components.  Inside a component every pair
 is then measured in tiles, so a node's links are counted in full without one
@@ -106,13 +110,42 @@ def _best(sim: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row[ok], col[ok]
 
 
+def _spanning(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of a spanning forest of the symmetric matrix ``near``."""
+    left = near.any(axis=1)
+    rows, cols = [], []
+    for start in np.flatnonzero(left):
+        queue = [start] if left[start] else []
+        left[start] = False
+        while queue:
+            a = queue.pop()
+            new = np.flatnonzero(near[a] & left)
+            left[new] = False
+            rows.append(np.full(len(new), a))
+            cols.append(new)
+            queue.extend(new)
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(rows), np.concatenate(cols)
+
+
+def _kept(sim: np.ndarray, worst, k: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the ``k`` best of every row from ``worst`` on, and of a
+    spanning forest of all pairs of at least ``threshold``."""
+    a, b = _spanning(sim >= threshold)
+    r, c = _best(np.where(sim < worst, -np.inf, sim), k)
+    return np.concatenate([r, a]), np.concatenate([c, b])
+
+
 def _edges(u, v, sim) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(sim)], ["u", "v", "sim"])
 
 
-def forest_edges(nodes: DataFrame, trees: range, leaf: int, k: int, floor: float, n: int, seed: int) -> DataFrame:
-    """Directed edges of at least ``floor`` from runs of ``leaf`` nodes in every
-    tree's order, ``k`` a node and tree."""
+def forest_edges(nodes: DataFrame, trees: range, leaf: int, k: int, floor: float, threshold: float, n: int,
+                 seed: int) -> DataFrame:
+    """Directed edges of at least ``floor`` between nodes of different ``c`` from
+    runs of ``leaf`` nodes in every tree's order: ``k`` a node and tree, and
+    what connects all pairs of ``threshold`` in a run."""
     bits = max(1, min(24, math.ceil(math.log2(max(2, n / leaf)))))
 
     def code(batches):
@@ -124,12 +157,12 @@ def forest_edges(nodes: DataFrame, trees: range, leaf: int, k: int, floor: float
                 sign = ((p[:, :bits] > 0) * (1 << np.arange(bits)[::-1])).sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(b.num_rows, t, np.int32)), b.column(0), b.column(1), pa.array(sign.astype(np.int64)),
-                     pa.array(p[:, bits]), b.column(2), b.column(3)],
-                    ["tree", "key", "dim", "code", "place", "nid", "v"])
+                     pa.array(p[:, bits]), b.column(2), b.column(3), b.column(4)],
+                    ["tree", "key", "dim", "code", "place", "nid", "c", "v"])
 
-    schema = "tree int, key string, dim int, code long, place double, nid long, v binary"
+    schema = "tree int, key string, dim int, code long, place double, nid long, c long, v binary"
     order = ["tree", "key", "dim", "code", "place", "nid"]
-    placed = nodes.select("key", "dim", "nid", "v").mapInArrow(code, schema) \
+    placed = nodes.select("key", "dim", "nid", "c", "v").mapInArrow(code, schema) \
         .repartitionByRange(*order).sortWithinPartitions(*order)
 
     def near(batches):
@@ -139,10 +172,10 @@ def forest_edges(nodes: DataFrame, trees: range, leaf: int, k: int, floor: float
             run = run.combine_chunks()
             x = _matrix(run.column("v").combine_chunks())
             ids = run.column("nid").to_numpy()
+            of = run.column("c").to_numpy()
             sim = x @ x.T
-            sim[sim < floor] = -np.inf
-            np.fill_diagonal(sim, -np.inf)
-            r, c = _best(sim, k)
+            sim[of[:, None] == of[None, :]] = -np.inf
+            r, c = _kept(sim, floor, k, threshold)
             if len(r):
                 yield _edges(ids[r], ids[c], sim[r, c])
 
@@ -152,28 +185,31 @@ def forest_edges(nodes: DataFrame, trees: range, leaf: int, k: int, floor: float
 def trim(edges: DataFrame, k: int, grow: int, threshold: float) -> DataFrame:
     """Lists of the ``k`` best neighbours; a list saturated by neighbours of
     ``threshold`` keeps ``grow`` times as many of them.  ``old`` tells edges
-    that have met before."""
-    once = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
-    order = Window.partitionBy("u").orderBy(F.col("sim").desc(), F.col("v"))
+    that have met before; ``far`` ones, into another component, have a list of
+    their own."""
+    once = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.max("old").alias("old"), F.max("far").alias("far"))
+    order = Window.partitionBy("u", "far").orderBy(F.col("sim").desc(), F.col("v"))
     rank = F.row_number().over(order)
     return once.withColumn("rank", rank).filter(F.col("rank") <= k * grow) \
-        .filter((F.col("rank") <= k) | (F.col("sim") >= threshold)).select("u", "v", "sim", "old")
+        .filter((F.col("rank") <= k) | (F.col("sim") >= threshold)).select("u", "v", "sim", "old", "far")
 
 
-def descend(nodes: DataFrame, edges: DataFrame, k: int, grow: int, floor: float) -> DataFrame:
+def descend(nodes: DataFrame, edges: DataFrame, k: int, grow: int, floor: float, threshold: float) -> DataFrame:
     """One round of neighbours of neighbours: directed candidate edges from the
-    pairs that meet at a node, one of them new there."""
-    back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "old")
-    order = Window.partitionBy("u").orderBy(F.col("sim").desc(), F.col("v"))
+    pairs of different ``c`` that meet at a node, one of them new there, and
+    what connects all such pairs of ``threshold``."""
+    back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "old", "far")
+    order = Window.partitionBy("u", "far").orderBy(F.col("sim").desc(), F.col("v"))
     back = back.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k * grow).drop("rank")
     both = edges.unionAll(back).groupBy("u", "v").agg(F.min("old").alias("old"))
     # at least one new neighbour must stand at the node, else nothing can meet there
     live = both.groupBy("u").agg(F.min("old").alias("all_old"), F.count(F.lit(1)).alias("m")) \
         .filter((F.col("all_old") == 0) & (F.col("m") > 1)).select("u")
-    full = edges.groupBy("u").agg(F.count(F.lit(1)).alias("m"), F.min("sim").alias("least")) \
+    full = edges.filter(F.col("far") == 1).groupBy("u").agg(F.count(F.lit(1)).alias("m"), F.min("sim").alias("least")) \
         .select(F.col("u").alias("nid"), F.when(F.col("m") >= k, F.col("least")).otherwise(floor).alias("worst"))
-    vectors = nodes.select("nid", "v").join(full, "nid").select(F.col("nid").alias("v"), F.col("v").alias("x"), "worst")
-    met = both.join(live, "u").join(vectors, "v").select("u", "v", "old", "worst", "x")
+    vectors = nodes.select("nid", "c", "v").join(full, "nid", "left").select(
+        F.col("nid").alias("v"), F.col("v").alias("x"), F.coalesce("worst", F.lit(floor)).alias("worst"), "c")
+    met = both.join(live, "u").join(vectors, "v").select("u", "v", "old", "worst", "c", "x")
 
     def meet(batches):
         for run in _runs(batches, 1):
@@ -182,11 +218,10 @@ def descend(nodes: DataFrame, edges: DataFrame, k: int, grow: int, floor: float)
             run = run.combine_chunks()
             x = _matrix(run.column("x").combine_chunks())
             ids, old = run.column("v").to_numpy(), run.column("old").to_numpy()
-            worst = run.column("worst").to_numpy()
+            worst, of = run.column("worst").to_numpy(), run.column("c").to_numpy()
             sim = x @ x.T
-            sim[(sim < np.maximum(floor, worst)[:, None]) | (old[:, None] + old[None, :] == 2)] = -np.inf
-            np.fill_diagonal(sim, -np.inf)
-            r, c = _best(sim, k)
+            sim[(of[:, None] == of[None, :]) | (old[:, None] + old[None, :] == 2)] = -np.inf
+            r, c = _kept(sim, np.maximum(floor, worst)[:, None], k, threshold)
             if len(r):
                 yield _edges(ids[r], ids[c], sim[r, c])
 
@@ -221,6 +256,29 @@ def audit(nodes: DataFrame, part: DataFrame, threshold: float, sample: int) -> t
     return got[0], got[1]
 
 
+def exact_links(nodes: DataFrame, threshold: float, tile: int = 1024) -> DataFrame:
+    """``(u, v)``: links that connect all pairs of ``nodes`` of at least
+    ``threshold`` in different ``c``, from every pair of tiles: the whole
+    search, quadratic in time, with less than two links a node and tile pair."""
+    by = ["key", "dim"]
+    sizes = nodes.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("tiles"))
+    cut = nodes.join(sizes, by).withColumn("t", F.pmod(F.xxhash64("nid", F.lit(1)), F.col("tiles")).cast("int")) \
+        .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    keys = [*by, "lo", "hi"]
+    pairs = cut.select(*by, F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi"), "nid", "c", "v") \
+        .repartition(*keys).sortWithinPartitions(*keys, "nid")
+
+    def measure(batches):
+        for run in _runs(batches, 4):
+            run = run.combine_chunks()
+            x = _matrix(run.column("v").combine_chunks())
+            ids, of = run.column("nid").to_numpy(), run.column("c").to_numpy()
+            a, b = _spanning((x @ x.T >= threshold) & (of[:, None] != of[None, :]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["u", "v"])
+
+    return pairs.mapInArrow(measure, "u long, v long")
+
+
 def count_links(members: DataFrame, threshold: float, tile: int = 1024) -> DataFrame:
     """``(nid, links)``: for every member ``(c, nid, m, v)`` of a component the
     vectors of its other members (``m`` each) within ``threshold``.  A large
@@ -267,7 +325,10 @@ def near_vectors(df: DataFrame, work: WorkFolder, id_col: str = "vec_id", vec_co
     never ``kept``.  Extra columns are ignored; an empty table gives no rows.
 
     The graph search is approximate: ``audit`` measures it on ``sample`` nodes
-    and up to ``attempts`` times more trees are grown until ``recall`` is met.
+    and up to ``attempts`` times more trees are grown until ``recall`` is met
+    and, with full lists, an attempt between components joins nothing.  If
+    ``attempts`` do not suffice, all pairs of different components are
+    measured in tiles, so the result is then exact.
     """
     work = work.scope()
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{label_col}`").cast("string").alias("key"),
@@ -280,34 +341,67 @@ def near_vectors(df: DataFrame, work: WorkFolder, id_col: str = "vec_id", vec_co
         F.first("v").alias("v"), F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("rep")), "nodes")
     n = nodes.count()
     floor = max(-1.0, 2 * threshold * threshold - 1)  # two links away: the double angle
-    edges = None
+    edges = part = None
+
+    def join_up(links: DataFrame) -> DataFrame:
+        """``(node, component)`` by the links so far and new ones."""
+        if part is not None:
+            links = links.unionAll(part.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        return work.save(components(links, work, "u", "v"), "part")
+
+    def placed() -> DataFrame:
+        """The nodes with the component so far as ``c``."""
+        if part is None:
+            return nodes.withColumn("c", F.col("nid"))
+        return nodes.join(part.withColumnRenamed("node", "nid"), "nid", "left") \
+            .withColumn("c", F.coalesce("component", "nid")).drop("component")
+
     for attempt in range(attempts):
-        fresh = forest_edges(nodes, range(attempt * trees, (attempt + 1) * trees), leaf, k, floor, n, seed)
-        fresh = fresh.withColumn("old", F.lit(0))
-        known = fresh if edges is None else fresh.unionAll(edges)
+        at = work.save(placed(), "placed")
+        raw = [work.save(forest_edges(at, range(attempt * trees, (attempt + 1) * trees), leaf, k, floor, threshold, n,
+                                      seed), "found")]
+        new = lambda: raw[-1].withColumns({"old": F.lit(0), "far": F.lit(1)})
+        known = new()
+        if edges is not None:  # lists stay to walk on; all meet again, now for pairs of different components
+            of = at.select("nid", "c")
+            known = known.unionAll(
+                edges.join(of.toDF("u", "cu"), "u").join(of.toDF("v", "cv"), "v").select(
+                    "u", "v", "sim", F.lit(0).alias("old"), (F.col("cu") != F.col("cv")).cast("int").alias("far")))
         nxt = work.save(trim(known, k, grow, threshold), "edges")
         if edges is not None:
             work.drop(edges)
         edges = nxt
         size = edges.count()
         for _ in range(rounds):
-            found = descend(nodes, edges, k, grow, floor).withColumn("old", F.lit(0))
-            nxt = work.save(trim(edges.withColumn("old", F.lit(1)).unionAll(found), k, grow, threshold), "edges")
+            raw.append(work.save(descend(at, edges, k, grow, floor, threshold), "found"))
+            nxt = work.save(trim(edges.withColumn("old", F.lit(1)).unionAll(new()), k, grow, threshold), "edges")
             work.drop(edges)
             edges = nxt
             if edges.filter(F.col("old") == 0).count() <= 0.001 * size:
                 break
-        links = edges.filter(F.col("sim") >= threshold).select("u", "v")
-        part = components(links, work, "u", "v")
-        part = work.save(part, "part")
-        members = nodes.join(part.withColumnRenamed("node", "nid"), "nid").select(
-            F.col("component").alias("c"), "nid", "m", "v")
+        links = raw[0]
+        for r in raw[1:]:
+            links = links.unionAll(r)
+        links = links.filter(F.col("sim") >= threshold).select("u", "v")
+        joined = bool(links.head(1))
+        nxt = join_up(links)
+        for t in (part, at, *raw):
+            if t is not None:
+                work.drop(t)
+        part = nxt
+        if joined and attempt == 0:  # only full lists can hide links of other components
+            joined = bool(edges.filter(F.col("sim") >= threshold).groupBy("u").count().filter(F.col("count") >= k).head(1))
         of = part.select(F.col("node").alias("u"), F.col("component").alias("c"))
         found, true = audit(nodes, of, threshold, sample)
-        if true == 0 or found >= recall * true:
+        if not joined and (true == 0 or found >= recall * true):
             break
-        if attempt + 1 < attempts:
-            work.drop(part)
+    else:
+        at = work.save(placed(), "placed")
+        nxt = join_up(exact_links(at, threshold))
+        work.drop(part)
+        part = nxt
+    members = nodes.join(part.withColumnRenamed("node", "nid"), "nid").select(
+        F.col("component").alias("c"), "nid", "m", "v")
     counts = work.save(count_links(members, threshold), "counts")
     ids = nodes.join(part.withColumnRenamed("node", "nid"), "nid", "left") \
         .select("nid", "m", "rep", F.coalesce("component", "nid").alias("c"))

@@ -150,6 +150,48 @@ def test_near_vectors_equal_brute_force(spark, work):
     assert neardup.near_vectors(df.limit(0), work).count() == 0
 
 
+def links_by_hand(rows, threshold=0.98):
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= threshold
+    np.fill_diagonal(near, False)
+    root = closure(list(range(len(rows))), lambda i, j: near[i, j])
+    return {rows[i][0]: (int(near[i].sum()), rows[root[i]][0]) for i in range(len(rows))}
+
+
+def near_by_search(spark, work, rows, **options):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    return {r["vec_id"]: (r["n_links"], r["component_id"]) for r in neardup.near_vectors(df, work, **options).collect()}
+
+
+def tight_groups(size, noise, seed=4):
+    """Two groups tighter than the links that join them."""
+    rng = np.random.default_rng(seed)
+    a, b = np.linalg.qr(rng.standard_normal((16, 2)))[0].T
+    angle = np.arccos(0.9825)
+    out = []
+    for g, centre in enumerate((a, np.cos(angle) * a + np.sin(angle) * b)):
+        out += [(g * size + i, (centre + noise * rng.standard_normal(16)).tolist(), 1) for i in range(size)]
+    return out
+
+
+@pytest.mark.parametrize("leaf", [256, 32])
+def test_links_between_groups_larger_than_a_list_are_found(spark, work, leaf):
+    rows = tight_groups(60, 0.002)
+    want = links_by_hand(rows)
+    assert {c for _, c in want.values()} == {0} and min(n for n, _ in want.values()) > 59
+    assert near_by_search(spark, work, rows, leaf=leaf) == want
+
+
+def test_a_search_that_misses_its_recall_ends_in_an_exact_pass(spark, work):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(40):
+        v = rng.standard_normal(16)
+        rows += [(2 * i, v.tolist(), 1), (2 * i + 1, (v + 0.02 * rng.standard_normal(16)).tolist(), 1)]
+    assert near_by_search(spark, work, rows, trees=1, leaf=2, rounds=0, attempts=1) == links_by_hand(rows)
+
+
 def test_links_of_a_large_component_are_counted_over_tiles(spark, work):
     rng = np.random.default_rng(0)
     v = rng.standard_normal((60, 8)) * 0.1 + 1
