@@ -228,32 +228,43 @@ def descend(nodes: DataFrame, edges: DataFrame, k: int, grow: int, floor: float,
     return met.repartition("u").sortWithinPartitions("u", "v").mapInArrow(meet, _EDGE)
 
 
-def audit(nodes: DataFrame, part: DataFrame, threshold: float, sample: int) -> tuple[int, int]:
-    """``(found, true)`` links of a bounded sample of nodes, against brute force
-    over all nodes.  A link counts as found when ``part`` (u, c) puts its two
-    ends into one component, where every pair is measured afterwards."""
-    some = nodes.orderBy(F.xxhash64("nid"), "nid").limit(sample).select("key", "dim", "nid", "v").collect()
+def audit(nodes: DataFrame, threshold: float, sample: int, small: int = 8) -> list[tuple[int, int]]:
+    """``(complete, linked)`` nodes of two bounded samples, against brute force
+    over all nodes: of nodes whose component ``c`` has at most ``small`` nodes,
+    and of the others.  ``linked`` have a true link; ``complete`` ones have
+    every true link inside their component, where every pair is measured
+    afterwards.  A node counts once however many links it has, so a dense
+    group cannot outweigh isolated pairs."""
+    sizes = nodes.groupBy("c").agg((F.count(F.lit(1)) <= small).alias("few"))
+    of = nodes.select("nid", "c").join(sizes, "c").select("nid", "few")
+    order = [F.xxhash64("nid"), "nid"]
+    ids = of.filter("few").orderBy(*order).limit(sample).unionAll(of.filter(~F.col("few")).orderBy(*order).limit(sample))
+    few = {r["nid"]: r["few"] for r in ids.collect()}
+    some = nodes.join(F.broadcast(ids.select("nid")), "nid").select("key", "dim", "nid", "c", "v").collect()
     groups: dict[tuple, list] = {}
     for r in some:
-        groups.setdefault((r["key"], r["dim"]), []).append((r["nid"], bytes(r["v"])))
-    held = {g: (np.array([i for i, _ in x]), np.frombuffer(b"".join(v for _, v in x)).reshape(len(x), -1))
+        groups.setdefault((r["key"], r["dim"]), []).append((r["nid"], r["c"], bytes(r["v"])))
+    held = {g: (np.array([i for i, _, _ in x]), np.array([c for _, c, _ in x]),
+                np.frombuffer(b"".join(v for _, _, v in x)).reshape(len(x), -1))
             for g, x in groups.items() if g[1]}
 
     def measure(batches):
         for b in batches:
             keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-            ids = b.column(2).to_numpy()
+            ids, of = b.column(2).to_numpy(), b.column(3).to_numpy()
             for g in set(keys) & set(held):
                 mine = np.array([i for i, x in enumerate(keys) if x == g])
-                x = _matrix(b.column(3).take(pa.array(mine)))
-                r, c = np.nonzero(held[g][1] @ x.T >= threshold)
-                u, v = held[g][0][r], ids[mine][c]
-                yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
+                x = _matrix(b.column(4).take(pa.array(mine)))
+                u, c, v = held[g]
+                near = (v @ x.T >= threshold) & (u[:, None] != ids[mine][None, :])
+                lost = (near & (c[:, None] != of[mine][None, :])).any(axis=1)
+                hit = near.any(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(u[hit]), pa.array(lost[hit])], ["u", "lost"])
 
-    true = nodes.select("key", "dim", "nid", "v").mapInArrow(measure, "u long, v long")
-    got = true.join(part, "u", "left").join(part.toDF("v", "d"), "v", "left") \
-        .agg(F.count_if(F.col("c") == F.col("d")), F.count(F.lit(1))).first()
-    return got[0], got[1]
+    true = nodes.select("key", "dim", "nid", "c", "v").mapInArrow(measure, "u long, lost boolean") \
+        .groupBy("u").agg(F.max("lost").alias("lost")).collect()
+    return [(sum(few[r["u"]] == kind and not r["lost"] for r in true), sum(few[r["u"]] == kind for r in true))
+            for kind in (True, False)]
 
 
 def exact_links(nodes: DataFrame, threshold: float, tile: int = 1024) -> DataFrame:
@@ -325,8 +336,9 @@ def near_vectors(df: DataFrame, work: WorkFolder, id_col: str = "vec_id", vec_co
     never ``kept``.  Extra columns are ignored; an empty table gives no rows.
 
     The graph search is approximate: ``audit`` measures it on ``sample`` nodes
-    and up to ``attempts`` times more trees are grown until ``recall`` is met
-    and, with full lists, an attempt between components joins nothing.  If
+    of small components and as many others, and up to ``attempts`` times more trees are grown
+    until ``recall`` (the share of linked nodes with no link lost) is met in
+    both and, with full lists, an attempt between components joins nothing.  If
     ``attempts`` do not suffice, all pairs of different components are
     measured in tiles, so the result is then exact.
     """
@@ -340,7 +352,7 @@ def near_vectors(df: DataFrame, work: WorkFolder, id_col: str = "vec_id", vec_co
     nodes = work.save(vectors.groupBy("key", "dim", "nid").agg(
         F.first("v").alias("v"), F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("rep")), "nodes")
     n = nodes.count()
-    floor = max(-1.0, 2 * threshold * threshold - 1)  # two links away: the double angle
+    floor = -1.0  # lists hold the nearest whatever their cosine: isolated pairs are reached over them
     edges = part = None
 
     def join_up(links: DataFrame) -> DataFrame:
@@ -391,9 +403,7 @@ def near_vectors(df: DataFrame, work: WorkFolder, id_col: str = "vec_id", vec_co
         part = nxt
         if joined and attempt == 0:  # only full lists can hide links of other components
             joined = bool(edges.filter(F.col("sim") >= threshold).groupBy("u").count().filter(F.col("count") >= k).head(1))
-        of = part.select(F.col("node").alias("u"), F.col("component").alias("c"))
-        found, true = audit(nodes, of, threshold, sample)
-        if not joined and (true == 0 or found >= recall * true):
+        if not joined and all(found >= recall * true for found, true in audit(placed(), threshold, sample, k)):
             break
     else:
         at = work.save(placed(), "placed")

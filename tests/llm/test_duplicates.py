@@ -192,6 +192,17 @@ def test_a_search_that_misses_its_recall_ends_in_an_exact_pass(spark, work):
     assert near_by_search(spark, work, rows, trees=1, leaf=2, rounds=0, attempts=1) == links_by_hand(rows)
 
 
+def test_audit_sees_a_missed_pair_beside_a_dense_group(spark):
+    rng = np.random.default_rng(6)
+    units = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    dense = units(rng.standard_normal(16) + 0.01 * rng.standard_normal((300, 16)))
+    pairs = units(np.repeat(rng.standard_normal((10, 16)), 2, axis=0) + 0.01 * rng.standard_normal((20, 16)))
+    rows = [("1", 16, i, 0, x.tobytes()) for i, x in enumerate(dense)]
+    rows += [("1", 16, 1000 + i, 1000 + i - (i % 2 if i < 14 else 0), x.tobytes()) for i, x in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "key string, dim int, nid long, c long, v binary")
+    assert neardup.audit(df, 0.98, 400) == [(14, 20), (300, 300)]  # three of ten pairs are apart
+
+
 def test_links_of_a_large_component_are_counted_over_tiles(spark, work):
     rng = np.random.default_rng(0)
     v = rng.standard_normal((60, 8)) * 0.1 + 1
