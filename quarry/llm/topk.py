@@ -55,7 +55,8 @@ def _tiles(rows: DataFrame, tile_rows: int, n: int) -> DataFrame:
 
 def tile_best(q_ids, q, c_ids, c, k: int):
     """The ``k`` best candidates of every query of a tile, ties to the smaller
-    id, never the query's own id: (query ids, candidate ids, scores)."""
+    id, never the query's own id, an id with its best vector only: (query ids,
+    candidate ids, scores)."""
     if not len(q_ids) or not len(c_ids):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     by_id = np.argsort(c_ids, kind="stable")
@@ -67,6 +68,9 @@ def tile_best(q_ids, q, c_ids, c, k: int):
         to_int = np.vectorize(int, otypes=[object])
         whole = to_int(q).dot(to_int(c).T)
         score = np.clip(whole, -(1 << 63), (1 << 63) - 1).astype(object)
+    first = np.flatnonzero(np.r_[True, c_ids[1:] != c_ids[:-1]])
+    if len(first) < len(c_ids):  # one score an id, before any is left out
+        score, c_ids = np.maximum.reduceat(score, first, axis=1), c_ids[first]
     out = []
     for i in range(len(q_ids)):
         row = score[i]

@@ -43,6 +43,14 @@ def test_top_k_equals_brute_force_with_ties_nulls_and_ragged_rows(spark):
     assert topk.top_k(q, df.limit(0), 5, "vec_id", "embedding").count() == 0
 
 
+def test_an_id_with_many_top_vectors_takes_one_place(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [9.0, float(j)]) for j in range(10)] + [(i, [1.0 / i, 0.0]) for i in range(2, 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df.filter("vec_id = 0"), df, 5, "vec_id", "embedding")
+    assert sorted(map(tuple, got.collect())) == brute_top(rows[:1], rows, 5)
+    assert [r["vec_id"] for r in got.orderBy("rank").collect()] == [1, 2, 3, 4, 5]
+
+
 def test_tile_scores_beyond_a_double_are_exact():
     a, b = float(1 << 40), float((1 << 40) + 512)
     q, c = np.array([[a, b]]), np.array([[a, -b], [b, -a], [1.0, 1.0]])
