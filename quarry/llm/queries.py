@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, jaccard, lines, neardup, packing, pii, shards, tokenfiles, topk, toxicity
+from quarry.llm import (bpe, jaccard, lines, neardup, packing, pii, resample, shards, tokenfiles, topk,
+                        toxicity)
 from quarry.llm.common import WorkFolder
 
 
@@ -86,9 +87,17 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents drawn towards the benchmark's distribution of words and pairs."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    target = _read(spark, sf_dir, "benchmark").select("text")
+    return resample.importance_resample(docs, target, WorkFolder(spark), percent=25, min_words=20, buckets=10_000,
+                                        seed="7")
+
+
 QUERIES = {f.__name__: f for f in (op1_topk, op2_toxicity, op3_packing, op4_near_vectors, op5_jaccard_join,
                                   op6_line_dedup, op7_ring_shards, op8_token_files, op9_pii,
-                                  op10_byte_bpe)}
+                                  op10_byte_bpe, op11_importance_resample)}
 
 ORACLE = {
     "op1_topk": """
@@ -127,4 +136,41 @@ ORACLE = {
           FROM m GROUP BY doc_id)
         SELECT documents.doc_id, documents.source, d.text, coalesce(d.lines_dropped, 0) AS lines_dropped
         FROM documents LEFT JOIN d USING (doc_id)""",
+    "op11_importance_resample": r"""
+        WITH tab AS (
+          SELECT list(v ORDER BY i) AS t FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+                     CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+            FROM range(256) r(i))),
+        texts AS (SELECT TRUE AS doc, doc_id AS id, text FROM documents
+                  UNION ALL SELECT FALSE, item_id, text FROM benchmark),
+        words AS (
+          SELECT doc, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+        feats AS (
+          SELECT doc, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+          FROM words WHERE len(w) > 0),
+        counted AS (SELECT doc, id, f, count(*) AS n FROM feats GROUP BY ALL),
+        sums AS (
+          SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(f))),
+                                      lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+                                    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+          FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM counted)), tab),
+        placed AS (SELECT counted.*, bucket FROM counted JOIN sums USING (f)),
+        totals AS (SELECT bucket, sum(n) FILTER (WHERE doc) AS s, sum(n) FILTER (WHERE NOT doc) AS t FROM placed GROUP BY bucket),
+        whole AS (SELECT coalesce(sum(s), 0) + 10000.0::DOUBLE AS s, coalesce(sum(t), 0) + 10000.0::DOUBLE AS t FROM totals),
+        gain AS (
+          SELECT bucket, floor(1000 * ln((coalesce(totals.t, 0) + 1.0::DOUBLE) * whole.s
+                                         / ((coalesce(totals.s, 0) + 1.0::DOUBLE) * whole.t))) AS g FROM totals, whole),
+        weights AS (SELECT id, sum(n) AS n, floor(sum(n * g) / sum(n)) AS weight
+                    FROM placed JOIN gain USING (bucket) WHERE doc GROUP BY id),
+        scored AS (
+          SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                 CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln(
+                   (CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+          FROM documents LEFT JOIN weights ON weights.id = doc_id),
+        placing AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n
+                    FROM scored WHERE n_features >= 39)
+        SELECT scored.*, CAST(CASE WHEN r <= (25 * n) // 100 THEN r END AS BIGINT) AS rank
+        FROM scored LEFT JOIN placing USING (doc_id)""",
 }
