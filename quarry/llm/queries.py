@@ -169,8 +169,8 @@ ORACLE = {
                  CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln(
                    (CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
           FROM documents LEFT JOIN weights ON weights.id = doc_id),
-        placing AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n
+        ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n
                     FROM scored WHERE n_features >= 39)
         SELECT scored.*, CAST(CASE WHEN r <= (25 * n) // 100 THEN r END AS BIGINT) AS rank
-        FROM scored LEFT JOIN placing USING (doc_id)""",
+        FROM scored LEFT JOIN ranks USING (doc_id)""",
 }
