@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (bpe, jaccard, lines, neardup, packing, pii, resample, shards, tokenfiles, topk,
-                        toxicity)
+from quarry.llm import (bestfit, bpe, jaccard, lines, neardup, packing, pii, resample, search,
+                        shards, tokenfiles, topk, toxicity)
 from quarry.llm.common import WorkFolder
 
 
@@ -95,9 +95,22 @@ def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         seed="7")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    items = _read(spark, sf_dir, "benchmark").select("item_id", "text")
+    return search.ranked_search(docs, items, WorkFolder(spark), k=20)
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed whole into sequences of 4096 token ids, best fit in rounds."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bestfit.best_fit(docs, WorkFolder(spark), capacity=4096, end_id=1)
+
+
 QUERIES = {f.__name__: f for f in (op1_topk, op2_toxicity, op3_packing, op4_near_vectors, op5_jaccard_join,
                                   op6_line_dedup, op7_ring_shards, op8_token_files, op9_pii,
-                                  op10_byte_bpe, op11_importance_resample)}
+                                  op10_byte_bpe, op11_importance_resample, op12_ranked_search, op13_best_fit)}
 
 ORACLE = {
     "op1_topk": """
@@ -173,4 +186,27 @@ ORACLE = {
                     FROM scored WHERE n_features >= 39)
         SELECT scored.*, CAST(CASE WHEN r <= (25 * n) // 100 THEN r END AS BIGINT) AS rank
         FROM scored LEFT JOIN ranks USING (doc_id)""",
+    "op12_ranked_search": r"""
+        WITH d AS (
+          SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM documents WHERE text IS NOT NULL),
+        q AS (
+          SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM benchmark WHERE text IS NOT NULL),
+        n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+        t AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM n),
+        m AS (SELECT doc_id, 100 - 25 + ((25 * n * docs) // words) AS m FROM n, t),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+              FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), t),
+        s AS (
+          SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+          FROM (SELECT item_id, term, count(*) AS times FROM q GROUP BY ALL) JOIN tf USING (term) JOIN w USING (term)
+               JOIN m USING (doc_id)
+          GROUP BY ALL),
+        r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                     doc_id, score FROM s WHERE score > 0)
+        SELECT * FROM r WHERE rank <= 20""",
 }
