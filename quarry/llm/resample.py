@@ -215,14 +215,14 @@ def _frequent(per_slice: int):
     return scan
 
 
-def frequent_head(texts: DataFrame, buckets: int, words: int = 16_384, pairs: int = 32_768,
+def frequent_head(texts: DataFrame, work: WorkFolder, buckets: int, words: int = 16_384, pairs: int = 32_768,
                   per_slice: int = 2_048) -> Head:
     """The head for :func:`features`, from all of ``texts`` (one column): every
     slice names its most frequent words and pairs, and those with the largest
     sums are taken.  At most ``words`` and ``pairs`` of 16 and 32 bytes reach
     the driver; the choice moves work between the tiers and no result."""
-    counts = texts.mapInArrow(_frequent(per_slice), "a long, b long, c long, d long, n long") \
-        .groupBy("a", "b", "c", "d").agg(F.sum("n").alias("n"))
+    counts = work.save(texts.mapInArrow(_frequent(per_slice), "a long, b long, c long, d long, n long")
+                       .groupBy("a", "b", "c", "d").agg(F.sum("n").alias("n")), "frequent")
     order = [F.col("n").desc(), "a", "b", "c", "d"]
 
     def word(lo: int, hi: int) -> bytes:
@@ -299,7 +299,7 @@ def importance_resample(docs: DataFrame, target: DataFrame, work: WorkFolder, id
     spark, work = docs.sparkSession, work.scope()
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     texts, wanted = rows.select("text"), target.select(F.col(f"`{target_col}`").alias("text"))
-    held = spark.sparkContext.broadcast(head or frequent_head(texts, buckets))
+    held = spark.sparkContext.broadcast(head or frequent_head(texts, work, buckets))
     gain = spark.sparkContext.broadcast(
         gains(bucket_totals(texts, held, buckets), bucket_totals(wanted, held, buckets)))
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)

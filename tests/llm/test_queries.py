@@ -16,6 +16,6 @@ def test_query_matches_its_sql(spark, name):
 
 def test_entry_has_one_query_of_each_operator_and_the_pipeline():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(ORACLE) <= set(entry.oracle_sql())
