@@ -115,8 +115,8 @@ def _postings(vocabulary, block_docs: int):
     return scan
 
 
-def _dealt(stage_of):
-    """Every block's postings, one row an owner."""
+def _dealt(stage_of, owners: int):
+    """Every block's postings, one row an owner (also if it has none)."""
     def scan(batches):
         stages = stage_of.value
         for batch in batches:
@@ -124,7 +124,7 @@ def _dealt(stage_of):
                 one = batch.slice(i, 1)
                 pos, term, tf = (one.column(c)[0].values for c in (3, 4, 5))
                 owner = stages[term.to_numpy()]
-                for s in range(int(stages.max(initial=0)) + 1):
+                for s in range(owners):
                     at = pa.array(np.flatnonzero(owner == s))
                     yield pa.RecordBatch.from_arrays(
                         [one.column(0), one.column(1), one.column(2),
@@ -253,7 +253,7 @@ def _search(docs: DataFrame, batch: Batch, work: WorkFolder, k: int, bundle_item
     owner = np.searchsorted(np.array(shares) * max(n_docs, 1), df, side="left").astype(np.int8)
     stages = len(shares) + 1
     path = work.child("owned")
-    blocks.mapInArrow(_dealt(spark.sparkContext.broadcast(owner)), "block long, ids array<long>, n array<int>, "
+    blocks.mapInArrow(_dealt(spark.sparkContext.broadcast(owner), stages), "block long, ids array<long>, n array<int>, "
                       "pos array<int>, term array<int>, tf array<int>, stage int") \
         .write.partitionBy("stage").parquet(path)
     owned = spark.read.schema("block long, ids array<long>, n array<int>, pos array<int>, term array<int>, "
