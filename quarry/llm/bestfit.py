@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import WorkFolder
@@ -32,8 +32,10 @@ _SWEPT = f"kind int, size int, sequence_id long, {_DOC}, part int, docs long, sl
 def _sweep(batches):
     """A partition of documents (kind 0) and slots (kind 1) in ascending order:
     how many of each stand before a row, and the largest ``successor - rank``
-    of the documents up to it, all within the partition."""
+    of the documents up to it, all within the partition; a last row (kind 2)
+    has the partition's totals."""
     part, docs, slots, lead = TaskContext.get().partitionId(), 0, 0, _LOWEST
+    names = [f.split()[0] for f in _SWEPT.split(", ")]
     for b in batches:
         if not b.num_rows:
             continue
@@ -43,8 +45,12 @@ def _sweep(batches):
         run = np.maximum.accumulate(np.append(lead, np.where(doc, free - before, _LOWEST)))[1:]
         docs, slots, lead = docs + int(seen[-1]), slots + int(open_[-1]), int(run[-1])
         yield pa.RecordBatch.from_arrays(
-            [*b.columns, pa.array(np.full(b.num_rows, part, np.int32)), pa.array(before), pa.array(free), pa.array(run)],
-            [*b.schema.names, "part", "docs", "slots", "lead"])
+            [*b.columns, pa.array(np.full(b.num_rows, part, np.int32)), pa.array(before), pa.array(free), pa.array(run)], names)
+    if docs or slots:
+        none = [pa.nulls(1, pa.int64())] * 4
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([2], pa.int32()), pa.nulls(1, pa.int32()), *none[:3], pa.nulls(1, pa.int32()), *none[:2],
+             pa.array([part], pa.int32()), pa.array([docs]), pa.array([slots]), pa.array([lead])], names)
 
 
 def bounds(capacity: int, ratio: float) -> list[tuple[int, int]]:
@@ -70,13 +76,12 @@ def swept(docs: DataFrame, slots: DataFrame | None, work: WorkFolder) -> tuple[D
     # documents before slots of their size; the hash only deals out equal sizes
     order = ["size", "kind", F.xxhash64("pid", "sequence_id")]
     table = work.save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_sweep, _SWEPT), "swept")
-    totals = table.groupBy("part").agg(F.count_if(F.col("kind") == 0).alias("docs"), F.count_if(F.col("kind") == 1).alias("slots"),
-                                       F.max("lead").alias("lead")).orderBy("part").collect()  # one row a partition
+    totals = sorted(table.filter("kind = 2").select("part", "docs", "slots", "lead").collect())  # one row a partition
     carried, n_docs, n_slots, lead = [], 0, 0, _LOWEST
-    for r in totals:
-        carried.append((r["part"], n_docs, n_slots, lead))
-        lead = max(lead, r["lead"] + n_slots - n_docs)
-        n_docs, n_slots = n_docs + r["docs"], n_slots + r["slots"]
+    for part, docs_here, slots_here, lead_here in totals:
+        carried.append((part, n_docs, n_slots, lead))
+        lead = max(lead, lead_here + n_slots - n_docs)
+        n_docs, n_slots = n_docs + docs_here, n_slots + slots_here
     carry = F.broadcast(spark.createDataFrame(carried, "part int, _docs long, _slots long, _lead long"))
     joined = table.join(carry, "part")
     rank = F.col("_docs") + F.col("docs")
@@ -84,12 +89,12 @@ def swept(docs: DataFrame, slots: DataFrame | None, work: WorkFolder) -> tuple[D
         "doc_id", "start", "length", "ids_crc32", "pid", rank.alias("rank"),
         (rank + F.greatest("_lead", F.col("lead") + F.col("_slots") - F.col("_docs"))).alias("slot"))
     free = joined.filter("kind = 1").select("sequence_id", (F.col("_slots") + F.col("slots")).alias("slot"))
-    fits = placed.filter(F.col("slot") < n_slots).count() if n_slots else 0
-    return placed, free, n_slots, fits
+    # places rise by one at least, and none before the largest lead is beyond the slots
+    return placed, free, n_slots, max(0, min(n_docs, n_slots - lead)) if n_slots else 0
 
 
 def best_fit(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096,
-             end_id: int | None = 1, ratio: float = 1.5, spare: int = 4, vocabulary: str | None = None) -> DataFrame:
+             end_id: int | None = 1, ratio: float = 1.6, spare: int = 4, vocabulary: str | None = None) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` of all
     documents in sequences of at most ``capacity`` ids.
 
@@ -106,20 +111,22 @@ def best_fit(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col
     work = work.scope()
     cut = work.save(pieces(docs, id_col, text_col, capacity, end_id, vocabulary).select(
         "doc_id", "start", F.col("length").cast("int").alias("length"), "ids_crc32",
-        F.monotonically_increasing_id().alias("pid")), "pieces")
+        F.monotonically_increasing_id().alias("pid")).sortWithinPartitions("length"), "pieces")  # a round reads its lengths
     count = np.zeros(capacity + 1, np.int64)
     for r in cut.groupBy("length").count().collect():  # at most ``capacity`` rows
         count[r["length"]] = r["count"]
     done: list[DataFrame] = []
     bins: DataFrame | None = None  # (sequence_id, gap) with room for some document
+    room = (0, 0)  # open gaps, and slots in them, for the next round
     opened = 0
-    for lo, hi in bounds(capacity, ratio):
+    ranges = [(lo, hi) for lo, hi in bounds(capacity, ratio) if count[lo + 1:hi + 1].any()]
+    for turn, (lo, hi) in enumerate(ranges):
         left = count.copy()  # lengths of this round's documents that have no place yet
         left[:lo + 1] = left[hi + 1:] = 0
         band = cut.filter((F.col("length") > lo) & (F.col("length") <= hi))
         while left.any():
-            n, top = int(left.sum()), int(np.flatnonzero(left)[-1])
-            slots, limited = (None, False) if bins is None else _slots(bins, int(np.flatnonzero(left)[0]), top, spare * n)
+            n = int(left.sum())
+            slots, limited = _slots(bins, left, room, spare * n) if room[0] else (None, False)
             placed, free, n_slots, fits = swept(band, slots, work)
             found = [placed.join(free, "slot").select("doc_id", "start", "length", "ids_crc32", "pid", "sequence_id",
                                                       F.lit(0).alias("room"))] if n_slots else []
@@ -134,12 +141,22 @@ def best_fit(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col
             part = found[0] if len(found) == 1 else found[0].unionAll(found[1])
             done.append(work.save(part, "placed"))
             change = done[-1].select("sequence_id", (F.col("room") - F.col("length")).alias("gap"))
-            held, smallest = bins, np.flatnonzero(count[:lo + 1])
-            need = int(smallest[0]) if len(smallest) else (lo + 1 if rest.any() else capacity + 1)
-            bins = work.save((change if bins is None else bins.unionAll(change)).groupBy("sequence_id")
-                             .agg(F.sum("gap").cast("int").alias("gap")).filter(F.col("gap") >= need), "bins")
-            if held is not None:
-                work.drop(held)
+            held, after = bins, rest
+            if not rest.any() and turn + 1 < len(ranges):
+                after = count.copy()
+                after[:ranges[turn + 1][0] + 1] = after[ranges[turn + 1][1] + 1:] = 0
+            if after.any():
+                need = int(np.flatnonzero(count[:hi + 1])[0])  # a gap of less takes no document any more
+                seen = Observation()
+                least, each = _per_gap(after)
+                bins = work.save(
+                    (change if bins is None else bins.unionAll(change)).groupBy("sequence_id")
+                    .agg(F.sum("gap").cast("int").alias("gap")).filter(F.col("gap") >= need)
+                    .observe(seen, F.count_if(F.col("gap") >= least).alias("gaps"),
+                             F.sum(F.when(F.col("gap") >= least, each)).alias("slots")), "bins")
+                room = seen.get["gaps"] or 0, seen.get["slots"] or 0
+                if held is not None:
+                    work.drop(held)
             left = rest
     if not done:
         return docs.sparkSession.createDataFrame([], "doc_id long, piece int, start long, length long, ids_crc32 long, "
@@ -155,19 +172,24 @@ def best_fit(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col
                         F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
 
 
-def _slots(bins: DataFrame, least: int, top: int, most: int) -> tuple[DataFrame | None, bool]:
-    """Slots ``(sequence_id, size)`` of gaps for documents of ``least`` to
-    ``top`` ids: one of the gap's size, or several that hold any of them.  If
-    that made over ``most`` slots, long gaps offer fewer (and the second value is True)."""
+def _per_gap(left: np.ndarray):
+    """The shortest of the documents that are left, and how many slots for any
+    of them a gap has."""
+    lengths = np.flatnonzero(left)
+    return int(lengths[0]), F.greatest(F.lit(1), F.floor(F.col("gap") / F.lit(int(lengths[-1])))).cast("int")
+
+
+def _slots(bins: DataFrame, left: np.ndarray, room: tuple[int, int], most: int) -> tuple[DataFrame, bool]:
+    """Slots ``(sequence_id, size)`` of gaps for the documents that are left:
+    one of the gap's size, or several that hold any of them.  ``room``: the
+    number of such gaps and of slots in them; if that is far over ``most``,
+    long gaps offer fewer (and the second value is True)."""
+    least, each = _per_gap(left)
+    top = int(np.flatnonzero(left)[-1])
     live = bins.filter(F.col("gap") >= least)
-    each = F.greatest(F.lit(1), F.floor(F.col("gap") / F.lit(top))).cast("int")
-    r = live.agg(F.count(F.lit(1)).alias("n"), F.sum(each).alias("slots")).first()
-    if not r["n"]:
-        return None, False
-    limit = max(1, -(-most // r["n"]))
-    limited = r["slots"] > max(most, r["n"]) + r["n"]
+    limited = room[1] > max(most, room[0]) + room[0]
     if limited:
-        each = F.least(each, F.lit(limit))
+        each = F.least(each, F.lit(max(1, -(-most // room[0]))))
     # the last of several slots has what is left of the gap
     slot = live.select("sequence_id", "gap", each.alias("_n")) \
         .select("sequence_id", "gap", "_n", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
