@@ -16,29 +16,37 @@ no ``collect``, no driver loop.
 
 Exact neighbours without the cross product
 ------------------------------------------
-``nearest_vectors`` partitions the vectors around ``P`` pivots (each vector
-goes to the cell of its closest pivot; Lu, Shen, Chen, Ooi, "Efficient
-processing of k nearest neighbor joins using MapReduce", VLDB 2012):
-
-1. one pass assigns cells and records each vector's distance to its pivot;
-   a cell is cut into blocks of about ``block_rows`` vectors by a hash of
-   the id, so a cell holding a large share of the data is many tasks;
-2. every vector looks among the vectors of its own block first: the k-th
-   distance found there is *its* bound;
-3. no vector of cell j is closer than ``|q - p_j| - R_j`` (``R_j`` = the
-   cell's radius), so q is sent to the other blocks of cell j only if that
-   is within its bound; a numpy kernel keeps the k best of each (query
-   block, reference block) unit;
-4. a final window top-k merges the candidates of each vector.
-
-Only the pivots, one radius and two counts per cell (``P`` rows, about the
-square root of the number of vectors) reach the driver.
+``nearest_vectors`` (one table) and ``nearest_between`` (queries against
+another table) partition the references around ``P`` pivots (each goes to the
+cell of its closest pivot; Lu, Shen, Chen, Ooi, "Efficient processing of k
+nearest neighbor joins using MapReduce", VLDB 2012):
+
+1. one pass assigns cells and records each vector's distance to its pivot.
+   Equal references are one node: the k smallest ids stand for all of them,
+   because no list can hold more.  Equal queries are one node, too, searched
+   once;
+2. a cell's references are sorted by their distance to the pivot (a ranged
+   sort over the cluster) and cut into blocks of ``block_rows``: rings, each
+   with its smallest and largest distance;
+3. every query looks among the references of the ring it falls into first: the
+   k-th distance found there is *its* bound;
+4. no reference of a ring ``[lo, hi]`` is closer than ``lo - d`` or ``d - hi``
+   for a query at distance ``d`` from the pivot, so a query is sent to another
+   ring, of its own cell or another one, only if that is within its bound; a
+   numpy kernel keeps the k best of each (queries, ring) unit;
+5. a final window top-k merges the candidates of each node, and its rows
+   share the list.
+
+Only the pivots (about the square root of the number of vectors) and two
+numbers per ring (``max_blocks`` at most: beyond that rings grow) reach the driver.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -47,7 +55,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.common import Scratch
+from quarry.operators.common import Scratch, ranked
 
 DISTANCE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
@@ -97,6 +105,20 @@ def k_nearest(distances: DataFrame, k: int, id_col: str = "id", paired_col: str
         .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
 
 
+def knn_vote(neighbors: DataFrame, labels: DataFrame, id_col: str = "id", paired_col: str = "paired",
+             label_col: str = "label") -> DataFrame:
+    """Predicted label of every id = the most frequent label among its
+    neighbours (smallest label on a tie): ``id, predicted``.  The ids need no
+    label of their own; ``labels`` is looked up by the neighbour's id."""
+    lab = labels.select(F.col(id_col).alias("_pid"), F.col(label_col).alias("_plabel"))
+    votes = neighbors.select(id_col, paired_col) \
+        .join(lab, F.col(paired_col) == F.col("_pid")) \
+        .groupBy(id_col, "_plabel").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(id_col).orderBy(F.col("_n").desc(), F.col("_plabel").asc_nulls_last())
+    return votes.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1) \
+        .select(id_col, F.col("_plabel").alias("predicted"))
+
+
 def knn_classify(neighbors: DataFrame, labels: DataFrame, id_col: str = "id", paired_col: str = "paired",
                  label_col: str = "label") -> DataFrame:
     """Predicted label of every id = the most frequent label
@@ -105,13 +127,7 @@ def knn_classify(neighbors: DataFrame, labels: DataFrame, id_col: str = "id", pa
     ``neighbors``: ``(id, paired)`` rows (already the k nearest);
     ``labels``: ``(id, label)``.  Labels are looked up by id with joins,
     not by position.  Output: ``id, predicted, actual``."""
-    lab = labels.select(F.col(id_col).alias("_pid"), F.col(label_col).alias("_plabel"))
-    votes = neighbors.select(id_col, paired_col) \
-        .join(lab, F.col(paired_col) == F.col("_pid")) \
-        .groupBy(id_col, "_plabel").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(id_col).orderBy(F.col("_n").desc(), F.col("_plabel").asc_nulls_last())
-    pred = votes.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1) \
-        .select(id_col, F.col("_plabel").alias("predicted"))
+    pred = knn_vote(neighbors, labels, id_col, paired_col, label_col)
     actual = labels.select(id_col, F.col(label_col).alias("actual"))
     return pred.join(actual, on=id_col)
 
@@ -147,9 +163,10 @@ def _pairwise(q: np.ndarray, x: np.ndarray, chunk_bytes: int = 1 << 25) -> np.nd
     return out
 
 
-def _block_k_best(qv: np.ndarray, rv: np.ndarray, qid: np.ndarray, rid: np.ndarray, k: int):
-    """The k nearest reference rows of every query row (no self pairs),
-    ties to the smaller reference id: (query ids, partner ids, distances).
+def _block_k_best(qv: np.ndarray, rv: np.ndarray, qid: np.ndarray, rid: np.ndarray, k: int, own: bool = False):
+    """The k nearest reference rows of every query row (no self pairs, unless
+    ``own``: the two ids are then unrelated), ties to the smaller reference id:
+    (query ids, partner ids, distances).
 
     Squared distances come from one matrix product (BLAS).  Each row keeps
     its ``k + 8`` smallest, whose exact distances are computed from the
@@ -163,7 +180,8 @@ def _block_k_best(qv: np.ndarray, rv: np.ndarray, qid: np.ndarray, rid: np.ndarr
     qn = np.einsum("ij,ij->i", qv, qv)
     rn = np.einsum("ij,ij->i", rv, rv)
     d2 = qn[:, None] + rn[None, :] - 2.0 * (qv @ rv.T)
-    d2[qid[:, None] == rid[None, :]] = np.inf
+    if not own:
+        d2[qid[:, None] == rid[None, :]] = np.inf
     n, m = d2.shape
     kk, wide = min(k, m), min(k + 8, m)
     cand = np.argpartition(d2, wide - 1, axis=1)[:, :wide] if wide < m else np.broadcast_to(np.arange(m), (n, m))
@@ -182,7 +200,8 @@ def _block_k_best(qv: np.ndarray, rv: np.ndarray, qid: np.ndarray, rid: np.ndarr
         for s in range(0, len(rows), step):
             diff = rv[cols[s:s + step]] - qv[rows[s:s + step], None, :]
             out[s:s + step] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-        out[rid[cols] == qid[rows][:, None]] = np.inf
+        if not own:
+            out[rid[cols] == qid[rows][:, None]] = np.inf
         best = np.argsort(out, axis=1, kind="stable")[:, :kk]
         return np.take_along_axis(cols, best, axis=1), np.take_along_axis(out, best, axis=1)
 
@@ -195,116 +214,247 @@ def _block_k_best(qv: np.ndarray, rv: np.ndarray, qid: np.ndarray, rid: np.ndarr
     return np.repeat(qid, kk).reshape(n, kk)[real], rid[cols][real], dist[real]
 
 
-def _far_bound(dp: np.ndarray, radius: np.ndarray) -> np.ndarray:
-    """Smallest possible distance of a query to any vector of a cell, from its
-    distance to the pivot and the cell's radius, with a slack for rounding."""
-    return (dp - radius) * (1 - 1e-9) - 1e-12
-
+def _ring_gap(d: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Smallest possible distance of a query to any vector whose distance to a
+    pivot lies in ``[lo, hi]``, from the query's distance ``d`` to that pivot
+    (triangle inequality), with a slack for rounding."""
+    return np.maximum(np.maximum(lo - d, d - hi), 0.0) - 1e-9 * (d + hi) - 1e-12
 
-def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vector",
-                    n_pivots: int | None = None, block_rows: int = 2048, invalid: str = "raise",
-                    scratch: Scratch | None = None) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean) of every vector among all
-    other vectors: ``(id, paired, distance)``, ``k`` rows per id (fewer
-    when there are fewer other vectors), ties to the smaller id.
 
-    See the module notes for the pivot-cell plan.  ``n_pivots`` defaults to
-    the square root of the number of vectors.  Rows without an id or a vector
-    take no part.  A vector with a NULL or non-finite element, or of another
-    length than the rest, fails the job; ``invalid='drop'`` leaves vectors
-    with such elements out instead.  Runs its own jobs while the plan is built
-    (count, pivots, cells, radii); their tables go with ``scratch.release()``,
-    or when the driver exits.
-    """
-    if invalid not in ("raise", "drop"):
-        raise ValueError("invalid must be 'raise' or 'drop'")
-    spark = df.sparkSession
-    scratch = scratch or Scratch(spark)
-    pts = df.select(F.col(id_col).cast("long").alias("id"),
-                    F.col(vec_col).cast("array<double>").alias("v"))
+def _points(df: DataFrame, id_col: str, vec_col: str, invalid: str) -> tuple[DataFrame, int, int | None]:
+    """``(id, v)`` rows that take part, their number and the vectors' length."""
+    pts = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     pts = pts.filter(F.col("id").isNotNull() & F.col("v").isNotNull())
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-
-    # -- 1. pivots: the vectors with the smallest id hash (deterministic)
     size = pts.agg(F.count_if(~bad).alias("n"), F.count_if(bad).alias("bad"), F.min(F.when(~bad, F.size("v"))).alias("lo"),
                    F.max(F.when(~bad, F.size("v"))).alias("hi")).first()
     if size["bad"] and invalid == "raise":
         raise ValueError(f"{size['bad']} vectors hold NULL or non-finite elements")
-    if not size["n"]:
-        return spark.createDataFrame([], DISTANCE_SCHEMA)
-    if size["lo"] != size["hi"]:
+    if size["n"] and size["lo"] != size["hi"]:
         raise ValueError(f"vectors of different lengths: {size['lo']} to {size['hi']}")
-    pts = pts.filter(~bad)
-    n_pivots = max(1, min(size["n"], n_pivots or math.ceil(math.sqrt(size["n"]))))
-    pivots = np.array([r["v"] for r in pts.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("v").collect()])
-    piv_b = spark.sparkContext.broadcast(pivots)
+    return pts.filter(~bad), size["n"], size["lo"]
 
+
+def _celled(pts: DataFrame, pivots, tasks: int) -> DataFrame:
+    """``(id, v, key, cell, dp)``: a digest of the vector, its closest pivot and
+    the distance to it."""
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = piv_b.value
+        p = pivots.value
         for b in batches:
             if len(b):
-                d = _pairwise(_as_matrix(b["v"]), p)
+                x = _as_matrix(b["v"]) + 0.0  # no negative zeros: equal vectors have equal bytes
+                d = _pairwise(x, p)
                 cell = d.argmin(axis=1)
-                yield b.assign(cell=cell.astype("int32"), dp=d[np.arange(len(b)), cell])
+                yield b.assign(key=[hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in x],
+                               cell=cell.astype("int32"), dp=d[np.arange(len(b)), cell])
 
     # vector kernels are CPU-bound: an even deal over all tasks, whatever the input's files
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = scratch.save(pts.repartition(tasks, "id").mapInPandas(assign, "id long, v array<double>, cell int, dp double"))
-    stats = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.max("dp").alias("radius")).collect()
-    P = len(pivots)
-    radius, subs = np.full(P, -np.inf), np.zeros(P, np.int64)
-    for r in stats:
-        radius[r["cell"]] = r["radius"]
-        subs[r["cell"]] = max(1, math.ceil(r["size"] / block_rows))
-    live = np.flatnonzero(subs)
-    blocks = spark.createDataFrame([(int(c), int(subs[c])) for c in live], "cell int, subs int")
-    placed = cells.select("id", "v", "cell").join(blocks, "cell") \
-        .withColumn("sub", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int"))
-
-    # -- 2. own block first: candidates, and a bound for every vector
-    def own(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, v = pdf["id"].to_numpy(np.int64), _as_matrix(pdf["v"])
-        q, r, d = _block_k_best(v, v, ids, ids, k)
-        return pd.DataFrame({"id": q, "paired": r, "distance": d})
-
-    first = scratch.save(placed.groupBy("cell", "sub").applyInPandas(own, DISTANCE_SCHEMA))
-    bound = first.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("bound"))
+    return pts.repartition(tasks, "id").mapInPandas(assign, "id long, v array<double>, key binary, cell int, dp double")
+
+
+@dataclass
+class Rings:
+    """The reference vectors of every cell, in blocks by their distance to the
+    pivot: blocks ``start[c]`` to ``start[c + 1]`` are cell ``c``'s, with the
+    smallest and largest distance of each."""
+
+    start: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+
+    def home(self, cell: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """The block of its cell that a vector at distance ``d`` falls into."""
+        out = np.zeros(len(cell), np.int64)
+        for c in np.unique(cell):
+            at = np.flatnonzero(cell == c)
+            lo = self.lo[self.start[c]:self.start[c + 1]]
+            out[at] = self.start[c] + np.maximum(np.searchsorted(lo, d[at], side="right") - 1, 0)
+        return out
+
+    def within(self, d: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(row, block)`` of all blocks that may hold something within ``bound``
+        of a row, given its distances to all pivots."""
+        rows, blocks = [], []
+        last = self.start[1:] - 1
+        live = np.flatnonzero(last >= self.start[:-1])
+        reach = _ring_gap(d[:, live], self.lo[self.start[live]], self.hi[last[live]]) <= bound[:, None]
+        for i in np.flatnonzero(reach.any(axis=0)):
+            at = np.flatnonzero(reach[:, i])
+            span = np.arange(self.start[live[i]], last[live[i]] + 1)
+            if len(span) > 1:
+                r, b = np.nonzero(_ring_gap(d[at, live[i]][:, None], self.lo[span], self.hi[span]) <= bound[at][:, None])
+                at, span = at[r], span[b]
+            else:
+                span = np.repeat(span, len(at))
+            rows.append(at), blocks.append(span)
+        none = np.zeros(0, np.int64)
+        return (np.concatenate(rows), np.concatenate(blocks)) if rows else (none, none)
+
+
+def _rings(refs: DataFrame, n_cells: int, rows: int, scratch: Scratch) -> tuple[DataFrame, Rings]:
+    """``refs`` (id, v, cell, dp) with their ``block``, and the blocks."""
+    order = ranked(refs.select("id", "v", "cell", "dp"), ["cell", "dp", "id"], scratch, "_rank")
+    # one row a cell: where its ranks begin; a row's block follows from its rank inside the cell
+    cells = order.groupBy("cell").agg(F.min("_rank").alias("_begin"), F.count(F.lit(1)).alias("_n")).orderBy("cell").collect()
+    start, at = np.zeros(n_cells + 1, np.int64), 0
+    table = []
+    for r in cells:
+        table.append((r["cell"], r["_begin"], at))
+        start[r["cell"] + 1] = blocks = -(-r["_n"] // rows)
+        at += blocks
+    start = np.cumsum(start)
+    begins = order.sparkSession.createDataFrame(table, "cell int, _begin long, _first long")
+    placed = scratch.save(order.join(F.broadcast(begins), "cell").select(
+        "id", "v", "dp", (F.col("_first") + F.floor((F.col("_rank") - F.col("_begin")) / F.lit(rows))).cast("int").alias("block")))
+    lo, hi = np.zeros(at), np.zeros(at)
+    for r in placed.groupBy("block").agg(F.min("dp").alias("lo"), F.max("dp").alias("hi")).collect():
+        lo[r["block"]], hi[r["block"]] = r["lo"], r["hi"]
+    return placed, Rings(start, lo, hi)
+
+
+def _met(queries: DataFrame, refs: DataFrame, k: int, rows: int) -> DataFrame:
+    """The ``k`` nearest of the references of its block for every query (``id``,
+    ``v``, ``block``), in units of at most about ``rows`` queries."""
+    sent = queries.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias("parts"))
+    asked = queries.join(sent, "block").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
+    held = refs.select("id", "v", "block").join(sent, "block") \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
-    # -- 3. every vector to the other blocks that may hold something closer
-    state = spark.sparkContext.broadcast((pivots[live], radius[live], live, subs[live]))
+    def block_knn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        qv, qid = _as_matrix(q["v"]), q["id"].to_numpy(np.int64)
+        out = []
+        for s in range(0, len(r), 4096):
+            part = r.iloc[s:s + 4096]
+            ids, partners, dists = _block_k_best(qv, _as_matrix(part["v"]), qid, part["id"].to_numpy(np.int64), k, own=True)
+            out.append(pd.DataFrame({"id": ids, "paired": partners, "distance": dists}))
+        return pd.concat(out) if out else pd.DataFrame({"id": [], "paired": [], "distance": []})
+
+    unit = ["block", "part"]
+    return asked.select("id", "v", *unit).groupBy(*unit).cogroup(held.select("id", "v", *unit).groupBy(*unit)) \
+        .applyInPandas(block_knn, DISTANCE_SCHEMA)
+
+
+def _lists(cells: DataFrame, queries: DataFrame, pivots, k: int, block_rows: int, max_blocks: int, n_refs: int,
+           scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(lists, nodes, routed)``: the ``k`` nearest references (of ``cells``) of
+    every different vector of ``queries`` (both from :func:`_celled`), as
+    ``(id, paired, distance)`` by the node's number; ``nodes`` (id, key); and
+    the rows that were sent to further blocks."""
+    spark = cells.sparkSession
+    # of equal references only the k smallest ids can be among anyone's k nearest
+    same = Window.partitionBy("key").orderBy("id")
+    refs = cells.withColumn("_r", F.dense_rank().over(same)).filter(F.col("_r") <= k).drop("_r").dropDuplicates(["key", "id"])
+    n_cells = len(pivots.value)
+    placed, found = _rings(refs, n_cells, max(block_rows, -(-n_refs // max_blocks)), scratch)
+    # two numbers a block, ``max_blocks`` and the cells at most; plain arrays, so that workers need no package
+    rings = spark.sparkContext.broadcast((found.start, found.lo, found.hi))
+    nodes = scratch.save(queries.groupBy("key").agg(F.first("v").alias("v"), F.first("cell").alias("cell"),
+                                                    F.first("dp").alias("dp"))
+                         .withColumn("id", F.monotonically_increasing_id()))
+
+    def at_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(block=Rings(*rings.value).home(b["cell"].to_numpy(), b["dp"].to_numpy()).astype("int32"))[["id", "v", "block"]]
+
+    home = scratch.save(nodes.select("id", "v", "cell", "dp").mapInPandas(at_home, "id long, v array<double>, block int"))
+    first = scratch.save(_met(home, placed, k, block_rows))
+    bound = first.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("bound"))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p, rad, cell_ids, n_sub = state.value
         for b in batches:
             for s in range(0, len(b), 4096):
                 part = b.iloc[s:s + 4096].reset_index(drop=True)
-                d = _pairwise(_as_matrix(part["v"]), p)
-                limit = part["bound"].fillna(np.inf).to_numpy(dtype=float)
-                row, to = np.nonzero(_far_bound(d, rad[None, :]) <= limit[:, None])
-                times = n_sub[to]
-                row, to = np.repeat(row, times), np.repeat(to, times)
-                sub = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                keep = (cell_ids[to] != part["cell"].to_numpy()[row]) | (sub != part["sub"].to_numpy()[row])
-                row, to, sub = row[keep], to[keep], sub[keep]
+                d = _pairwise(_as_matrix(part["v"]), pivots.value)
+                row, block = Rings(*rings.value).within(d, part["bound"].fillna(np.inf).to_numpy(dtype=float))
+                other = block != part["block"].to_numpy()[row]
+                row, block = row[other], block[other]
                 for t in range(0, len(row), 16384):
                     x = slice(t, t + 16384)
                     yield pd.DataFrame({"id": part["id"].to_numpy()[row[x]], "v": part["v"].to_numpy()[row[x]],
-                                        "cell": cell_ids[to[x]].astype("int32"), "sub": sub[x].astype("int32")})
-
-    routed = scratch.save(placed.join(bound, "id", "left").select("id", "v", "cell", "sub", "bound").repartition(tasks, "id")
-                          .mapInPandas(route, "id long, v array<double>, cell int, sub int"))
-    sent = routed.groupBy("cell", "sub").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("parts"))
-    queries = routed.join(sent, ["cell", "sub"]) \
-        .withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
-    refs = placed.select("id", "v", "cell", "sub").join(sent, ["cell", "sub"]) \
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    unit = ["cell", "sub", "part"]
+                                        "block": block[x].astype("int32")})
 
-    def block_knn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        ids, partners, dists = _block_k_best(_as_matrix(q["v"]), _as_matrix(r["v"]),
-                                             q["id"].to_numpy(np.int64), r["id"].to_numpy(np.int64), k)
-        return pd.DataFrame({"id": ids, "paired": partners, "distance": dists})
+    routed = scratch.save(home.join(bound, "id", "left").select("id", "v", "block", "bound")
+                          .mapInPandas(route, "id long, v array<double>, block int"))
+    lists = k_nearest(first.unionAll(_met(routed, placed, k, block_rows)), k)
+    return lists, nodes.select("id", "key"), routed
 
-    found = queries.select("id", "v", *unit).groupBy(*unit).cogroup(refs.select("id", "v", *unit).groupBy(*unit)) \
-        .applyInPandas(block_knn, DISTANCE_SCHEMA)
-    return k_nearest(first.unionAll(found), k)
+
+def _pivots(pts: DataFrame, n: int, n_pivots: int | None):
+    """Different vectors of the smallest id hashes (deterministic), broadcast.
+    Four times as many are looked at, so that many equal vectors do not stand
+    for many pivots."""
+    few = max(1, min(n, n_pivots or math.ceil(math.sqrt(n))))
+    rows = pts.orderBy(F.xxhash64("id"), "id").limit(4 * few).select("v").collect()
+    _, first = np.unique(np.array([r["v"] for r in rows]), axis=0, return_index=True)
+    return pts.sparkSession.sparkContext.broadcast(np.array([rows[i]["v"] for i in np.sort(first)[:few]]))
+
+
+def nearest_vectors(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vector",
+                    n_pivots: int | None = None, block_rows: int = 2048, invalid: str = "raise",
+                    scratch: Scratch | None = None, max_blocks: int = 1_000_000) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean) of every vector among all
+    other vectors: ``(id, paired, distance)``, ``k`` rows per id (fewer
+    when there are fewer other vectors), ties to the smaller id.
+
+    See the module notes for the plan.  ``n_pivots`` defaults to the square
+    root of the number of vectors.  Rows without an id or a vector take no
+    part; repeated rows count once; different vectors of one id are vectors of
+    their own, none of which is listed for that id (so its lists can be
+    shorter).  A vector with a NULL or non-finite element, or of another
+    length than the rest, fails the job; ``invalid='drop'`` leaves vectors
+    with such elements out instead.  Runs its own jobs while the plan is built
+    (count, pivots, cells, rings); their tables go with ``scratch.release()``,
+    or when the driver exits.
+    """
+    if invalid not in ("raise", "drop"):
+        raise ValueError("invalid must be 'raise' or 'drop'")
+    spark = df.sparkSession
+    scratch = scratch or Scratch(spark)
+    pts, n, _ = _points(df, id_col, vec_col, invalid)
+    if not n:
+        return spark.createDataFrame([], DISTANCE_SCHEMA)
+    pivots = _pivots(pts, n, n_pivots)
+    cells = scratch.save(_celled(pts, pivots, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    # k + 1: a member finds itself in its vector's list, or k others
+    lists, nodes, _ = _lists(cells, cells, pivots, k + 1, block_rows, max_blocks, n, scratch)
+    near = _members(lists, nodes, cells)
+    others = F.filter("near", lambda x: x["paired"] != F.col("id"))
+    return near.select("id", F.explode(F.slice(others, 1, k)).alias("x")).select("id", "x.paired", "x.distance")
+
+
+def _members(lists: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(id, near)``: every row's list (a struct array, nearest first), that of its vector."""
+    near = F.array_sort(F.collect_list(F.struct("distance", "paired"))).alias("near")  # k of them
+    of = lists.groupBy("id").agg(near).withColumnRenamed("id", "_n").join(nodes.withColumnRenamed("id", "_n"), "_n")
+    return rows.select("id", "key").distinct().join(of.select("key", "near"), "key").select("id", "near")
+
+
+def nearest_between(queries: DataFrame, refs: DataFrame, k: int, query_id: str = "id", query_vec: str = "vector",
+                    ref_id: str = "id", ref_vec: str = "vector", n_pivots: int | None = None, block_rows: int = 2048,
+                    invalid: str = "raise", scratch: Scratch | None = None, max_blocks: int = 1_000_000) -> DataFrame:
+    """Exact k nearest references of every query vector (new rows against a
+    table): ``(id, paired, distance)``, ties to the smaller reference id.
+
+    The collections are independent: an equal id on both sides means nothing,
+    and a reference equal to a query is its neighbour at distance 0.  Pivots,
+    cells and rings are the references'; a query's bound comes from the block
+    it falls into.  Rows without an id or vector take no part, repeated rows
+    count once, invalid vectors of either side are treated as in
+    :func:`nearest_vectors`; no references give no rows.
+    """
+    if invalid not in ("raise", "drop"):
+        raise ValueError("invalid must be 'raise' or 'drop'")
+    spark = refs.sparkSession
+    scratch = scratch or Scratch(spark)
+    pts, n, length = _points(refs, ref_id, ref_vec, invalid)
+    asked, m, width = _points(queries, query_id, query_vec, invalid)
+    if not n or not m:
+        return spark.createDataFrame([], DISTANCE_SCHEMA)
+    if length != width:
+        raise ValueError(f"queries of length {width}, references of length {length}")
+    pivots = _pivots(pts, n, n_pivots)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = scratch.save(_celled(pts, pivots, tasks))
+    rows = scratch.save(_celled(asked, pivots, tasks))
+    lists, nodes, _ = _lists(cells, rows, pivots, k, block_rows, max_blocks, n, scratch)
+    return _members(lists, nodes, rows).select("id", F.explode("near").alias("x")).select("id", "x.paired", "x.distance")

@@ -40,7 +40,18 @@ def knn_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return nb.accuracy(_predictions(spark, sf))
 
 
-QUERIES = {"knn_neighbors": knn_neighbors, "knn_confusion": knn_confusion, "knn_accuracy": knn_accuracy}
+def knn_new_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """J7, J8 for rows that are not in the labelled table: every vector at half
+    its length, classified by its 5 nearest of all labelled vectors."""
+    emb = table(spark, sf, "embeddings")
+    new = emb.select(F.col("vec_id").alias("new_id"),
+                     F.transform(F.col("embedding").cast("array<double>"), lambda x: x * 0.5).alias("half"))
+    near = nb.nearest_between(new, emb, K, query_id="new_id", query_vec="half", ref_id="vec_id", ref_vec="embedding")
+    return nb.knn_vote(near, emb.select(F.col("vec_id").alias("id"), "label"))
+
+
+QUERIES = {"knn_neighbors": knn_neighbors, "knn_confusion": knn_confusion, "knn_accuracy": knn_accuracy,
+           "knn_new_rows": knn_new_rows}
 
 _PRED = f"""
     WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings),
@@ -62,6 +73,15 @@ ORACLE = {
                    FROM e a JOIN e b ON a.vec_id <> b.vec_id)
         SELECT id, paired, round(dist, 9) AS distance FROM (
           SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, paired) AS r FROM d) x WHERE r <= {K}""",
+    "knn_new_rows": f"""
+        WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings),
+             q AS (SELECT vec_id AS id, list_transform(v, lambda x: x * 0.5) AS v FROM e),
+             d AS (SELECT q.id, e.vec_id AS paired, e.label, list_distance(q.v, e.v) AS dist FROM q CROSS JOIN e),
+             nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, paired) AS r FROM d) x
+                    WHERE r <= {K}),
+             votes AS (SELECT id, label, COUNT(*) AS n FROM nn GROUP BY 1, 2)
+        SELECT id, label AS predicted FROM (
+          SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, label) AS r FROM votes) y WHERE r = 1""",
     "knn_confusion": _PRED + " SELECT predicted, actual, COUNT(*) AS n FROM p GROUP BY 1, 2",
     "knn_accuracy": _PRED + """ SELECT AVG(CASE WHEN predicted = actual THEN 1.0 ELSE 0.0 END)::DOUBLE AS accuracy,
                                        COUNT(*) AS n FROM p""",

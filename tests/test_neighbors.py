@@ -116,24 +116,96 @@ def test_row_ids_unique(spark):
     assert ids.distinct().count() == 1000
 
 
-def test_far_bound_prunes_separated_clusters_and_stays_safe(spark):
-    """Clustered vectors are sent to no other cluster's cell; the bound never
+def test_ring_gaps_prune_separated_clusters_and_stay_safe(spark):
+    """Clustered vectors are sent to no other cluster's cell; the gap never
     exceeds the true distance."""
     rng = np.random.default_rng(11)
     centers = rng.normal(scale=100, size=(8, 6))
     vecs = np.concatenate([c + rng.normal(size=(40, 6)) for c in centers])
     d = np.sqrt(((vecs[:, None, :] - centers[None, :, :]) ** 2).sum(-1))
     cell = d.argmin(1)
-    radius = np.array([d[cell == c, c].max() for c in range(8)])
     near = np.sqrt(((vecs[:, None, :] - vecs[None, :, :]) ** 2).sum(-1))
-    far = nb._far_bound(d, radius[None, :])
-    for c in range(8):
-        assert (far[:, c] <= near[:, cell == c].min(axis=1)).all()
     bound = np.sort(near, axis=1)[:, 5]
-    assert (far <= bound[:, None]).sum() == len(vecs)  # only its own cell
+    sent = 0
+    for c in range(8):
+        dc = np.sort(d[cell == c, c])
+        for ring in np.array_split(dc, 4):
+            inside = (cell == c) & (d[:, c] >= ring[0]) & (d[:, c] <= ring[-1])
+            gap = nb._ring_gap(d[:, c], ring[0], ring[-1])
+            assert (gap <= near[:, inside].min(axis=1)).all()
+            sent += (gap[cell != c] <= bound[cell != c]).sum()
+    assert sent == 0
     _check(spark, list(range(len(vecs))), vecs, 5, n_pivots=16, block_rows=30)
 
 
+def test_equal_vectors_are_one_node_and_work_grows_with_the_rows(spark):
+    """Half of all vectors equal, the rest on a line (where a bound shrinks as
+    fast as the rings): the rows sent to further rings stay a few a vector
+    however many there are, and lists stay exact."""
+    for n in (500, 1000, 2000):
+        rng = np.random.default_rng(8)
+        line = rng.uniform(1, 1000, size=(n // 2, 1)) * np.array([[1.0, 2.0, -1.0, 0.5]])
+        vecs = np.concatenate([np.zeros((n // 2, 4)), line])
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "id long, vector array<double>")
+        pts, count, _ = nb._points(df, "id", "vector", "raise")
+        scratch = nb.Scratch(spark)
+        pivots = nb._pivots(pts, count, None)
+        cells = scratch.save(nb._celled(pts, pivots, 8))
+        lists, nodes, routed = nb._lists(cells, cells, pivots, 4, 16, 1000, count, scratch)
+        assert nodes.count() == n // 2 + 1
+        assert routed.count() <= 4 * (n // 2 + 1)
+        scratch.release()
+    ids = list(range(200))
+    vecs = np.concatenate([np.zeros((100, 3)), np.random.default_rng(9).normal(size=(100, 3))])
+    _check(spark, ids, vecs, 5, n_pivots=6, block_rows=10)
+    _check(spark, ids, vecs, 5, n_pivots=6, block_rows=10, max_blocks=4)
+
+
+def test_repeated_rows_and_ids_with_two_vectors(spark):
+    rows = [(1, [0.0, 0.0]), (1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [3.0, 0.0]), (4, [7.0, 0.0]), (2, [1.0, -0.0])]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = sorted((r["id"], r["paired"], r["distance"]) for r in nb.nearest_vectors(df, 2, n_pivots=2, block_rows=2).collect())
+    assert got == [(1, 2, 1.0), (1, 3, 3.0), (2, 1, 1.0), (2, 3, 2.0), (3, 1, 3.0), (3, 2, 2.0), (4, 2, 6.0), (4, 3, 4.0)]
+    two = spark.createDataFrame(rows + [(1, [7.0, 1.0])], "id long, vector array<double>")
+    of_four = sorted((r["distance"], r["paired"]) for r in nb.nearest_vectors(two, 2).filter("id = 4").collect())
+    assert of_four == [(1.0, 1), (4.0, 3)]
+    assert nb.nearest_vectors(two, 3).filter("id = paired").count() == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"n_pivots": 5, "block_rows": 7}, {"n_pivots": 1, "block_rows": 16}])
+def test_queries_against_another_table_equal_brute_force(spark, options):
+    rng = np.random.default_rng(12)
+    refs = np.concatenate([rng.normal(size=(150, 4)), np.ones((60, 4)), rng.normal(scale=30, size=(30, 4))])
+    refs = refs[rng.permutation(len(refs))]
+    asked = np.concatenate([rng.normal(size=(40, 4)), refs[:10], np.ones((25, 4)), np.full((1, 4), 500.0)])
+    r = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(refs)], "rid long, rv array<double>, id int")
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "qid long, qv array<double>")
+    got = {}
+    for x in nb.nearest_between(q, r, 6, "qid", "qv", "rid", "rv", **options).collect():
+        got.setdefault(x["id"], []).append((x["distance"], x["paired"]))
+    for i, v in enumerate(asked):
+        d = np.sqrt(((refs - v) ** 2).sum(-1))
+        want = sorted(zip(d, range(len(refs))))[:6]
+        assert [p for _, p in sorted(got[i])] == [p for _, p in want]
+        assert np.allclose([x for x, _ in sorted(got[i])], [x for x, _ in want])
+
+
+def test_queries_against_few_or_no_references(spark):
+    q = spark.createDataFrame([(1, [0.0]), (2, [9.0]), (None, [1.0]), (3, None)], "id long, vector array<double>")
+    r = spark.createDataFrame([(1, [0.0]), (7, [4.0])], "id long, vector array<double>")
+    got = sorted(map(tuple, nb.nearest_between(q, r, 5).collect()))
+    assert got == [(1, 1, 0.0), (1, 7, 4.0), (2, 1, 9.0), (2, 7, 5.0)]  # an equal id means nothing
+    assert nb.nearest_between(q, r.limit(0), 5).count() == 0 and nb.nearest_between(q.limit(0), r, 5).count() == 0
+    with pytest.raises(ValueError, match="length"):
+        nb.nearest_between(spark.createDataFrame([(1, [0.0, 1.0])], q.schema), r, 1)
+
+
+def test_votes_for_rows_without_a_label(spark):
+    near = spark.createDataFrame([(100, 1), (100, 2), (200, 3), (200, 1)], "id long, paired long")
+    labels = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, label string")
+    assert {r["id"]: r["predicted"] for r in nb.knn_vote(near, labels).collect()} == {100: "a", 200: "a"}
+
+
 def test_ids_whose_hashes_are_all_large_still_have_pivots(spark):
     rng = np.random.default_rng(5)
     ids = list(range(20500, 21000))

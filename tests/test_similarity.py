@@ -1,0 +1,137 @@
+"""Word-set classes, their links, and pairs of two collections, against brute force."""
+
+import collections
+import random
+
+import pytest
+
+from quarry.operators import similarity as sim
+from quarry.operators import text as tx
+from quarry.operators.common import Scratch, ranked
+
+
+class Counting(Scratch):
+    """Counts the rows of every table it saves."""
+
+    rows = 0
+
+    def save(self, df):
+        out = super().save(df)
+        self.rows += out.count()
+        return out
+
+
+def sets_of(seed, n=45, copies=15):
+    rnd = random.Random(seed)
+    vocab = [f"w{i}" for i in range(50)]
+    base = set(rnd.sample(vocab, 18))
+    out = {}
+    for d in range(n):
+        if d < copies:  # a third of all documents are equal
+            out[d] = set(base)
+        elif d < copies + 12:  # near copies
+            s = set(base)
+            for _ in range(rnd.randint(0, 4)):
+                s.discard(rnd.choice(sorted(s)))
+                s.add(rnd.choice(vocab))
+            out[d] = s
+        else:
+            out[d] = set(rnd.sample(vocab, rnd.randint(1, 20)))
+    return out
+
+
+def frame(spark, sets, doc="doc", extra=()):
+    rows = [(d, w) for d, ws in sets.items() for w in ws] + [(d, None) for d in extra]
+    return spark.createDataFrame(rows + rows[:20], f"{doc} long, word string").repartition(5)
+
+
+def dice(a, b, kind, k):
+    common = len(a & b)
+    return 2.0 * common / (2.0 * k) if kind == "fixed" else 2.0 * common / max(1, len(a) + len(b))
+
+
+CASES = [("fixed", 0.8), ("fixed", 0.3), ("sizes", 0.8), ("sizes", 0.4), ("sizes", 1.0)]
+
+
+@pytest.mark.parametrize("kind,t", CASES)
+def test_classes_and_links_equal_brute_force(spark, kind, t):
+    sets = sets_of(1)
+    words = frame(spark, sets, extra=[3, 900, 901])  # two documents with NULL words only
+    every = {**sets, 900: set(), 901: set()}
+    got = {r["doc"]: (r["class_doc"], r["class_size"], r["n_words"], r["n_links"])
+           for r in sim.dice_classes(words, "doc", threshold=t, k=18, denominator=kind).collect()}
+    for d, s in every.items():
+        same = [x for x, y in every.items() if y == s]
+        links = sum(x != d and len(s & y) > 0 and dice(s, y, kind, 18) >= t for x, y in every.items())
+        assert got[d] == (min(same), len(same), len(s), links)
+    pairs = sim.dice_class_links(words, "doc", threshold=t, k=18, denominator=kind).collect()
+    # membership and class pairs are the whole result of the join
+    members = collections.defaultdict(list)
+    for d, (c, *_) in got.items():
+        members[c].append(d)
+    expanded = {}
+    for r in pairs:
+        assert r["class_a"] < r["class_b"]
+        assert (r["docs_a"], r["docs_b"]) == (len(members[r["class_a"]]), len(members[r["class_b"]]))
+        for a in members[r["class_a"]]:
+            for b in members[r["class_b"]]:
+                expanded[min(a, b), max(a, b)] = (r["overlap"], r["dice"])
+    for c, ds in members.items():
+        s = every[c]
+        if s and dice(s, s, kind, 18) >= t:
+            expanded.update({(a, b): (len(s), dice(s, s, kind, 18)) for a in ds for b in ds if a < b})
+    joined = {(r["doc_a"], r["doc_b"]): (r["overlap"], r["dice"])
+              for r in tx.dice_join(words, "doc", threshold=t, k=18, denominator=kind).collect()}
+    assert expanded == joined
+
+
+def test_work_is_linear_in_a_group_of_copies(spark):
+    rows = []
+    for m in (100, 200, 400):
+        sets = {d: {"a", "b", "c", f"x{d % 3}"} for d in range(m)} | {m + d: {f"u{d}", f"v{d}", "a"} for d in range(20)}
+        scratch = Counting(spark)
+        words = frame(spark, sets)
+        out = sim.dice_classes(words, "doc", threshold=0.7, scratch=scratch).collect()
+        assert len(out) == m + 20 and {r["n_links"] for r in out if r["doc"] < m} == {m - 1}
+        rows.append(scratch.rows)
+        scratch.release()
+    assert rows[2] - rows[1] <= 2.1 * (rows[1] - rows[0]) and rows[2] < 3 * rows[1]
+
+
+@pytest.mark.parametrize("kind,t", CASES)
+def test_two_collections_equal_brute_force(spark, kind, t):
+    left, right = sets_of(1), sets_of(2, n=30, copies=4)
+    right[0], right[1], right[77] = set(left[0]), set(left[0]), {"only here", "w1"}  # equal sets, the same ids
+    a = frame(spark, left, "id", extra=[500])
+    b = frame(spark, right, "other", extra=[501]).withColumnRenamed("word", "term")
+    got = {(r["id"], r["other"]): (r["overlap"], r["dice"]) for r in
+           sim.dice_between(a, b, "id", "other", right_word="term", threshold=t, k=18, denominator=kind, block=3).collect()}
+    want = {(x, y): (len(s & u), dice(s, u, kind, 18)) for x, s in left.items() for y, u in right.items()
+            if s & u and dice(s, u, kind, 18) >= t}
+    assert got == want and (0, 0) in got
+
+
+def test_two_collections_without_rows_or_within_no_reach(spark):
+    a = frame(spark, {1: {"a", "b"}}, "id")
+    b = frame(spark, {1: {f"w{i}" for i in range(99)} | {"a"}}, "other")
+    assert sim.dice_between(a, b, "id", "other", threshold=0.5).count() == 0
+    assert sim.dice_between(a.limit(0), b, "id", "other", threshold=0.5).count() == 0
+    assert sim.dice_between(a, b.limit(0), "id", "other", threshold=0.5).count() == 0
+    assert sim.dice_classes(a.limit(0), "id").count() == 0 and sim.dice_class_links(a.limit(0), "id").count() == 0
+    with pytest.raises(ValueError):
+        sim.dice_between(a, a, "id", "id")
+
+
+def test_equal_groups_of_two_collections_are_dealt_in_blocks(spark):
+    a = frame(spark, {i: {"x", "y"} for i in range(40)}, "id")
+    b = frame(spark, {i: {"x", "y"} for i in range(30)}, "other")
+    out = sim.dice_between(a, b, "id", "other", threshold=1.0, block=7)
+    assert out.count() == 1200 and out.distinct().count() == 1200
+
+
+def test_ranked_places_rows_over_partitions(spark):
+    rows = [(i * 7919 % 1000, "x" if i % 3 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "v long, rank_of string").repartition(9)
+    got = ranked(df, ["v", "rank_of"], Scratch(spark), "place").collect()
+    assert sorted(r["place"] for r in got) == list(range(3000))
+    assert [r["v"] for r in sorted(got, key=lambda r: r["place"])] == sorted(v for v, _ in rows)
