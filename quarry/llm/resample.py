@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +128,10 @@ class Head:
                     head.pair[at], head.bucket[at] = key[0], zlib.crc32(a + b" " + b) % buckets
         return head
 
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        """What a broadcast carries: ``Head(*arrays)`` is the head again."""
+        return tuple(getattr(self, f.name) for f in fields(self))
+
     def place(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         return (scattered(np.atleast_1d(low), np.atleast_1d(high)) % np.uint64(len(self.low))).astype(np.int64)
 
@@ -241,7 +245,7 @@ def bucket_totals(texts: DataFrame, head, buckets: int) -> np.ndarray:
     def scan(batches):
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for _, _, _, found in features(batch.column(0), head.value, buckets):
+            for _, _, _, found in features(batch.column(0), Head(*head.value), buckets):
                 total += np.bincount(found, minlength=buckets)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["bucket", "n"])
@@ -266,7 +270,7 @@ def weighed(docs: DataFrame, head, gain, buckets: int) -> DataFrame:
         worth = gain.value
         for batch in batches:
             words, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            for rows, n, place, found in features(batch.column(1), head.value, buckets):
+            for rows, n, place, found in features(batch.column(1), Head(*head.value), buckets):
                 words[rows] += n
                 # sums of a slice stay far below 2**53, where doubles are exact
                 total[rows] += np.bincount(place, weights=worth[found], minlength=len(rows)).astype(np.int64)
@@ -299,7 +303,7 @@ def importance_resample(docs: DataFrame, target: DataFrame, work: WorkFolder, id
     spark, work = docs.sparkSession, work.scope()
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     texts, wanted = rows.select("text"), target.select(F.col(f"`{target_col}`").alias("text"))
-    held = spark.sparkContext.broadcast(head or frequent_head(texts, work, buckets))
+    held = spark.sparkContext.broadcast((head or frequent_head(texts, work, buckets)).arrays())
     gain = spark.sparkContext.broadcast(
         gains(bucket_totals(texts, held, buckets), bucket_totals(wanted, held, buckets)))
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
