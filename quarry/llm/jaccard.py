@@ -5,19 +5,30 @@ shingles (by a corpus-wide frequency sketch; any order common to all is
 right, rare first is short) as its prefix: two sets that reach the threshold
 share a shingle of both prefixes (Chaudhuri, Ganti, Kaushik, ICDE 2006).
 Pairs from a shared prefix shingle pass length, positional (Xiao et al., WWW
-2008) and suffix filters and are verified on the texts, once a pair.
+2008) and suffix filters and are verified on the sets, once a pair.
+
+The suffix filter is a parity sketch: a bit for every bucket of the hash range,
+set if an odd number of a set's shingles falls into it.  What two sets share
+cancels in the exclusive or of their sketches, and every shingle of the
+symmetric difference turns one bit at most, so the number of bits left never
+exceeds the size of the difference: a pair with more than the threshold allows
+is no link, and a pair just under it is told apart almost exactly.  The filter
+is a few machine words in the condition of the join that makes the pairs.
 
 Only reachability is asked for, so not every pair of a dense group is made:
-first the classes listed under a shingle meet a few leaders of the list; then
-every pair that the filters allow and that is not yet connected is verified.
-Pairs left out are connected already, so no component changes -- a group of m
-near copies costs some m verifications.
+first the classes listed under a shingle meet a few leaders of the list, in two
+rounds, the second only for what the first left apart; then every pair that
+the filters allow and that is not yet connected is verified.  Pairs left out
+are connected already, so no component changes -- a group of m near copies
+costs some m verifications.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
+import operator
 import zlib
 
 import numpy as np
@@ -85,63 +96,62 @@ def need_of(n, percent: int):
     return (n * percent + 99) // 100
 
 
-def summary(s: np.ndarray) -> bytes:
-    """Counts of a set's hashes in equal ranges, about eight a range: what two
-    sets can share is at most the sum of the smaller counts (the suffix
-    filter's recursive halving, all halves at once)."""
-    bits = min(14, max(4, math.ceil(math.log2(max(1, len(s)) / 8)) if len(s) else 4))
-    return np.minimum(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits),
-                      65535).astype("<u2").tobytes()
+#: Sets up to this size are told apart by a sketch of 1024 bits; larger ones by as many bits as they have shingles.
+_SMALL = 1500
+_WORDS = 16
+
+
+def parity(s: np.ndarray, bits: int) -> np.ndarray:
+    """For every one of ``2**bits`` equal hash ranges whether it holds an odd
+    number of a set's shingles, packed into 64-bit words."""
+    odd = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8) & 1
+    return np.packbits(odd).view("<i8")
 
 
-def coarse(s: np.ndarray) -> list[int] | None:
-    """64 range counts small enough for a join condition; None for large sets,
-    which they wouldn't tell apart."""
-    if not 0 < len(s) <= 4000:
-        return None
-    counts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=64)
-    return None if counts.max() > 127 else counts.tolist()
+def level(n: int) -> int:
+    """Bits of the large sketch of ``n`` shingles; sets of similar size differ by one at most."""
+    return math.ceil(math.log2(n))
 
 
-def shared_at_most(a: bytes, b: bytes) -> int:
-    """Upper bound of two sets' overlap from their summaries."""
-    x, y = np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(b, "<u2").astype(np.int64)
-    if len(x) > len(y):
-        x = x.reshape(len(y), -1).sum(axis=1)
-    elif len(y) > len(x):
-        y = y.reshape(len(x), -1).sum(axis=1)
-    top = (x >= 65535) & (y >= 65535)
-    return int(np.minimum(x, y).sum()) if not top.any() else 1 << 62
+def sketches(s: np.ndarray) -> tuple[list[int], list[int] | None, list[int] | None]:
+    """The small sketch, and for large sets those of their own level and the next."""
+    if len(s) <= _SMALL:
+        return parity(s, 10).tolist(), None, None
+    return parity(s, 10).tolist(), parity(s, level(len(s))).tolist(), parity(s, level(len(s)) + 1).tolist()
+
+
+_SKETCH = "p array<long>, w array<long>, v array<long>"
 
 
 def _describe(k: int, bits: int):
-    """Rows ``(doc_id, th, n, cls, sig)``, and the partition's sketch at the end
-    (doc rows have ``slice`` null; sketch rows their slice of the counters)."""
+    """Rows ``(doc_id, th, n, cls, p, w, v)``, and the partition's frequency
+    counters at the end (doc rows have ``slice`` null; counter rows their slice)."""
     def scan(batches):
         from pyspark import TaskContext
 
         total = np.zeros(1 << bits, np.int32)
+        longs = pa.list_(pa.int64())
         schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
-                            ("sig", pa.binary()), ("q", pa.list_(pa.int8())), ("slice", pa.int32()), ("task", pa.int32())])
-        for b in batches:
-            n, cls, sig, q = [], [], [], []
+                            ("p", longs), ("w", longs), ("v", longs), ("sig", pa.binary()), ("slice", pa.int32()),
+                            ("task", pa.int32())])
+        for b in (x.slice(i, 1024) for x in batches for i in range(0, x.num_rows, 1024)):
+            n, cls, made = [], [], []
             for _, s in shingle_sets(b.column(2), k):
                 n.append(len(s))
                 cls.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
                            if len(s) else None)
-                sig.append(summary(s))
-                q.append(coarse(s))
+                made.append(sketches(s))
                 np.add.at(total, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
             size = len(n)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary()),
-                 pa.array(q, pa.list_(pa.int8())), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32())], schema=schema)
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
+                 *[pa.array([m[i] for m in made], longs) for i in range(3)], pa.nulls(size, pa.binary()),
+                 pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32())], schema=schema)
         cut = np.split(total, _SLICES)
         yield pa.RecordBatch.from_arrays(
-            [*[pa.nulls(_SLICES, pa.int64())] * 4, pa.array([_packed(p) for p in cut], pa.binary()),
-             pa.nulls(_SLICES, pa.list_(pa.int8())), pa.array(range(_SLICES), pa.int32()),
-             pa.array([TaskContext.get().partitionId()] * _SLICES, pa.int32())],
-            schema=schema)
+            [*[pa.nulls(_SLICES, pa.int64())] * 4, *[pa.nulls(_SLICES, longs)] * 3,
+             pa.array([_packed(p) for p in cut], pa.binary()), pa.array(range(_SLICES), pa.int32()),
+             pa.array([TaskContext.get().partitionId()] * _SLICES, pa.int32())], schema=schema)
     return scan
 
 
@@ -207,64 +217,54 @@ def _allowed(percent: int):
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (left * (100 + percent) >= (na + nb) * percent)
 
 
-def _coarse_allow(percent: int):
-    """The suffix filter's cheap form inside a join: 64 range counts."""
-    both = F.aggregate(F.zip_with("a.q", "b.q", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x.cast("int"))
-    enough = both * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
-    return F.col("a.q").isNull() | F.col("b.q").isNull() | enough
+def _unlike(x: list, y: list):
+    """Bits in which two small sketches differ."""
+    return functools.reduce(operator.add, [F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(x, y, strict=True)])
+
+
+def _sketches_allow(percent: int, a: str = "a", b: str = "b"):
+    """Whether the sketches of classes ``a`` and ``b`` leave a link possible:
+    ``|x| + |y|`` shingles reach the threshold with a symmetric difference of
+    ``(100 - percent) / (100 + percent)`` of them at most."""
+    n = F.col(f"{a}.n") + F.col(f"{b}.n")
+    small = _unlike([f"{a}.p{i}" for i in range(_WORDS)], [f"{b}.p{i}" for i in range(_WORDS)])
+
+    def large(x: str, y: str):
+        each = F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+        return F.aggregate(each, F.lit(0), lambda t, u: t + u) * (100 + percent) <= n * (100 - percent)
+    la, lb = F.size(f"{a}.w"), F.size(f"{b}.w")
+    wide = F.col(f"{a}.w").isNotNull() & F.col(f"{b}.w").isNotNull()
+    return (small * (100 + percent) <= n * (100 - percent)) & (~wide | F.when(la == lb, large(f"{a}.w", f"{b}.w")).when(
+        la < lb, large(f"{a}.v", f"{b}.w")).otherwise(large(f"{a}.w", f"{b}.v")))
+
+
+def _sketch_columns() -> list:
+    return [*[F.col("p")[i].alias(f"p{i}") for i in range(_WORDS)], "w", "v"]
 
 
-def _leaders(rows: DataFrame, by: list[str], leaders: int) -> DataFrame:
-    """Up to ``leaders`` classes of every group, by orders that all groups
+def _leaders(rows: DataFrame, by: list[str], orders: range) -> DataFrame:
+    """Up to one class of every group for each of ``orders``, which all groups
     share, so that groups with common members lead to common leaders."""
-    first = [F.min(F.struct(F.xxhash64("cls", F.lit(i)), "cls", "n", "pos")) for i in range(leaders)]
+    first = [F.min(F.struct(F.xxhash64("cls", F.lit(i)), "cls", "n", "pos")) for i in orders]
     heads = rows.groupBy(*by).agg(F.array(*first).alias("x"))
     some = F.array_distinct(F.transform("x", lambda v: F.struct(
         v["cls"].alias("cls"), v["n"].alias("n"), v["pos"].alias("pos"))))
     return heads.select(*by, F.explode(some).alias("e")).select(*by, "e.cls", "e.n", "e.pos")
 
 
-def _summaries_allow(percent: int):
+def _sets(k: int):
+    """``(cls, s)``: the sorted shingle hashes of every text of ``(cls, text)``."""
     def scan(batches):
-        for b in batches:
-            keep = [(100 + percent) * shared_at_most(x, y) >= percent * (m + n) for x, y, m, n in zip(
-                b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist(),
-                strict=True)]
-            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-    return scan
-
-
-def _verify(k: int, percent: int):
-    """Pairs ``(a, b, text_a, text_b)`` whose sets reach the threshold."""
-    def scan(batches):
-        known: dict[int, np.ndarray] = {}  # sets of the batch's classes, each made once
-        for b in (x.slice(i, 256) for x in batches for i in range(0, x.num_rows, 256)):  # few sets at a time
-            ids = [b.column(0).to_pylist(), b.column(1).to_pylist()]
-            first: dict[int, tuple[int, int]] = {}
-            for side in (0, 1):
-                for i, c in enumerate(ids[side]):
-                    first.setdefault(c, (side, i))
-            last = known
-            known = {c: last[c] for c in first if c in last}
-            for side in (0, 1):
-                new = [(c, i) for c, (s, i) in first.items() if s == side and c not in known]
-                texts = b.column(2 + side).take(pa.array([i for _, i in new], pa.int64()))
-                for row, s in shingle_sets(texts, k):
-                    known[new[row][0]] = s
-            keep = []
-            for x, y in zip(*ids, strict=True):
-                p, q = known[x], known[y]
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                same = int((q[np.minimum(at, len(q) - 1)] == p).sum()) if len(q) else 0
-                keep.append((100 + percent) * same >= percent * (len(p) + len(q)))
-            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        for b in (x.slice(i, 256) for x in batches for i in range(0, x.num_rows, 256)):
+            made = [pa.array(s.view(np.int64)) for _, s in shingle_sets(b.column(1), k)]
+            offsets = np.concatenate([[0], np.cumsum([len(m) for m in made])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.concat_arrays(made))], ["cls", "s"])
     return scan
 
 
 def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                    percent: int = 80, sketch_bits: int = 22, leaders: int = 8,
+                    percent: int = 80, sketch_bits: int = 22, leaders: int = 6,
                     broadcast_rows: int = 2_000_000) -> DataFrame:
     """``(doc_id, n_shingles, component_id, text_hash, component)`` for every row.
 
@@ -283,14 +283,16 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")) \
         .select("doc_id", F.xxhash64("text").alias("th"), "text")
     described = work.save(rows.mapInArrow(
-        _describe(k, sketch_bits), "doc_id long, th long, n long, cls long, sig binary, q array<tinyint>, "
-        "slice int, task int"), "described")
+        _describe(k, sketch_bits), f"doc_id long, th long, n long, cls long, {_SKETCH}, sig binary, slice int, task int"),
+        "described")
     sketch = spark.sparkContext.broadcast(frequency_sketch(described))
-    listed = described.filter(F.col("slice").isNull()).select("doc_id", "th", "n", "cls", "sig", "q")
-    # one row a class: a row that has it (the smallest id), size and summary
-    classes = work.save(listed.filter(F.col("cls").isNotNull()).groupBy("cls").agg(
+    listed = described.filter(F.col("slice").isNull()).select("doc_id", "th", "n", "cls")
+    # one row a class: a row that has it (the smallest id), size and sketches
+    classes = work.save(described.filter(F.col("cls").isNotNull()).groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("at"),
-        F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("q").alias("q")), "classes")
+        F.first("n").alias("n"), *[F.first(c).alias(c) for c in ("p", "w", "v")])
+        .select("cls", "rep", "at", "n", *_sketch_columns()), "classes")
+    sketched = classes.drop("rep", "at")
 
     postings = work.save(rows.select("text").mapInArrow(
         _prefixes(k, percent, sketch_bits, sketch), "h long, cls long, n int, pos int"), "postings")
@@ -300,30 +302,34 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
     work.drop(postings)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b) that pass the suffix filter and hold on the texts."""
-        c = classes.select("cls", "sig", "n")
-        some = pairs.join(c.toDF("a", "sig_a", "n_a"), "a").join(c.toDF("b", "sig_b", "n_b"), "b") \
-            .select("a", "b", "sig_a", "sig_b", "n_a", "n_b").mapInArrow(_summaries_allow(percent), "a long, b long")
-        some = work.save(some, "candidates")
-        used = some.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        """``pairs`` (a, b) whose sets reach the threshold; both sets' hashes
+        meet in a join, and no text does."""
+        if not pairs.head(1):
+            return pairs
+        used = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
         reps = work.save(used.join(classes, "cls").select("cls", F.col("at.doc_id").alias("at"), F.col("at.th").alias("ah")),
                          "used")
         # the ids of texts that are compared; broadcast only while they are few, else both sides are shuffled
         few = F.broadcast(reps) if reps.count() <= broadcast_rows else reps
-        texts = work.save(rows.join(few, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("th") == F.col("ah")))
-                          .select("cls", "text").dropDuplicates(["cls"]), "texts")
-        out = some.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a") \
-            .select("a", "b", "text_a", "text_b").mapInArrow(_verify(k, percent), "a long, b long")
-        out = work.save(out, "links")
-        work.drop(texts)
+        sets = work.save(rows.join(few, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("th") == F.col("ah")))
+                         .select("cls", "text").mapInArrow(_sets(k), "cls long, s array<long>")
+                         .dropDuplicates(["cls"]), "sets")
+        both = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a")
+        same, n = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
+        out = work.save(both.filter(same * (100 + percent) >= n * percent).select("a", "b"), "links")
+        work.drop(sets)
         work.drop(reps)
-        work.drop(some)
         return out
 
-    def pairs_of(joined: DataFrame, done: DataFrame | None) -> DataFrame:
-        new = joined.filter(_allowed(percent)).select(
-            F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()
-        return work.save(new if done is None else new.join(done, ["a", "b"], "left_anti"), "pairs")
+    def likely(pairs: DataFrame, done: DataFrame | None) -> DataFrame:
+        """New pairs (a, b) that the sketches allow, each once."""
+        new = pairs.distinct() if done is None else pairs.distinct().join(done, ["a", "b"], "left_anti")
+        x, y = new.alias("x"), sketched
+        met = x.join(y.alias("l"), F.col("x.a") == F.col("l.cls")).join(y.alias("r"), F.col("x.b") == F.col("r.cls"))
+        return work.save(met.filter(_sketches_allow(percent, "l", "r")).select("a", "b"), "pairs")
+
+    def ordered(joined: DataFrame) -> DataFrame:
+        return joined.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
 
     def mixed_lists(part: DataFrame) -> DataFrame:
         """Listings under shingles that still hold several components; ``big``
@@ -335,20 +341,30 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
             .filter(F.col("cs") > 1).select("h", F.col("x.c").alias("major"))
         return work.save(known.join(mixed, "h").withColumn("big", F.col("c") == F.col("major")), "mixed")
 
-    # 1. every listed class against leaders of its list and size range
+    # 1. every listed class against a leader of its list and size range
     ranged = shared.withColumn("r", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)))
-    heads = _leaders(ranged, ["h", "r"], leaders)
-    done = pairs_of(ranged.alias("b").join(heads.alias("a"), ["h", "r"]).filter(F.col("a.cls") != F.col("b.cls")), None)
+    heads = _leaders(ranged, ["h", "r"], range(1))
+    met = ranged.alias("b").join(heads.alias("a"), ["h", "r"]).filter((F.col("a.cls") != F.col("b.cls")) & _allowed(percent))
+    done = likely(ordered(met), None)
     links = verified(done)
     part = work.save(components(links, work), "part")
 
-    # 2. every pair not connected yet, but none within one component
+    # 2. what is not in its list's largest component yet, against more leaders of that component
+    apart = mixed_lists(part)
+    heads = _leaders(apart.filter("big"), ["h"], range(1, 1 + leaders))
+    met = apart.filter("not big").alias("b").join(heads.alias("a"), "h").filter(_allowed(percent))
+    more = likely(ordered(met), done)
+    done = work.save(done.unionAll(more), "done")
+    links = work.save(links.unionAll(verified(more)), "links")
+    part = work.save(components(links, work), "part")
+
+    # 3. every pair not connected yet, but none within one component
     apart = mixed_lists(part)
-    full = work.save(apart.join(classes.select("cls", "q"), "cls"), "full")
+    full = work.save(apart.join(sketched.drop("n"), "cls"), "full")
     cross = full.filter("not big").alias("a").join(full.alias("b"), (F.col("a.h") == F.col("b.h"))
         & (F.col("a.c") != F.col("b.c")) & (F.col("b.big") | (F.col("a.cls") < F.col("b.cls")))
-        & _allowed(percent) & _coarse_allow(percent))
-    found = verified(pairs_of(cross, done))
+        & _allowed(percent) & _sketches_allow(percent))
+    found = verified(work.save(ordered(cross).distinct().join(done, ["a", "b"], "left_anti"), "pairs"))
     links = work.save(links.unionAll(found), "links")
     part = components(links, work)
 

@@ -26,10 +26,11 @@ def line_keys(text: Column) -> Column:
 
 
 def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = 0.1,
-                      min_pages: int = 3, copies: bool = True) -> DataFrame:
+                      min_pages: int = 3, copies: bool = False) -> DataFrame:
     """``(_host, keys)``: each host's lines that stand on more than ``ratio`` of
-    its pages, and on ``min_pages`` at least.  Without ``copies`` all rows of a
-    host with the same text are one page, for lines and for page totals.
+    its pages, and on ``min_pages`` at least.  A page is a different text of
+    the host: all its rows with the same text are one, for lines and for page
+    totals (``copies=True``: every row is a page of its own).
 
     A page counts a line once (repeats inside it are removed before the
     shuffle) and only fixed-width keys travel, counted per task first.  A host
@@ -52,7 +53,7 @@ def boilerplate_lines(pages: DataFrame, host: str, text: str, ratio: float = 0.1
 
 def drop_boilerplate(pages: DataFrame, host: str, text: str, work: WorkFolder, ratio: float = 0.1,
                      min_pages: int = 3, dropped: str | None = None, broadcast_keys: int = 2_000_000,
-                     salts: int = 32, copies: bool = True) -> DataFrame:
+                     salts: int = 32, copies: bool = False) -> DataFrame:
     """``pages`` with boilerplate lines cut out of ``text``; every row stays.
 
     Lines are what stands between newline characters, compared without the
@@ -60,9 +61,13 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str, work: WorkFolder, r
     of the host's pages (and on ``min_pages`` at least).  Blank lines are kept
     and never counted.  Null texts stay null and count as pages without
     lines; empty texts stay empty; a text of boilerplate only becomes empty.
-    A null host is a host of its own.  Repeated rows are pages of their own;
-    with ``copies=False`` a host's rows of equal text are one page, so that a
-    text does not become boilerplate of its host by being copied.
+    A null host is a host of its own.  A host's rows of equal text are one
+    page, so that a text does not become boilerplate of its host by being
+    copied (``copies=True``: each is one).  Long texts are read whole; columns
+    named like an intermediate are kept as they are; no rows give no rows.
+
+    ``min_pages`` is part of the law: two pages that share a line may be two
+    versions of one text, from three on it is a habit of the site.
     ``dropped`` names an optional column with the number of lines cut.
 
     The lists are written once and their keys counted: up to

@@ -35,7 +35,8 @@ class Span(NamedTuple):
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 # possessive forms of the contract's patterns: nothing in them can match by giving characters back
-_IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
+# (an address begins a run of digits: where the first digit fails, a later one of the run fails as well)
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9]){12,}+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
@@ -102,6 +103,8 @@ _DIGIT_NAMES = {
 _DIGIT = {name: d for d, names in _DIGIT_NAMES.items() for name in names.split()}
 _NAME = "|".join(sorted(_DIGIT, key=len, reverse=True))
 _DOT = "dot|punkt|point|punto"
+#: The at sign's names, read between brackets.
+_AT = "at|arobase|arroba|bei"
 _GAP = rf"(?:[ \t]*[,-]?[ \t]+(?:(?:{_DOT})[ \t]+)?|-)"
 #: A run of at least four digits, named or written, that names one at least (checked on use).
 _SPELLED = re.compile(rf"(?:(?<![^\W_])plus{_GAP})?(?<![^\W_])(?:{_NAME})(?:{_GAP}(?:{_NAME}|[0-9]))" r"{3,}(?![^\W_])")
@@ -109,11 +112,11 @@ _ITEM = re.compile(rf"(?P<name>{_NAME})(?![^\W_])|(?P<plus>plus)|(?P<dot>{_DOT})
 #: Signs in brackets, and bare between words; "at" needs a disguised dot after the name that follows.
 _HIDDEN_DOT = rf"(?:[ \t]+(?:{_DOT})[ \t]+|[ \t]*[\[({{<][ \t]*(?:{_DOT}|\.)[ \t]*[\])}}>]|[_-]dot[_-])"
 _SIGN = re.compile(
-    rf"[\[({{<][ \t]*(?:(?P<at>at|@)|(?P<dot>{_DOT}|\.))[ \t]*[\])}}>]"
+    rf"[\[({{<][ \t]*(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.))[ \t]*[\])}}>]"
     rf"|(?<=[ \t])(?P<at2>at)(?=[ \t]+[a-z0-9-]+{_HIDDEN_DOT}[ \t]*[a-z0-9])"
     rf"|(?<=[a-z0-9])(?P<at3>[_-]at[_-])(?=[a-z0-9-]+?{_HIDDEN_DOT}[ \t]*[a-z0-9])"
     rf"|(?<=[ \t])(?P<dot2>{_DOT})(?=[ \t]+[a-z0-9])|(?<=[a-z0-9])(?P<dot3>[_-]dot[_-])(?=[a-z0-9])")
-_SIGN_HINT = re.compile(rf"{_DOT}|[\[({{<][ \t]*(?:at|@|\.)")
+_SIGN_HINT = re.compile(rf"{_DOT}|[\[({{<][ \t]*(?:{_AT}|@|\.)")
 _BEYOND = re.compile("[­ʰ-\U0010ffff]")
 _KEPT = frozenset("@._%+-() ")
 
@@ -256,9 +259,13 @@ def find(text: str | None) -> list[Span]:
     spans = [Span(k, s, e, False) for k, s, e in base]
     plain = rewrite(text)
     if plain is not None:
+        # base spans of a kind ascend and do not overlap: one at most can cover a span
+        starts = {k: [x for kind, x, _ in base if kind == k] for k in KINDS}
+        ends = {k: [y for kind, _, y in base if kind == k] for k in KINDS}
         for kind, s, e in identifiers(plain.text):
             a, b, changed = plain.back(s, e)
-            if changed and not any(k == kind and x <= a and b <= y for k, x, y in base):
+            i = bisect.bisect_right(starts[kind], a) - 1
+            if changed and not (i >= 0 and b <= ends[kind][i]):
                 spans.append(Span(kind, a, b, True))
     return sorted(set(spans), key=lambda x: (KINDS.index(x.kind), x.start, x.end))
 

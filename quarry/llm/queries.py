@@ -52,7 +52,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand on over 8 % of their site's pages."""
+    """Documents without the lines that stand on over 8 % of their site's different texts."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     out = lines.drop_boilerplate(docs, "source", "text", WorkFolder(spark), ratio=0.08, min_pages=3,
                                  dropped="lines_dropped")
@@ -129,14 +129,15 @@ ORACLE = {
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op6_line_dedup": """
         WITH l AS (
-          SELECT doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
+          SELECT doc_id, source, text, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
                  unnest(string_split(text, chr(10))) AS line
           FROM documents WHERE text IS NOT NULL),
         k AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS key FROM l),
-        n AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+        n AS (SELECT source, count(DISTINCT text) + coalesce(max(CASE WHEN text IS NULL THEN 1 END), 0) AS pages
+              FROM documents GROUP BY source),
         b AS (
           SELECT c.source, c.key FROM (
-            SELECT source, key, count(*) AS n FROM (SELECT DISTINCT doc_id, source, key FROM k WHERE key <> '')
+            SELECT source, key, count(*) AS n FROM (SELECT DISTINCT text, source, key FROM k WHERE key <> '')
             GROUP BY source, key) c
           JOIN n ON n.source IS NOT DISTINCT FROM c.source
           WHERE c.n >= 3 AND c.n > CAST(0.08 AS DOUBLE) * n.pages),

@@ -6,6 +6,10 @@ pieces' ids in order.  That is exact for vocabularies whose pre-tokens never
 cross these places and drop white space (the one used here lower-cases,
 composes and splits by regular expression, all of which act inside a piece):
 the tests hold it against whole-text encoding.
+
+A text that holds the string of one of the vocabulary's special tokens goes to
+the library alone and whole, which makes that token's id of it, as the library
+does unless told otherwise (``special_text=True``: ordinary text).
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from quarry.llm.spans import Pool, slices, text_bytes, whole_rows, words, worker_state
 
@@ -41,12 +46,15 @@ class WordIds:
     JOIN = 400  # pieces a library call
     MARK = "|"  # stands between them; its one id tells them apart
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.whole = Tokenizer.from_file(path)
+        self.special = [] if special_text else [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        # pieces are cut and lower-cased beforehand: none of them may become a special string by that
+        self.library.encode_special_tokens = True
         self.mark, = self.library.encode(self.MARK, add_special_tokens=False).ids
         self.pool = Pool()
 
@@ -76,6 +84,32 @@ class WordIds:
     def batches(self, column: pa.Array | pa.ChunkedArray, target: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """``(rows, ids, counts)`` a slice: rows ascending (a long text's row
         again in the next slice), each row's ids and their number."""
+        alone = self._with_special(column)
+        if not alone:
+            yield from self._pieces(column, target)
+            return
+        mask = np.zeros(len(column), bool)
+        mask[list(alone)] = True
+        for rows, ids, counts in self._pieces(pc.if_else(pa.array(mask), "", column), target):
+            here = [i for i, r in enumerate(rows.tolist()) if r in alone]
+            if here:
+                new = [alone[int(rows[i])] for i in here]
+                place, size = (np.cumsum(counts) - counts)[here], [len(x) for x in new]
+                ids = np.insert(ids, np.repeat(place, size), np.concatenate(new))
+                counts = counts.copy()
+                counts[here] = size
+            yield rows, ids, counts
+
+    def _with_special(self, column: pa.Array | pa.ChunkedArray) -> dict[int, np.ndarray]:
+        """The ids of every text that holds a special token's string, by row."""
+        rows: set[int] = set()
+        for s in self.special:
+            rows.update(np.flatnonzero(pc.match_substring(column, s).fill_null(False).to_numpy(zero_copy_only=False)).tolist())
+        order = sorted(rows)
+        coded = self.whole.encode_batch([column[i].as_py() for i in order], add_special_tokens=False) if order else []
+        return {i: np.array(e.ids, np.uint32) for i, e in zip(order, coded, strict=True)}
+
+    def _pieces(self, column: pa.Array | pa.ChunkedArray, target: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         raw, offsets = text_bytes(column)
         for rows, starts, ends in slices(raw, offsets, target):
             lo, hi = int(starts[0]), int(ends[-1])

@@ -345,18 +345,26 @@ def toxicity(docs: DataFrame, labels: DataFrame, work: WorkFolder, id_col: str =
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def _text_key(text) -> list:
+    """Two 64-bit hashes that stand for a text."""
+    return [F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2")]
+
+
 def reject_toxic(docs: DataFrame, labels: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col: str = "text",
-                 label_col: str = "toxic", rows: int = 4000, threshold: float = 0.7) -> DataFrame:
+                 label_col: str = "toxic", rows: int = 4000, threshold: float = 0.7,
+                 broadcast_rows: int = 2_000_000) -> DataFrame:
     """``docs`` without the rows whose text scores ``threshold`` or more; all
-    columns stay as they are."""
-    stems, weights = learn(docs, labels, work, id_col, text_col, label_col, rows=rows)
-    at = docs.columns.index(text_col)
-    key = f"toxicity:{hash(tuple(stems))}"
+    columns stay as they are, repeated rows are repeated, no rows give no rows.
 
-    def keep(batches):
-        scorer = worker_state(key, lambda: Scorer(stems))
-        for b in batches:
-            counts = [scorer.features(t.as_py()) for t in b.column(at)]
-            yield b.filter(pa.array(score(counts, weights) < threshold))
-
-    return docs.mapInArrow(keep, docs.schema)
+    Texts are scored in Python, but no row passes through it: the keys (128-bit
+    hashes) of the rejected texts come back and are taken out by an anti join,
+    broadcast while there are at most ``broadcast_rows``.
+    """
+    work = work.scope()
+    stems, weights = learn(docs, labels, work, id_col, text_col, label_col, rows=rows)
+    text = F.col(f"`{text_col}`")
+    scored = clause_counts(docs.select(*_text_key(text), text.alias("text")), "text", stems, weights)
+    out = work.save(scored.filter(F.col("score") >= threshold).select("_k1", "_k2").distinct(), "rejected")
+    gone = F.broadcast(out) if out.count() <= broadcast_rows else out
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, *_text_key(text)).join(gone, ["_k1", "_k2"], "left_anti").select("row.*")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import jaccard, neardup
+from quarry.llm.common import WorkFolder
 
 W = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -88,12 +89,70 @@ def test_long_texts_are_read_whole_over_slices():
     assert all((small[i] == cut[i]).all() for i in range(3)) and len(small[0]) == len(shingles(t))
 
 
-def test_suffix_summary_never_cuts_a_true_overlap():
+def test_sketch_bits_never_exceed_the_difference():
     rng = np.random.default_rng(5)
-    for n, m in ((10, 400), (300, 310), (3000, 2500), (1, 1)):
+    for n, m in ((10, 400), (300, 310), (3000, 2500), (1, 1), (1600, 2000), (2100, 2000)):
         pool = np.unique(rng.integers(0, 1 << 63, 2 * max(n, m), dtype=np.uint64) * np.uint64(2))
         a, b = np.sort(rng.choice(pool, n, False)), np.sort(rng.choice(pool, m, False))
-        assert jaccard.shared_at_most(jaccard.summary(a), jaccard.summary(b)) >= len(np.intersect1d(a, b))
+        for bits in (6, 10, 12):
+            turned = np.bitwise_count((jaccard.parity(a, bits) ^ jaccard.parity(b, bits)).view(np.uint64)).sum()
+            assert turned <= len(np.setxor1d(a, b))
+
+
+def test_large_sets_beside_the_threshold_equal_brute_force(spark, work):
+    """Sets whose large sketches have one size, and sizes on either side of a power of two."""
+    rng = random.Random(9)
+    rows = []
+    for size in (1700, 2049, 2060):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(size)]
+        for i in range(6):
+            near = list(base) + [f"x{rng.randrange(10**9)}" for _ in range(rng.choice([0, 60]))]
+            for _ in range(rng.choice([0, 3, 34, 38, 40, 44, 60])):  # about 40 single edits reach the threshold
+                near[rng.randrange(len(near))] = f"y{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(near)))
+    sets = [shingles(t) for _, t in rows]
+    root = closure(sets, lambda x, y: 100 * len(x & y) >= 80 * len(x | y))
+    got = {r["doc_id"]: r["component_id"] for r in
+           jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), work).collect()}
+    assert [got[i] for i in range(len(rows))] == root and 1 < len(set(root)) < len(rows)
+
+
+class Counting(WorkFolder):
+    """Counts the rows of the pairs it saves."""
+
+    pairs = 0
+
+    def save(self, df, name="table"):
+        out = super().save(df, name)
+        if name == "pairs":
+            Counting.pairs += out.count()
+        return out
+
+    def scope(self):
+        return Counting(self.spark, self.path)
+
+
+@pytest.mark.parametrize("edits", [4, 1])
+def test_pairs_grow_with_the_rows_just_under_and_over_the_threshold(spark, edits):
+    """200 words with four random edits each: hardly any links; with one: all of them."""
+    for m in (100, 200, 400):
+        rng = random.Random(m)
+        base = [f"w{i}" for i in range(200)]
+        rows = []
+        for i in range(m):
+            near = list(base)
+            for j in rng.sample(range(200), edits):
+                near[j] = f"e{i}x{j}"
+            rows.append((i, " ".join(near)))
+        folder = Counting(spark)
+        Counting.pairs = 0
+        out = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), folder).collect()
+        assert len(out) == m and Counting.pairs <= 8 * m
+        if m == 100 or edits == 1:
+            sets = [shingles(t) for _, t in rows]
+            root = closure(sets, lambda x, y: 100 * len(x & y) >= 80 * len(x | y)) if m == 100 else [0] * m
+            assert [r["component_id"] for r in sorted(out, key=lambda r: r["doc_id"])] == root
+        folder.release()
 
 
 def test_drop_near_duplicates_keeps_one_of_each(spark, work):

@@ -17,14 +17,14 @@ from quarry.llm import bpe, packing, spans, tokenfiles, tokens
 RNG = random.Random(11)
 ODD = ["", None, " ", "a" * 70, "İstanbul ΑΣ Σ", "é ́x", "a b c\x1cd\x85e", "<|endoftext|> hi", "'s don't it's 'RE", "x\u0000y",
        "🎉 👩‍👩‍👧", "가 ᆨ 한국", "1234 ½ Ⅻ ٣", "a|b | c", "don't 's 're'll ''s", "  a", "a  ", "\n\n a", "\n's", "J̌ǰ J̌."]
+ODD += ["<|endoftext|>", "x<|startoftext|>Y.<|endoftext|>.z", "<|ENDOFTEXT|> <|EndOfText|>", "a <|endoftext|><|endoftext|>\nB",
+        "<|startoftext|" + ">" * 3, "< |endoftext|>", "<|endoftext| >", "é<|startoftext|>́ TAIL'S"]
 ODD += ["".join(RNG.choice("ab '́é \n\tΣß1½.,|srtvelmd🎉한 \x1f") for _ in range(RNG.randint(0, 40))) for _ in range(500)]
 
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))  # as it comes
 
 
 def frame(spark, texts):
@@ -44,6 +44,14 @@ def test_word_ids_equal_whole_text_encoding(library, target):
     assert got == [e.ids for e in library.encode_batch([t or "" for t in ODD], add_special_tokens=False)]
 
 
+def test_special_strings_can_be_ordinary_text():
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.encode_special_tokens = True
+    coder = tokens.WordIds(tokens.vocabulary(), special_text=True)
+    got = np.concatenate([ids for _, ids, _ in coder.batches(pa.array(["<|endoftext|> x"]))])
+    assert got.tolist() == library.encode("<|endoftext|> x", add_special_tokens=False).ids
+
+
 def test_pool_starts_anew_when_full(library):
     coder = tokens.WordIds(tokens.vocabulary())
     coder.pool.limit = 5

@@ -113,10 +113,10 @@ def test_ring_moves_few_keys_when_a_shard_is_added(spark):
     assert shards.ring_shards(df.limit(0), ["doc_id"]).count() == 0
 
 
-def brute_lines(rows, ratio, least):
+def brute_lines(rows, ratio, least, copies):
     keys = lambda t: [x.strip(" \t\x0b\x0c\r") for x in t.split("\n")]
     pages, seen = Counter(), Counter()
-    for h, t in rows:
+    for h, t in rows if copies else set(rows):
         pages[h] += 1
         for k in set(keys(t or "")) - {""}:
             seen[h, k] += 1
@@ -125,17 +125,17 @@ def brute_lines(rows, ratio, least):
         x for x, k in zip(t.split("\n"), keys(t)) if (h, k) not in cut)) for h, t in rows), key=repr)
 
 
-@pytest.mark.parametrize("limit", [2_000_000, 0])
-def test_line_dedup_equals_brute_force(spark, work, limit):
+@pytest.mark.parametrize("limit,copies", [(2_000_000, False), (0, False), (2_000_000, True)])
+def test_line_dedup_equals_brute_force(spark, work, limit, copies):
     rng = random.Random(5)
     words = ["menu", " menu ", "\tfooter\r", "footer", "a b", "", "  ", "ünïque"]
     rows = [(rng.choice(["h1", "h1", "h2", None]), "\n".join(rng.choice(words + [str(rng.random())])
              for _ in range(rng.randint(0, 6)))) for _ in range(200)]
     rows += [("h1", None), ("h3", ""), ("h3", "menu\nmenu"), ("h4", "x"), ("h4", "x"), ("h4", "x")]
     df = spark.createDataFrame(rows, "host string, text string").withColumns({"_drop": F.lit(1), "line": F.lit(2)})
-    out = lines.drop_boilerplate(df, "host", "text", work, ratio=0.3, min_pages=3, broadcast_keys=limit)
+    out = lines.drop_boilerplate(df, "host", "text", work, ratio=0.3, min_pages=3, broadcast_keys=limit, copies=copies)
     assert out.columns == df.columns
-    assert sorted(((r["host"], r["text"]) for r in out.collect()), key=repr) == brute_lines(rows, 0.3, 3)
+    assert sorted(((r["host"], r["text"]) for r in out.collect()), key=repr) == brute_lines(rows, 0.3, 3, copies)
     assert lines.drop_boilerplate(df.limit(0), "host", "text", work, broadcast_keys=limit).count() == 0
 
 
@@ -145,7 +145,7 @@ def test_line_dedup_without_copies_counts_a_hosts_texts_once(spark, work):
     rows += [("g", "copied without a menu")] * 40 + [("g", f"menu\nown {i}") for i in range(3)]
     rows += [("g", f"other {i}") for i in range(10)] + [("g", None)] * 20 + [(None, "x"), (None, "x"), (None, "x")]
     df = spark.createDataFrame(rows, "host string, text string")
-    out = lines.drop_boilerplate(df, "host", "text", work, ratio=0.08, min_pages=3, copies=False)
+    out = lines.drop_boilerplate(df, "host", "text", work, ratio=0.08, min_pages=3)
     want = [(h, t and t.removeprefix("menu\n")) for h, t in rows]
     assert sorted(((r["host"], r["text"]) for r in out.collect()), key=repr) == sorted(want, key=repr)
 
