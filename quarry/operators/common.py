@@ -32,13 +32,18 @@ class Scratch:
         self.path = f"{(base or ensure_checkpoint_dir(spark)).rstrip('/')}/quarry-{uuid.uuid4().hex}"
         _OPEN.append(self)
 
-    def save(self, df: DataFrame) -> DataFrame:
-        path = f"{self.path}/{uuid.uuid4().hex}"
-        df.write.mode("errorifexists").parquet(path)
+    def save(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        path = self.child()
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def child(self) -> str:
+        """A path of this folder that nothing uses yet."""
+        return f"{self.path}/{uuid.uuid4().hex}"
+
     def release(self) -> None:
-        """Delete every table of this folder."""
+        """Delete everything in this folder."""
         jvm = self.spark.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(self.path)
         where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

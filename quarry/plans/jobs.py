@@ -30,6 +30,8 @@ from quarry.functions.clean import normalize_key, or_raise, split_bad_rows, stri
 from quarry.operators import neighbors as nb
 from quarry.operators import stats as st
 from quarry.operators import text as tx
+from quarry.operators.common import Scratch
+from quarry.operators.rejects import split_once
 from quarry.sources import (base_name, field, read_csv, read_distance_records, read_documents, read_fields,
                             read_json_records)
 
@@ -92,33 +94,59 @@ def _safe(name: str) -> str:
     return re.sub(r"\W+", "_", name).strip("_") or "col"
 
 
-def _scores(spark: SparkSession, path: str) -> tuple[DataFrame, list[str], list[str]]:
+def _scores(spark: SparkSession, path: str, used: Sequence[int] = SCORE_FIELDS) -> tuple[DataFrame, list[str], list[str]]:
     """Typed scores: the attribute columns keep their header names (made
-    identifier-safe), the scores become ints with quotes removed."""
+    identifier-safe), the scores at the positions ``used`` become ints with
+    quotes removed, NULL where they are none; ``line`` is the row as read."""
     df = read_csv(spark, path, header=True)
     cols = df.columns
     dims = [cols[i] for i in SCORE_ATTRIBUTES]
-    measures = [cols[i] for i in SCORE_FIELDS]
+    measures = [cols[i] for i in used]
     typed = df.select(*[F.col(f"`{d}`").alias(_safe(d)) for d in dims],
-                      *[to_int(strip_chars(F.col(f"`{m}`"))).alias(_safe(m)) for m in measures])
+                      *[to_int(strip_chars(F.col(f"`{m}`"))).alias(_safe(m)) for m in measures],
+                      F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in cols]).alias("line"))
     return typed, [_safe(d) for d in dims], [_safe(m) for m in measures]
 
 
-def score_statistics(spark: SparkSession, path: str, bad_groups: str = "drop") -> DataFrame:
+#: What the score jobs do with a row whose score is no number.
+BAD_SCORES = ("original", "raise", "reject", "skip")
+
+
+def _score_job(typed: DataFrame, measures: list[str], raising: list[str], bad: str, statistics, scratch: Scratch | None):
+    if bad not in BAD_SCORES:
+        raise ValueError(f"bad must be one of {BAD_SCORES}")
+    strict = {"original": raising, "raise": measures}.get(bad, [])
+    typed = typed.withColumns({m: or_raise(F.col(m), F.col("line"), f"a row with a {m}") for m in strict})
+    if bad == "reject":
+        good, rejects, counts = split_once(typed, measures, scratch or Scratch(typed.sparkSession))
+        return statistics(good, "keep"), rejects.select("line"), counts
+    return statistics(typed, "keep" if bad == "skip" else "drop")
+
+
+def score_statistics(spark: SparkSession, path: str, bad: str = "original", scratch: Scratch | None = None):
     """Mean and population std dev of the three scores for each value of
     the three attributes.  ``dim`` names the attribute by its header (made
     identifier-safe, e.g. ``race_ethnicity``); the columns are
-    ``mean_<score>`` / ``std_<score>``.  By default a group with an
-    unparsable score is dropped, as originally."""
+    ``mean_<score>`` / ``std_<score>``.
+
+    ``bad`` says what a score that is no number does: ``original`` as in the
+    original job (the first score's drops the row's groups, another one's fails
+    the job), ``raise`` fails the job for any, ``skip`` leaves the value out of
+    its statistics.  With ``reject`` the result is ``(statistics, rejects,
+    counts)``: rows with a bad score are left out whole and returned as
+    ``line``, and how many rows there were, were rejected and had no such score;
+    the file is read once, into ``scratch``."""
     typed, dims, measures = _scores(spark, path)
-    return st.describe_by(typed, dims, measures, bad_groups=bad_groups)
+    return _score_job(typed, measures, measures[1:], bad, lambda df, groups: st.describe_by(df, dims, measures, groups), scratch)
 
 
-def score_correlation(spark: SparkSession, path: str, bad_groups: str = "drop") -> DataFrame:
+def score_correlation(spark: SparkSession, path: str, bad: str = "original", scratch: Scratch | None = None):
     """C14: Pearson r of the first and the third score for each value of the
-    three attributes."""
-    typed, dims, measures = _scores(spark, path)
-    return st.corr_by(typed, dims, measures[0], measures[2], bad_groups=bad_groups)
+    three attributes; the second score is not read.  ``bad`` as in
+    :func:`score_statistics`; ``original`` drops the groups of a row with a bad
+    score, whichever it is, as the original job did."""
+    typed, dims, measures = _scores(spark, path, SCORE_FIELDS[::2])
+    return _score_job(typed, measures, [], bad, lambda df, groups: st.corr_by(df, dims, *measures, bad_groups=groups), scratch)
 
 
 def document_similarity(spark: SparkSession, paths: str | Sequence[str], threshold: float,

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quarry.functions.clean import normalize_key
+from quarry.functions.text import split_words
+from quarry.operators import keywords as kw
+from quarry.operators import moments
 from quarry.operators import stats as st
 from quarry.sources import table
 
@@ -72,7 +75,40 @@ def corr_by_attribute(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("dim", "value", F.round("pearson", DIGITS).alias("pearson"), "n")
 
 
+def merged_moments(spark: SparkSession, sf: str) -> DataFrame:
+    """A9-A14 from parts: the state of every ship year's line items on its own,
+    merged over the years for each return flag and line status."""
+    keys, measures = ["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice", "l_discount"]
+    items = table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("part"), *keys, *measures)
+    state = moments.merge_states(moments.moment_state(items, ["part", *keys], measures), keys, measures)
+    out = moments.moment_results(state, keys, measures)
+    return out.select(*keys, "n", *[F.round(c, DIGITS).alias(c) for c in out.columns[3:]])
+
+
+#: Fixed value: how many keywords are looked for.
+N_KEYWORDS = 200
+
+
+def _keywords(spark: SparkSession, sf: str) -> list[str]:
+    """The words of three letters and more that most benchmark items hold."""
+    words = table(spark, sf, "benchmark").select("item_id", F.explode(split_words("text")).alias("word")) \
+        .filter(F.length("word") >= 3).distinct()
+    top = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "word").limit(N_KEYWORDS)
+    return [r["word"] for r in top.orderBy("word").collect()]
+
+
+def keyword_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """F7, A7, A12 for 200 keywords at once: documents of a source that contain
+    each, and Pearson r of every pair of keywords over the sources."""
+    words = _keywords(spark, sf)
+    counts = kw.keyword_group_counts(table(spark, sf, "documents"), "source", ["text"], {w: [w] for w in words})
+    out = kw.keyword_correlations(counts, "source", words)
+    return out.select("x", "y", "n_groups", F.round("pearson", DIGITS).alias("pearson"))
+
+
 QUERIES = {
+    "merged_moments": merged_moments,
+    "keyword_pairs": keyword_pairs,
     "sales_per_head": sales_per_head,
     "stats_by_attribute": stats_by_attribute,
     "keyword_correlation": keyword_correlation,
@@ -125,4 +161,26 @@ ORACLE = {
                      {DIGITS}) AS pearson,
                COUNT(*) AS n
         FROM ({_long(f"{CORR_X}, {CORR_Y}")}) t GROUP BY dim, value""",
+    "merged_moments": f"""
+        SELECT l_returnflag, l_linestatus, COUNT(*) AS n,
+               {", ".join(f"round(avg({m}), {DIGITS}) AS mean_{m}, round(stddev_pop({m}), {DIGITS}) AS std_{m}"
+                          for m in ("l_quantity", "l_extendedprice", "l_discount"))},
+               {", ".join(f"round(corr({a}, {b}), {DIGITS}) AS corr_{a}_{b}" for a, b in (
+                   ("l_quantity", "l_extendedprice"), ("l_quantity", "l_discount"), ("l_extendedprice", "l_discount")))}
+        FROM lineitem GROUP BY 1, 2""",
+    "keyword_pairs": rf"""
+        WITH b AS (SELECT DISTINCT item_id, word
+                   FROM (SELECT item_id, unnest(regexp_split_to_array(text, '\W')) AS word FROM benchmark) t
+                   WHERE length(word) >= 3),
+             k AS (SELECT word FROM (SELECT word, COUNT(*) AS n FROM b GROUP BY word) t ORDER BY n DESC, word LIMIT {N_KEYWORDS}),
+             c AS (SELECT source, word, COUNT(*) AS n FROM documents JOIN k ON contains(text, word) GROUP BY 1, 2),
+             p AS (SELECT a.word AS x, b.word AS y FROM k a JOIN k b ON a.word < b.word),
+             g AS (SELECT x, y, source, SUM(CASE WHEN word = x THEN n ELSE 0 END) AS nx,
+                          SUM(CASE WHEN word = y THEN n ELSE 0 END) AS ny
+                   FROM p JOIN c ON word = x OR word = y GROUP BY 1, 2, 3),
+             r AS (SELECT x, y, COUNT(*) AS n, SUM(nx) AS sx, SUM(ny) AS sy, SUM(nx * nx) AS qx, SUM(ny * ny) AS qy,
+                          SUM(nx * ny) AS pxy FROM g GROUP BY 1, 2)
+        SELECT p.x, p.y, COALESCE(n, 0) AS n_groups, round(CAST(n * pxy - sx * sy AS DOUBLE)
+                 / NULLIF(sqrt(CAST(n * qx - sx * sx AS DOUBLE)) * sqrt(CAST(n * qy - sy * sy AS DOUBLE)), 0), {DIGITS}) AS pearson
+        FROM p LEFT JOIN r ON r.x = p.x AND r.y = p.y""",
 }

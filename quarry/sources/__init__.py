@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarry.functions.clean import split_bad_rows
-from quarry.sources.sinks import write_table  # noqa: F401
+from quarry.sources.records import json_objects, scan_json_records  # noqa: F401
+from quarry.sources.sinks import read_ordered, write_ordered, write_table  # noqa: F401
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -97,7 +98,8 @@ def read_json_records(spark: SparkSession, path: str | Sequence[str], schema: St
     a record reader that recognises records by one member does.  A file
     that holds a top-level array yields one row per element.  Broken
     records go to ``corrupt_column`` when given, else become all-NULL rows
-    that the ``member`` filter removes.
+    that the ``member`` filter removes.  A multi-line file is one task's;
+    ``scan_json_records`` reads files of any size by many.
     """
     reader = spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE")
     if corrupt_column:
@@ -157,3 +159,12 @@ def json_field(json_text: str, path: str, dtype: str = "string"):
     """Column: the member at JSON ``path`` (``$.k``) of a JSON text column,
     cast to ``dtype`` (NULL when absent or not castable)."""
     return F.get_json_object(F.col(json_text), path).try_cast(dtype)
+
+
+def json_members(df: DataFrame, json_text: str, *keep: str, key: str = "key", value: str = "value") -> DataFrame:
+    """P21 for all members, none known beforehand: one row per member of the
+    JSON object in ``json_text``, ``(keep, key, value)``; a value that is an
+    object or an array is its JSON text, a JSON null is NULL.  Rows without an
+    object (NULL, broken text, an empty object) give none.  No shuffle."""
+    members = F.from_json(F.col(json_text), "map<string,string>")
+    return df.select(*keep, F.explode(members).alias(key, value))
