@@ -96,9 +96,12 @@ def need_of(n, percent: int):
     return (n * percent + 99) // 100
 
 
-#: Sets up to this size are told apart by a sketch of 1024 bits; larger ones by as many bits as they have shingles.
-_SMALL = 1500
-_WORDS = 16
+#: Sets up to this size are told apart by a sketch of 512 bits; larger ones by as many bits as they have shingles.
+_SMALL = 700
+_BITS = 9
+_WORDS = (1 << _BITS) // 64
+#: Lists of more classes carry the sketches into the join that pairs them.
+_DENSE = 64
 
 
 def parity(s: np.ndarray, bits: int) -> np.ndarray:
@@ -116,8 +119,8 @@ def level(n: int) -> int:
 def sketches(s: np.ndarray) -> tuple[list[int], list[int] | None, list[int] | None]:
     """The small sketch, and for large sets those of their own level and the next."""
     if len(s) <= _SMALL:
-        return parity(s, 10).tolist(), None, None
-    return parity(s, 10).tolist(), parity(s, level(len(s))).tolist(), parity(s, level(len(s)) + 1).tolist()
+        return parity(s, _BITS).tolist(), None, None
+    return parity(s, _BITS).tolist(), parity(s, level(len(s))).tolist(), parity(s, level(len(s)) + 1).tolist()
 
 
 _SKETCH = "p array<long>, w array<long>, v array<long>"
@@ -331,15 +334,17 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
     def ordered(joined: DataFrame) -> DataFrame:
         return joined.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
 
-    def mixed_lists(part: DataFrame) -> DataFrame:
-        """Listings under shingles that still hold several components; ``big``
-        tells members of the list's largest one."""
-        known = shared.join(part.withColumnRenamed("node", "cls"), "cls", "left") \
+    def mixed_lists(lists: DataFrame, part: DataFrame) -> DataFrame:
+        """Listings under shingles that still hold several components, with
+        their list's ``size``; ``big`` tells members of its largest component."""
+        known = lists.join(part.withColumnRenamed("node", "cls"), "cls", "left") \
             .select("h", "cls", "n", "pos", F.coalesce("component", "cls").alias("c"))
         sizes = known.groupBy("h", "c").agg(F.count(F.lit(1)).alias("m"))
-        mixed = sizes.groupBy("h").agg(F.count(F.lit(1)).alias("cs"), F.max(F.struct("m", "c")).alias("x")) \
-            .filter(F.col("cs") > 1).select("h", F.col("x.c").alias("major"))
-        return work.save(known.join(mixed, "h").withColumn("big", F.col("c") == F.col("major")), "mixed")
+        mixed = sizes.groupBy("h").agg(F.count(F.lit(1)).alias("cs"), F.max(F.struct("m", "c")).alias("x"),
+                                       F.sum("m").alias("size")) \
+            .filter(F.col("cs") > 1).select("h", F.col("x.c").alias("major"), "size")
+        return work.save(known.join(mixed, "h").select("h", "cls", "n", "pos", "c", "size",
+                                                       (F.col("c") == F.col("major")).alias("big")), "mixed")
 
     # 1. every listed class against a leader of its list and size range
     ranged = shared.withColumn("r", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)))
@@ -349,24 +354,33 @@ def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", t
     links = verified(done)
     part = work.save(components(links, work), "part")
 
-    # 2. what is not in its list's largest component yet, against more leaders of that component
-    apart = mixed_lists(part)
-    heads = _leaders(apart.filter("big"), ["h"], range(1, 1 + leaders))
-    met = apart.filter("not big").alias("b").join(heads.alias("a"), "h").filter(_allowed(percent))
+    # 2. in long lists: what is not in the list's largest component yet, against more leaders of that component
+    apart = mixed_lists(shared, part)
+    dense = apart.filter(F.col("size") > _DENSE)
+    heads = _leaders(dense.filter("big"), ["h"], range(1, 1 + leaders))
+    met = dense.filter("not big").alias("b").join(heads.alias("a"), "h").filter(_allowed(percent))
     more = likely(ordered(met), done)
-    done = work.save(done.unionAll(more), "done")
-    links = work.save(links.unionAll(verified(more)), "links")
-    part = work.save(components(links, work), "part")
-
-    # 3. every pair not connected yet, but none within one component
-    apart = mixed_lists(part)
-    full = work.save(apart.join(sketched.drop("n"), "cls"), "full")
-    cross = full.filter("not big").alias("a").join(full.alias("b"), (F.col("a.h") == F.col("b.h"))
-        & (F.col("a.c") != F.col("b.c")) & (F.col("b.big") | (F.col("a.cls") < F.col("b.cls")))
-        & _allowed(percent) & _sketches_allow(percent))
-    found = verified(work.save(ordered(cross).distinct().join(done, ["a", "b"], "left_anti"), "pairs"))
-    links = work.save(links.unionAll(found), "links")
-    part = components(links, work)
+    if more.head(1):
+        done = work.save(done.unionAll(more), "done")
+        links = work.save(links.unionAll(verified(more)), "links")
+        part = work.save(components(links, work), "part")
+        last, apart = apart, mixed_lists(apart.select("h", "cls", "n", "pos"), part)
+        work.drop(last)
+
+    # 3. every pair not connected yet, but none within one component: the pairs of long lists
+    # are told apart by sketches as they are made, those of short ones afterwards
+    new = (F.col("a.h") == F.col("b.h")) & (F.col("a.c") != F.col("b.c")) \
+        & (F.col("b.big") | (F.col("a.cls") < F.col("b.cls"))) & _allowed(percent)
+    short = apart.filter(F.col("size") <= _DENSE)
+    few = ordered(short.filter("not big").alias("a").join(short.alias("b"), new))
+    full = work.save(apart.filter(F.col("size") > _DENSE).join(sketched.drop("n"), "cls"), "full")
+    many = ordered(full.filter("not big").alias("a").join(full.alias("b"), new & _sketches_allow(percent)))
+    left = likely(few, done).unionAll(many.distinct().join(done, ["a", "b"], "left_anti")).distinct()
+    found = verified(work.save(left, "pairs"))
+    work.drop(full)
+    if found.head(1):
+        links = work.save(links.unionAll(found), "links")
+        part = components(links, work)
 
     ids = classes.join(part.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("cls", "rep", F.coalesce("component", "cls").alias("c"))
