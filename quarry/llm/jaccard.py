@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import WorkFolder, components
-from quarry.llm.spans import hashes, slices, text_bytes, whole_rows, words
+from quarry.llm.spans import hashes, slices, text_bytes, tidy, whole_rows, words
 
 _FACTOR = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB,
                                   0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -155,7 +155,7 @@ def _describe(k: int, bits: int):
             [*[pa.nulls(_SLICES, pa.int64())] * 4, *[pa.nulls(_SLICES, longs)] * 3,
              pa.array([_packed(p) for p in cut], pa.binary()), pa.array(range(_SLICES), pa.int32()),
              pa.array([TaskContext.get().partitionId()] * _SLICES, pa.int32())], schema=schema)
-    return scan
+    return tidy(scan)
 
 
 def _packed(counts: np.ndarray) -> bytes:
@@ -208,7 +208,7 @@ def _prefixes(k: int, percent: int, bits: int, sketch):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(h).view(np.int64)), pa.array(np.concatenate(cls)),
                      pa.array(np.concatenate(n)), pa.array(np.concatenate(pos))], ["h", "cls", "n", "pos"])
-    return scan
+    return tidy(scan)
 
 
 def _allowed(percent: int):
@@ -263,7 +263,7 @@ def _sets(k: int):
             offsets = np.concatenate([[0], np.cumsum([len(m) for m in made])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.concat_arrays(made))], ["cls", "s"])
-    return scan
+    return tidy(scan)
 
 
 def near_duplicates(docs: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col: str = "text", k: int = 5,

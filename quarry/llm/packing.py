@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import WorkFolder, spread_rank
+from quarry.llm.spans import tidy
 from quarry.llm.tokens import documents
 
 
@@ -47,7 +48,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, end_id: i
                 pa.array(np.diff(offsets)[np.array(row, np.int64)] if row else [], pa.int64())],
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return rows.mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return rows.mapInArrow(tidy(cut), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def price(dual: np.ndarray, width: int) -> tuple[float, np.ndarray]:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.spans import tidy
+
 KINDS = ("email", "ip", "card", "phone")
 
 
@@ -332,4 +334,4 @@ def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([texts if i == at else b.column(i) for i in range(b.num_columns)],
                                              schema=b.schema)
 
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(tidy(clean), docs.schema)

@@ -8,7 +8,8 @@ Python object is made per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -277,3 +278,18 @@ def worker_state(key: str, make):
     if key not in holder.__dict__:
         holder.__dict__[key] = make()
     return holder.__dict__[key]
+
+
+def tidy(scan: Callable) -> Callable:
+    """``scan`` (of batches) that returns freed memory to the system when it
+    ends: Python workers live on, and would hold their largest stage's beside
+    that of the next."""
+    def run(batches):
+        try:
+            yield from scan(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+            if trim is not None:
+                trim(0)
+    return run

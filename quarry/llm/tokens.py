@@ -51,8 +51,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.whole = Tokenizer.from_file(path)
-        self.special = [] if special_text else [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.whole = lambda: Tokenizer.from_file(path)  # as it comes; made when a text needs it
+        self.special = [] if special_text else [t.content for t in self.library.get_added_tokens_decoder().values()]
         # pieces are cut and lower-cased beforehand: none of them may become a special string by that
         self.library.encode_special_tokens = True
         self.mark, = self.library.encode(self.MARK, add_special_tokens=False).ids
@@ -106,7 +106,9 @@ class WordIds:
         for s in self.special:
             rows.update(np.flatnonzero(pc.match_substring(column, s).fill_null(False).to_numpy(zero_copy_only=False)).tolist())
         order = sorted(rows)
-        coded = self.whole.encode_batch([column[i].as_py() for i in order], add_special_tokens=False) if order else []
+        if not order:
+            return {}
+        coded = self.whole().encode_batch([column[i].as_py() for i in order], add_special_tokens=False)
         return {i: np.array(e.ids, np.uint32) for i, e in zip(order, coded, strict=True)}
 
     def _pieces(self, column: pa.Array | pa.ChunkedArray, target: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

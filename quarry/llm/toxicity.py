@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import WorkFolder
-from quarry.llm.spans import worker_state
+from quarry.llm.spans import tidy, worker_state
 
 #: Fixed word lists of the grammar (whole words, lower case).
 INSULT = ("idiot idiots moron morons loser losers pathetic worthless scum trash clown clowns disgusting stupid "
@@ -315,7 +315,7 @@ def clause_counts(docs: DataFrame, text_col: str, stems: list[str], weights: np.
 
     kind = T.ArrayType(T.DoubleType()) if weights is None else T.DoubleType()
     schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField(column, kind)])
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(tidy(scan), schema)
 
 
 def learn(docs: DataFrame, labels: DataFrame, work: WorkFolder, id_col: str = "doc_id", text_col: str = "text",
