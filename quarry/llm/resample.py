@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import WorkFolder
-from quarry.llm.terms import ranked, scattered, short_keys, word_runs
+from quarry.llm.terms import scattered, short_keys, word_runs
+from quarry.operators.common import ranked
 
 _ONES = np.uint32(0xFFFFFFFF)
 _BYTE = np.uint32(0xFF)

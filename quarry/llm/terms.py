@@ -1,9 +1,7 @@
-"""Words of letters, digits and non-ASCII characters, as flat arrays, and
-places in a global order.
+"""Words of letters, digits and non-ASCII characters, as flat arrays.
 
 * :func:`word_runs` -- the words of a whole column of texts;
-* :func:`short_keys` -- the exact bytes of words of up to 16 bytes as two numbers;
-* :func:`ranked` -- every row's place in an order, without a one-task sort.
+* :func:`short_keys` -- the exact bytes of words of up to 16 bytes as two numbers.
 """
 
 from __future__ import annotations
@@ -12,10 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
 
-from quarry.llm.common import WorkFolder
 from quarry.llm.spans import slices, text_bytes
 
 #: Bytes of a word after A-Z are lower-cased: digits, a-z and all of a non-ASCII character.
@@ -69,22 +64,3 @@ def scattered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(32)
     h = (h + b) * np.uint64(0xC4CEB9FE1A85EC53)
     return h ^ (h >> np.uint64(29))
-
-
-def ranked(df: DataFrame, order: list[Column], work: WorkFolder, name: str = "rank") -> DataFrame:
-    """``df`` with every row's place (from 0) in ``order``.
-
-    Rows are ranged over partitions and saved in order; a partition's base is
-    the prefix sum over one row a partition.  Rows equal in ``order`` stay in
-    one partition: end ``order`` with a column that tells them apart if many can be.
-    """
-    place = F.monotonically_increasing_id()
-    saved = work.save(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", place), "ranged")
-    part = F.shiftright("_at", 33)
-    sizes = saved.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    bases = sizes.select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    # the bases are broadcast: one row a partition of the exchange
-    return saved.join(F.broadcast(bases), part == F.col("_part")).select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        (F.col("_base") + F.col("_at") - F.col("_first")).cast("long").alias(name))
