@@ -135,3 +135,29 @@ def test_ranked_places_rows_over_partitions(spark):
     got = ranked(df, ["v", "rank_of"], Scratch(spark), "place").collect()
     assert sorted(r["place"] for r in got) == list(range(3000))
     assert [r["v"] for r in sorted(got, key=lambda r: r["place"])] == sorted(v for v, _ in rows)
+
+
+@pytest.mark.parametrize("t", [0.3, 0.5, 0.8, 1.0])
+def test_large_sets_in_parts_equal_brute_force(spark, monkeypatch, t):
+    monkeypatch.setattr(sim, "SHARP", 4)  # sets of up to 50 words have parts of about 2 to 4
+    monkeypatch.setattr(sim, "LISTED", 1)
+    rnd = random.Random(7)
+    vocab = [f"w{i}" for i in range(80)]
+    sets = {d: set(rnd.sample(vocab, rnd.randint(1, 50))) for d in range(30)}
+    for d in range(30, 60):
+        sets[d] = set(sorted(sets[d - 30])[rnd.randint(0, 4):]) | {rnd.choice(vocab)}
+    got = [tuple(r) for r in tx.dice_join(frame(spark, sets), "doc", threshold=t, denominator="sizes").collect()]
+    want = {(a, b, len(sets[a] & sets[b]), dice(sets[a], sets[b], "sizes", 0)) for a in sets for b in sets
+            if a < b and dice(sets[a], sets[b], "sizes", 0) >= t}
+    assert len(got) == len(set(got))
+    assert set(got) == want
+
+
+@pytest.mark.parametrize("size", [100, 1500])
+def test_unlike_sets_of_common_words_are_no_candidates(spark, size):
+    rnd = random.Random(size)
+    vocab = [f"w{i}" for i in range(3 * size)]
+    words = frame(spark, {d: set(rnd.sample(vocab, size)) for d in range(40)})
+    found = sim.class_links(words, "doc", "word", 0.8, 100, "sizes", Scratch(spark))
+    assert found.links.count() == 0
+    assert found.candidates.count() < 8  # of 780 pairs, all of which share prefix words
