@@ -161,3 +161,14 @@ def test_unlike_sets_of_common_words_are_no_candidates(spark, size):
     found = sim.class_links(words, "doc", "word", 0.8, 100, "sizes", Scratch(spark))
     assert found.links.count() == 0
     assert found.candidates.count() < 8  # of 780 pairs, all of which share prefix words
+
+
+def test_words_of_one_collection_are_not_listed(spark):
+    rnd = random.Random(3)
+    left = {d: {f"w{x}" for x in rnd.sample(range(60), 30)} | {f"shared{d % 3}"} for d in range(50)}
+    right = {d: {f"v{x}" for x in rnd.sample(range(60), 30)} | {f"shared{d % 3}"} for d in range(4)}
+    scratch = Counting(spark)
+    out = sim.dice_between(frame(spark, left), frame(spark, right, "other"), "doc", "other", threshold=0.01, scratch=scratch)
+    assert out.count() == sum(1 for a in left for b in right if dice(left[a], right[b], "sizes", 0) >= 0.01)
+    # sets and classes, and one shared word a set: no rows of the 120 other words
+    assert scratch.rows <= 5 * (len(left) + len(right)) + len(left) * len(right)
