@@ -31,9 +31,12 @@ nearest neighbor joins using MapReduce", VLDB 2012):
 3. every query looks among the references of the ring it falls into first: the
    k-th distance found there is *its* bound;
 4. no reference of a ring ``[lo, hi]`` is closer than ``lo - d`` or ``d - hi``
-   for a query at distance ``d`` from the pivot, so a query is sent to another
-   ring, of its own cell or another one, only if that is within its bound; a
-   numpy kernel keeps the k best of each (queries, ring) unit;
+   for a query at distance ``d`` from the pivot, so a query only meets another
+   ring, of its own cell or another one, if that is within its bound.  In many
+   dimensions that is most rings, so vectors are not copied to rings: runs of
+   rings are spans, few of them (``SPAN_BYTES``, shuffle partitions), a query is
+   sent once to every span with such a ring, with its bound, and a numpy kernel
+   meets the rings of the (queries, span) unit, the bounds shrinking meanwhile;
 5. a final window top-k merges the candidates of each node, and its rows
    share the list.
 
@@ -57,6 +60,9 @@ from pyspark.sql import types as T
 
 from quarry.operators.common import Scratch, ranked
 
+#: Vectors of one side of a (queries, span) unit, in bytes, at most.
+SPAN_BYTES = 1 << 24
+
 DISTANCE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("paired", T.LongType()),
@@ -256,11 +262,12 @@ def _celled(pts: DataFrame, pivots, tasks: int) -> DataFrame:
 class Rings:
     """The reference vectors of every cell, in blocks by their distance to the
     pivot: blocks ``start[c]`` to ``start[c + 1]`` are cell ``c``'s, with the
-    smallest and largest distance of each."""
+    smallest and largest distance of each; ``span``: the run of blocks it is in."""
 
     start: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
+    span: np.ndarray
 
     def home(self, cell: np.ndarray, d: np.ndarray) -> np.ndarray:
         """The block of its cell that a vector at distance ``d`` falls into."""
@@ -291,8 +298,9 @@ class Rings:
         return (np.concatenate(rows), np.concatenate(blocks)) if rows else (none, none)
 
 
-def _rings(refs: DataFrame, n_cells: int, rows: int, scratch: Scratch) -> tuple[DataFrame, Rings]:
-    """``refs`` (id, v, cell, dp) with their ``block``, and the blocks."""
+def _rings(refs: DataFrame, n_cells: int, rows: int, span: int, scratch: Scratch) -> tuple[DataFrame, Rings]:
+    """``refs`` (id, v, cell, dp) with their ``block``, and the blocks, in
+    spans of about ``span`` rows."""
     order = ranked(refs.select("id", "v", "cell", "dp"), ["cell", "dp", "id"], scratch, "_rank")
     # one row a cell: where its ranks begin; a row's block follows from its rank inside the cell
     cells = order.groupBy("cell").agg(F.min("_rank").alias("_begin"), F.count(F.lit(1)).alias("_n")).orderBy("cell").collect()
@@ -306,10 +314,10 @@ def _rings(refs: DataFrame, n_cells: int, rows: int, scratch: Scratch) -> tuple[
     begins = order.sparkSession.createDataFrame(table, "cell int, _begin long, _first long")
     placed = scratch.save(order.join(F.broadcast(begins), "cell").select(
         "id", "v", "dp", (F.col("_first") + F.floor((F.col("_rank") - F.col("_begin")) / F.lit(rows))).cast("int").alias("block")))
-    lo, hi = np.zeros(at), np.zeros(at)
-    for r in placed.groupBy("block").agg(F.min("dp").alias("lo"), F.max("dp").alias("hi")).collect():
-        lo[r["block"]], hi[r["block"]] = r["lo"], r["hi"]
-    return placed, Rings(start, lo, hi)
+    lo, hi, n = np.zeros(at), np.zeros(at), np.zeros(at, np.int64)
+    for r in placed.groupBy("block").agg(F.min("dp").alias("lo"), F.max("dp").alias("hi"), F.count(F.lit(1)).alias("n")).collect():
+        lo[r["block"]], hi[r["block"]], n[r["block"]] = r["lo"], r["hi"], r["n"]
+    return placed, Rings(start, lo, hi, (np.cumsum(n) - n) // span)
 
 
 def _met(queries: DataFrame, refs: DataFrame, k: int, rows: int) -> DataFrame:
@@ -334,6 +342,95 @@ def _met(queries: DataFrame, refs: DataFrame, k: int, rows: int) -> DataFrame:
         .applyInPandas(block_knn, DISTANCE_SCHEMA)
 
 
+def _nearer(qv: np.ndarray, qid: np.ndarray, bound: np.ndarray, dp: np.ndarray, rv: np.ndarray, rid: np.ndarray,
+            ring: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: int, skip: np.ndarray):
+    """The ``k`` nearest references, none beyond its ``bound``, of every query
+    (row, partner id, distance).  ``ring``: a reference's ring; ``dp``: the
+    queries' distances to the rings' pivots; ``lo``, ``hi``: the rings'; ``skip``:
+    a ring (or -1) that a query has already met."""
+    bound = bound.copy()
+    none = np.zeros(0, np.int64)
+    row, partner, dist = none, none, np.zeros(0)
+    begins = np.searchsorted(ring, np.arange(len(lo) + 1))
+    rn = np.einsum("ij,ij->i", rv, rv)
+    qn = np.einsum("ij,ij->i", qv, qv)
+    at = 0
+    while at < len(lo):  # some rings at once: as many as make a large matrix product
+        end = max(at + 1, int(np.searchsorted(begins, begins[at] + 4096, side="right")) - 1)
+        reach = _ring_gap(dp[:, at:end], lo[at:end], hi[at:end]) <= bound[:, None]
+        reach &= skip[:, None] != np.arange(at, end)
+        rows = np.flatnonzero(reach.any(axis=1))
+        hit = np.flatnonzero(reach.any(axis=0)) + at
+        at = end
+        if not len(rows):
+            continue
+        all_refs = np.concatenate([np.arange(begins[i], begins[i + 1]) for i in hit])
+        for s in range(0, len(all_refs), 4096):  # a ring may be larger
+            refs = all_refs[s:s + 4096]
+            far = bound[rows]
+            limit = far * far + 1e-9 * (qn[rows] + rn[refs].max() + np.where(np.isfinite(far), far * far, 0)) + 1e-12
+            d2 = qn[rows][:, None] + rn[refs][None, :] - 2.0 * (qv[rows] @ rv[refs].T)
+            open_ = np.flatnonzero(~np.isfinite(far))  # no k references seen: its k smallest bound it
+            if len(open_) and len(refs) > k:
+                kth = np.partition(d2[open_], k - 1, axis=1)[:, k - 1]
+                limit[open_] = kth + 2e-9 * (qn[rows][open_] + rn[refs].max()) + 1e-12
+            r, c = np.nonzero(d2 <= limit[:, None])
+            met = reach[rows[r], ring[refs[c]] - (end - reach.shape[1])]  # no reference of a ring that was skipped
+            r, c = rows[r[met]], refs[c[met]]
+            if not len(r):
+                continue
+            d = np.empty(len(r))
+            step = max(1, (1 << 22) // qv.shape[1])
+            for t in range(0, len(r), step):
+                diff = rv[c[t:t + step]] - qv[r[t:t + step]]
+                d[t:t + step] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            keep = d <= bound[r]
+            row, partner, dist = (np.concatenate(x) for x in ((row, r[keep]), (partner, rid[c[keep]]), (dist, d[keep])))
+            order = np.lexsort((partner, dist, row))
+            row, partner, dist = row[order], partner[order], dist[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            kth = place == k - 1
+            bound[row[kth]] = np.minimum(bound[row[kth]], dist[kth])
+            row, partner, dist = row[place < k], partner[place < k], dist[place < k]
+    return qid[row], partner, dist
+
+
+def _met_spans(routed: DataFrame, placed: DataFrame, pivots, rings, k: int, rows: int) -> DataFrame:
+    """The ``k`` nearest references of every ``routed`` query (``id``, ``v``,
+    ``bound``, ``block`` it has met, ``spans`` to meet), in units of a span and
+    at most about ``rows`` queries."""
+    spark = placed.sparkSession
+    asked = routed.select("id", "v", "bound", "block", F.explode("spans").alias("span"))
+    sent = asked.groupBy("span").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias("parts"))
+    asked = asked.join(sent, "span").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
+    # a row a block: ``max_blocks`` and the cells at most
+    spans = spark.createDataFrame(pd.DataFrame({"block": np.arange(len(rings.value[3])), "span": rings.value[3]}),
+                                  "block int, span int")
+    held = placed.select("id", "v", "block").join(F.broadcast(spans), "block").join(sent, "span")         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+    def span_knn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"id": np.zeros(0, np.int64), "paired": np.zeros(0, np.int64), "distance": np.zeros(0)})]
+        if len(q) and len(r):
+            start, lo, hi, span = rings.value
+            blocks = np.flatnonzero(span == r["span"].iloc[0])
+            first = blocks[0]
+            cells, cell = np.unique(np.searchsorted(start, blocks, side="right") - 1, return_inverse=True)
+            r = r.sort_values(["block", "id"])
+            rv, rid, ring = _as_matrix(r["v"]), r["id"].to_numpy(np.int64), r["block"].to_numpy(np.int64) - first
+            q = q.sort_values("block")  # queries of one cell reach much the same rings
+            for s in range(0, len(q), 512):
+                part = q.iloc[s:s + 512]
+                qv = _as_matrix(part["v"])
+                ids, partners, dists = _nearer(qv, part["id"].to_numpy(np.int64), part["bound"].to_numpy(np.float64),
+                                               _pairwise(qv, pivots.value[cells])[:, cell], rv, rid, ring, lo[blocks],
+                                               hi[blocks], k, part["block"].to_numpy(np.int64) - first)
+                out.append(pd.DataFrame({"id": ids, "paired": partners, "distance": dists}))
+        return pd.concat(out)
+
+    unit = ["span", "part"]
+    return asked.select("id", "v", "bound", "block", *unit).groupBy(*unit)         .cogroup(held.select("id", "v", "block", *unit).groupBy(*unit)).applyInPandas(span_knn, DISTANCE_SCHEMA)
+
+
 def _lists(cells: DataFrame, queries: DataFrame, pivots, k: int, block_rows: int, max_blocks: int, n_refs: int,
            scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(lists, nodes, routed)``: the ``k`` nearest references (of ``cells``) of
@@ -345,9 +442,12 @@ def _lists(cells: DataFrame, queries: DataFrame, pivots, k: int, block_rows: int
     same = Window.partitionBy("key").orderBy("id")
     refs = cells.withColumn("_r", F.dense_rank().over(same)).filter(F.col("_r") <= k).drop("_r").dropDuplicates(["key", "id"])
     n_cells = len(pivots.value)
-    placed, found = _rings(refs, n_cells, max(block_rows, -(-n_refs // max_blocks)), scratch)
-    # two numbers a block, ``max_blocks`` and the cells at most; plain arrays, so that workers need no package
-    rings = spark.sparkContext.broadcast((found.start, found.lo, found.hi))
+    # about two units a shuffle partition, as many parts of the queries as spans, of bounded size
+    few = math.ceil(math.sqrt(2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    span = max(block_rows, min(-(-n_refs // few), SPAN_BYTES // (8 * max(1, pivots.value.shape[1]))))
+    placed, found = _rings(refs, n_cells, max(block_rows, -(-n_refs // max_blocks)), span, scratch)
+    # three numbers a block, ``max_blocks`` and the cells at most; plain arrays, so that workers need no package
+    rings = spark.sparkContext.broadcast((found.start, found.lo, found.hi, found.span))
     nodes = scratch.save(queries.groupBy("key").agg(F.first("v").alias("v"), F.first("cell").alias("cell"),
                                                     F.first("dp").alias("dp"))
                          .withColumn("id", F.monotonically_increasing_id()))
@@ -365,17 +465,19 @@ def _lists(cells: DataFrame, queries: DataFrame, pivots, k: int, block_rows: int
             for s in range(0, len(b), 4096):
                 part = b.iloc[s:s + 4096].reset_index(drop=True)
                 d = _pairwise(_as_matrix(part["v"]), pivots.value)
-                row, block = Rings(*rings.value).within(d, part["bound"].fillna(np.inf).to_numpy(dtype=float))
+                bound = part["bound"].fillna(np.inf).to_numpy(dtype=float)
+                row, block = Rings(*rings.value).within(d, bound)
                 other = block != part["block"].to_numpy()[row]
-                row, block = row[other], block[other]
-                for t in range(0, len(row), 16384):
-                    x = slice(t, t + 16384)
-                    yield pd.DataFrame({"id": part["id"].to_numpy()[row[x]], "v": part["v"].to_numpy()[row[x]],
-                                        "block": block[x].astype("int32")})
+                spans = [[] for _ in range(len(part))]
+                for i, x in np.unique(np.stack([row[other], rings.value[3][block[other]]], axis=1), axis=0):
+                    spans[i].append(int(x))
+                yield part.assign(bound=bound, spans=spans)[["id", "v", "bound", "block", "spans"]]
 
+    # a row a query: what it is sent to is a list
     routed = scratch.save(home.join(bound, "id", "left").select("id", "v", "block", "bound")
-                          .mapInPandas(route, "id long, v array<double>, block int"))
-    lists = k_nearest(first.unionAll(_met(routed, placed, k, block_rows)), k)
+                          .mapInPandas(route, "id long, v array<double>, bound double, block int, spans array<int>")
+                          .filter(F.size("spans") > 0))
+    lists = k_nearest(first.unionAll(_met_spans(routed, placed, pivots, rings, k, span)), k)
     return lists, nodes.select("id", "key"), routed
 
 

@@ -262,3 +262,34 @@ def test_fewer_vectors_than_k_and_empty_input(spark):
     assert {i: sorted(v) for i, v in got.items()} == {1: [2, 3], 2: [1, 3], 3: [1, 2]}
     empty = spark.createDataFrame([], "id long, vector array<double>")
     assert nb.nearest_vectors(empty, 3).count() == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"span_bytes": 2048}])
+def test_queries_are_not_copied_to_every_ring(spark, monkeypatch, options):
+    from quarry.operators.common import Scratch
+
+    class Counting(Scratch):
+        rows = 0
+
+        def save(self, df):
+            out = super().save(df)
+            self.rows += out.count()
+            return out
+
+    if options:
+        monkeypatch.setattr(nb, "SPAN_BYTES", options["span_bytes"])
+    rnd = np.random.default_rng(11)
+    n = 300
+    vecs = rnd.normal(size=(n, 24))  # in many dimensions no ring is out of reach
+    vecs[:40] = np.round(vecs[:40])
+    vecs[40:60] = vecs[:20]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "id long, vector array<double>")
+    scratch = Counting(spark)
+    got = {}
+    for r in nb.nearest_vectors(df, 5, n_pivots=30, block_rows=8, scratch=scratch).collect():
+        got.setdefault(r["id"], []).append((r["distance"], r["paired"]))
+    for i in range(n):
+        d = np.sqrt(((vecs - vecs[i]) ** 2).sum(axis=1))
+        want = sorted((d[j], j) for j in range(n) if j != i)[:5]
+        assert sorted(got[i])[0][0] == pytest.approx(want[0][0]) and [j for _, j in sorted(got[i])] == [j for _, j in want]
+    assert scratch.rows <= 12 * n  # cells, ranks, rings, nodes, home rings, first candidates (6 each at most), routed
