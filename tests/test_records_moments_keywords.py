@@ -198,3 +198,16 @@ def test_score_jobs_say_what_a_bad_score_does(spark, tmp_path):
             job(spark, str(math), bad="whatever")
     skipped = by(jobs.score_statistics(spark, str(math), bad="skip"))[("gender", "female")]
     assert skipped["mean_math_score"] == 72.0 and skipped["mean_reading_score"] == 75.0
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3])
+def test_json_objects_across_chunks_of_a_split(spark, tmp_path, monkeypatch, chunk):
+    """One file, one split, cut into chunks that are many tasks' work: objects
+    that cross any number of chunks come out whole."""
+    from quarry.sources import records
+
+    monkeypatch.setattr(records, "CHUNK", chunk)
+    want = [{"id": i, "t": "} {\" \\" * (i % 4), "o": {"a": [{"b": {"c": "}" * (i % 3)}}] * (i % 3)}} for i in range(40)]
+    (tmp_path / "a.json").write_text("[" + ",\n".join(json.dumps(x, indent=i % 2) for i, x in enumerate(want)) + "]")
+    out = records.json_objects(spark, str(tmp_path / "a.json"))
+    assert sorted((json.loads(r["value"]) for r in out.collect()), key=lambda x: x["id"]) == want
