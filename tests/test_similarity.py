@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 
 import pytest
 
@@ -172,3 +173,28 @@ def test_words_of_one_collection_are_not_listed(spark):
     assert out.count() == sum(1 for a in left for b in right if dice(left[a], right[b], "sizes", 0) >= 0.01)
     # sets and classes, and one shared word a set: no rows of the 120 other words
     assert scratch.rows <= 5 * (len(left) + len(right)) + len(left) * len(right)
+
+
+@pytest.mark.parametrize("kind,t", [("fixed", 0.75), ("sizes", 0.7)])
+def test_listings_go_once_to_their_join_in_blocks(spark, monkeypatch, kind, t):
+    """Common words' listings in many blocks, rare ones' in one: every pair once,
+    and no listing is sent by its word before it is sent to its block."""
+    monkeypatch.setattr(sim, "LISTED", 1)
+    sets = {i: {"hot", "warm", f"u{i % 4}", f"v{i % 3}", *([f"w{i}"] if i % 5 == 0 else [])} for i in range(30)}
+    words = frame(spark, sets)
+    scratch = Scratch(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sim.class_links(words, "doc", "word", t, 4, kind, scratch, block=3)
+        plan = found.candidates._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"Exchange hashpartitioning\(_w#\d+L?, _i#\d+L?, _j#\d+L?", plan)
+    assert not re.search(r"Exchange hashpartitioning\(_w#\d+L?, \d+\)", plan)
+    scratch.release()
+    monkeypatch.setattr(tx, "BLOCK", 3)
+    got = sorted((r.doc_a, r.doc_b) for r in tx.dice_join(words, "doc", threshold=t, k=4, denominator=kind).collect())
+    want = sorted((a, b) for a in sets for b in sets if a < b
+                  and 2.0 * len(sets[a] & sets[b]) / (8.0 if kind == "fixed" else len(sets[a]) + len(sets[b])) >= t)
+    assert got == want
