@@ -402,7 +402,8 @@ def _met_spans(routed: DataFrame, placed: DataFrame, pivots, rings, k: int, rows
     spark = placed.sparkSession
     asked = routed.select("id", "v", "bound", "block", F.explode("spans").alias("span"))
     sent = asked.groupBy("span").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias("parts"))
-    asked = asked.join(sent, "span").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
+    # a row a span: the queries' rows are sent once, to their units
+    asked = asked.join(F.broadcast(sent), "span").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
     # a row a block: ``max_blocks`` and the cells at most
     spans = spark.createDataFrame(pd.DataFrame({"block": np.arange(len(rings.value[3])), "span": rings.value[3]}),
                                   "block int, span int")
