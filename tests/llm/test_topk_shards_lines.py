@@ -60,6 +60,24 @@ def test_tile_scores_beyond_a_double_are_exact():
     assert [(int(s), int(w)) for s, w in zip(score, who)] == [(max(-limit, min(limit - 1, s)), w) for s, w in want]
 
 
+def test_query_tiles_are_merged_with_groups_of_shard_tiles_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(topk, "GROUPS", 3)  # ten shard tiles: groups of four
+    rng = random.Random(5)
+    rows = [(i, [float(rng.randint(-4, 4)) for _ in range(3)]) for i in range(160)] + [(4, [300.0, 1.0, 2.0]), (9, [1.0e7, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df.filter("vec_id % 4 = 3"), df, 5, "vec_id", "embedding", query_tile=8, shard_tile=16, merge=3)
+    assert sorted(map(tuple, got.collect())) == brute_top([r for r in rows if r[0] % 4 == 3], rows, 5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+@pytest.mark.parametrize("top,size", [(32767, 2), (32768, 4), ((1 << 31) - 1, 4), (1 << 31, 8)])
+def test_tiles_take_as_few_bytes_as_their_numbers_need(top, size):
+    mat = np.array([[-float(top), 0.0, 7.0], [1.0, float(top), -2.0]])
+    held = topk._packed(mat)
+    assert len(held) == 6 * size and (topk._unpacked(held, 2, 3) == mat).all()
+
+
 def sequential_ring(positions, n_shards, vnodes, capacity):
     """The same rule, key by key over arc counts."""
     points = shards.ring_points(n_shards, vnodes)
