@@ -198,3 +198,29 @@ def test_listings_go_once_to_their_join_in_blocks(spark, monkeypatch, kind, t):
     want = sorted((a, b) for a in sets for b in sets if a < b
                   and 2.0 * len(sets[a] & sets[b]) / (8.0 if kind == "fixed" else len(sets[a]) + len(sets[b])) >= t)
     assert got == want
+
+
+@pytest.mark.parametrize("kind,t", [("sizes", 0.6), ("fixed", 0.6)])
+def test_near_copies_are_listed_once_and_compared_by_their_words(spark, monkeypatch, kind, t):
+    """Both sides of the join read one exchange of listings; numbers by broadcast
+    and by join, pairs dealt in small lots: every pair once, none lost."""
+    monkeypatch.setattr(sim, "HEAD", 5)
+    monkeypatch.setattr(sim, "PAIRS", 4)
+    rnd = random.Random(9)
+    sets = {d: {*rnd.sample([f"n{i}" for i in range(12)], 9), "x" * 70, f"only{d}"} for d in range(24)}
+    sets |= {100 + d: set(rnd.sample([f"f{i}" for i in range(40)], 9)) for d in range(10)} | {200: {"one"}, 201: {"two"}}
+    words, scratch = frame(spark, sets), Scratch(spark)
+    found = sim.class_links(words, "doc", "word", t, 10, kind, scratch)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found.candidates.collect()
+        plan = found.candidates._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ReusedExchange" in plan
+    rep = {r["_c"]: r["_rep"] for r in found.classes.collect()}
+    got = sorted((*sorted((rep[r["_a"]], rep[r["_b"]])), r["overlap"]) for r in found.links.collect())
+    assert got == sorted((a, b, len(sets[a] & sets[b])) for a in sets for b in sets
+                         if a < b and dice(sets[a], sets[b], kind, 10) >= t)
+    scratch.release()
